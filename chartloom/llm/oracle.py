@@ -2,6 +2,84 @@
 
 from __future__ import annotations
 
+from . import quality
+
+OP5 = r"""
+WITH d AS (
+  SELECT doc_id, source, text,
+         len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::bigint AS size
+  FROM documents
+), s AS (
+  SELECT source, sum(size)::bigint AS source_size,
+         [3, 1, 2][((row_number() OVER (ORDER BY source ASC NULLS LAST) - 1) % 3 + 1)::int] AS weight
+  FROM d GROUP BY source
+), l AS (
+  SELECT *, (2 * source_size)::double AS cap, (2 * source_size)::double / weight AS ratio FROM s
+), v AS (
+  SELECT *, (1.5::double * (sum(source_size) OVER ())::bigint
+             - coalesce(sum(cap) OVER (ORDER BY ratio, source ASC NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+            / ((sum(weight) OVER ()) - coalesce(sum(weight) OVER (ORDER BY ratio, source ASC NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))::bigint AS level
+  FROM l
+), f AS (SELECT level AS final FROM v WHERE ratio > level ORDER BY ratio, source ASC NULLS LAST LIMIT 1
+), t AS (
+  SELECT source, source_size,
+         CASE WHEN ratio <= level OR (SELECT final FROM f) IS NULL THEN cap ELSE (SELECT final FROM f) * weight END AS target
+  FROM v
+), x AS (
+  SELECT d.doc_id, d.size, t.source_size, t.target,
+         CASE WHEN t.source_size > 0 THEN t.target / t.source_size ELSE 0 END AS rate,
+         ('0x' || substr(md5(concat_ws(':', '17', coalesce(d.doc_id::varchar, ''), coalesce(d.source, ''), coalesce(d.text, ''))), 1, 13))::bigint
+           / 4503599627370496::double AS draw
+  FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source
+)
+SELECT doc_id, size, source_size, target,
+       (size * (floor(rate)::bigint + CASE WHEN draw < rate - floor(rate) THEN 1 ELSE 0 END))::bigint AS taken
+FROM x
+"""
+
+OP10 = rf"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
+         string_split(coalesce(text, ''), chr(10)) AS l
+  FROM documents
+), g AS (
+  SELECT r, i, row(w[i], w[i+1], w[i+2], w[i+3], w[i+4]) AS x
+  FROM (SELECT r, w, unnest(generate_series(1, len(w) - 4)) AS i FROM d)
+), p AS (
+  SELECT r, least(5, coalesce(lead(i) OVER (PARTITION BY r ORDER BY i) - i, 5)) AS c
+  FROM (SELECT r, i, count(*) OVER (PARTITION BY r, x) AS n FROM g) WHERE n > 1
+), k AS (SELECT r, sum(c)::bigint AS n FROM p GROUP BY r
+), u AS (
+  SELECT r, line, len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) AS lw,
+         length(regexp_replace(line, '[\x20\x09-\x0D]+', '', 'g')) AS lc
+  FROM (SELECT r, unnest(l) AS line FROM d)
+), b AS (
+  SELECT r, count(*)::bigint AS n, sum(lc)::bigint AS lost FROM u
+  WHERE lw > 0 AND (
+    (lw >= {quality.SENTENCE_WORDS} AND NOT regexp_matches(line, '{quality.CLOSED.replace("'", "''")}'))
+    OR 100 * len(regexp_extract_all(line, '[#*$%&|<>]')) > {quality.MOST_SYMBOLS} * length(line)
+    OR (lw >= 3 AND 100 * len(regexp_extract_all(line, '{quality.SHOUTED}')) > {quality.MOST_SHOUTED} * lw)
+    OR len(regexp_extract_all(line, '{quality.SEPARATED}')) >= {quality.LEAST_SEPARATORS}
+    OR regexp_matches(line, '{quality.NAVIGATION}')
+    OR regexp_matches(line, '{quality.BOILERPLATE}'))
+  GROUP BY r
+), y AS (
+  SELECT r, (count(*) - count(DISTINCT line))::bigint AS n FROM u WHERE lw > 0 GROUP BY r
+), z AS (
+  SELECT doc_id, len(w)::bigint AS n_words, length(list_aggregate(w, 'string_agg', ''))::bigint AS wc,
+         len(regexp_extract_all(t, '[#*$%&|<>]'))::bigint AS n_symbols,
+         coalesce(y.n, 0) AS n_dup_lines, coalesce(k.n, 0) AS n_repeat_words,
+         coalesce(b.n, 0) AS n_bad_lines, coalesce(b.lost, 0) AS lost_chars
+  FROM d LEFT JOIN k USING (r) LEFT JOIN b USING (r) LEFT JOIN y USING (r)
+)
+SELECT doc_id, n_words, coalesce(wc, 0) AS word_chars, n_symbols, n_dup_lines, n_repeat_words,
+       n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed,
+       NOT (n_words < 10 OR 100 * n_repeat_words > 20 * n_words) AND 100 * lost_chars <= {quality.MOST_LOST} * coalesce(wc, 0) AS kept,
+       n_bad_lines, lost_chars
+FROM z
+"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op5_mixing": OP5, "op10_quality_rules": OP10}

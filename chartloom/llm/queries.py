@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import token_blocks
+from . import mixing, quality, token_blocks
 
 
 def tokenizer_path(name: str) -> str:
@@ -24,5 +24,13 @@ def op1_token_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_blocks.token_blocks(read(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
 
 
+def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix_report(read(spark, sf_dir, "documents"))
+
+
+def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality_rules(read(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_token_blocks,)}
+    return {f.__name__: f for f in (op1_token_blocks, op5_mixing, op10_quality_rules)}
