@@ -44,6 +44,7 @@ class Stash:
     def keep(self, df: DataFrame, label: str) -> DataFrame:
         """``df`` as written and read again."""
         df.write.mode("overwrite").parquet(self.path(label))
+        self.spark._jvm.System.gc()  # lets Spark remove the shuffle files of what is written now
         return self.spark.read.schema(df.schema).parquet(self.path(label))
 
     def drop(self, *labels: str) -> None:
