@@ -81,5 +81,24 @@ FROM z
 """
 
 
+OP6 = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+), g AS (
+  SELECT r, doc_id, i, md5(array_to_string(w[i:i+49], ' ')) AS x
+  FROM (SELECT r, doc_id, w, unnest(generate_series(1, len(w) - 49)) AS i FROM d)
+), f AS (
+  SELECT r, i FROM (SELECT r, doc_id, i, min(doc_id) OVER (PARTITION BY x) AS low FROM g) WHERE low < doc_id
+), c AS (SELECT DISTINCT r, unnest(generate_series(i, i + 49)) AS i FROM f
+), k AS (
+  SELECT r, string_agg(x, ' ' ORDER BY i) AS t, count(*) AS n
+  FROM (SELECT r, unnest(w) AS x, unnest(generate_series(1, len(w))) AS i FROM d) LEFT JOIN (SELECT r, i, true AS cut FROM c) USING (r, i)
+  WHERE cut IS NULL GROUP BY r
+)
+SELECT doc_id, len(w)::bigint AS n_words, (len(w) - coalesce(n, 0))::bigint AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
+FROM d LEFT JOIN k USING (r)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op5_mixing": OP5, "op10_quality_rules": OP10}
+    return {"op5_mixing": OP5, "op6_repeated_passages": OP6, "op10_quality_rules": OP10}

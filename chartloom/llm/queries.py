@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import mixing, near_duplicates, pii, quality, token_blocks
+from . import mixing, near_duplicates, pii, quality, repeated_passages, token_blocks
 
 
 def tokenizer_path(name: str) -> str:
@@ -36,9 +36,13 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_report(read(spark, sf_dir, "documents"))
 
 
+def op6_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeated_passages.repeated_passages(read(spark, sf_dir, "documents"))
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_rules(read(spark, sf_dir, "documents"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_token_blocks, op3_near_duplicates, op4_personal_data, op5_mixing, op10_quality_rules)}
+    return {f.__name__: f for f in (op1_token_blocks, op3_near_duplicates, op4_personal_data, op5_mixing, op6_repeated_passages, op10_quality_rules)}
