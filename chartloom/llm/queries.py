@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import mixing, near_duplicates, pii, quality, repeated_passages, token_blocks
+from . import decontamination, mixing, near_duplicates, pii, quality, repeated_passages, token_blocks
 
 
 def tokenizer_path(name: str) -> str:
@@ -24,6 +24,10 @@ def op1_token_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_blocks.token_blocks(read(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
 
 
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.matches(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
 def op3_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates.near_duplicates(read(spark, sf_dir, "documents"), size=2, percent=80)
 
@@ -45,4 +49,4 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_token_blocks, op3_near_duplicates, op4_personal_data, op5_mixing, op6_repeated_passages, op10_quality_rules)}
+    return {f.__name__: f for f in (op1_token_blocks, op2_decontamination, op3_near_duplicates, op4_personal_data, op5_mixing, op6_repeated_passages, op10_quality_rules)}
