@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import json
 import re
+import struct
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -44,6 +45,10 @@ _UNUSUAL = re.compile("[\0\t\r\x0b\x0c\x1c-\x1f\x85\xa0  -     　
 _SEGMENT = re.compile("[ \n]*[^ \n]+|[ \n]+")
 
 
+def _packed(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
+
+
 class Encoder:
     """Ids of whole texts from a ``tokenizers`` file, equal to ``encode(text, add_special_tokens=False)``.
 
@@ -68,6 +73,8 @@ class Encoder:
         shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
         hidden = [b for b in range(256) if b not in set(shown)]
         self.letters = dict(zip(shown, map(chr, shown), strict=True)) | {b: chr(256 + i) for i, b in enumerate(hidden)}
+        self.space = self.letters[ord(" ")]
+        self.marks = {m: _packed(self.tokenizer.encode(m, add_special_tokens=False).ids) for m in ".,"}
 
     def segments(self, text: str) -> list[str]:
         if not self.apart or _UNUSUAL.search(text):
@@ -77,25 +84,29 @@ class Encoder:
         return text.replace("\n", "\0\n").replace(" ", "\0 ").split("\0")
 
     def learn(self, segments: set[str]) -> None:
-        """Adds segments. A space and letters are one pre-token, which goes to the model at once."""
-        known, rest = self.known, []
+        """Adds segments. A space and letters are one pre-token, which goes to the model at once; a mark
+        after them is another. All other segments go through the whole tokenizer."""
+        known, rest, word_ids = self.known, [], self._word
         for s in segments:
-            word = s[1:] if s[:1] == " " else s
-            if self.apart and word.isalpha():
-                known[s] = self._word(s)
-            elif self.apart and word[-1:] in (".", ",") and word[:-1].isalpha():  # letters, then one mark: two pre-tokens
-                known[s] = self._word(s[:-1]) + self._word(s[-1])
+            word = s[1:] if s[0] == " " else s
+            if not self.apart:
+                rest.append(s)
+            elif word.isalpha():
+                known[s] = word_ids(s)
+            elif word[-1:] in self.marks and word[:-1].isalpha():
+                base = s[:-1]
+                known[s] = (known.get(base) or word_ids(base)) + self.marks[s[-1]]
             else:
                 rest.append(s)
         for s, e in zip(rest, self.tokenizer.encode_batch_fast(rest, add_special_tokens=False), strict=True):
-            known[s] = np.array(e.ids, "<u4").tobytes()
+            known[s] = _packed(e.ids)
 
     def _word(self, pre_token: str) -> bytes:
-        found = self.known.get(pre_token)
-        if found is None:
+        if pre_token.isascii():
+            mapped = pre_token.replace(" ", self.space)
+        else:
             mapped = pre_token.encode().decode("latin1").translate(self.letters)
-            found = np.array([t.id for t in self.model.tokenize(mapped)], "<u4").tobytes()
-        return found
+        return _packed([t.id for t in self.model.tokenize(mapped)])
 
     def __call__(self, texts: list[str]) -> Iterator[Iterator[bytes]]:
         """For each text its ids as little-endian unsigned 32-bit integers, in pieces."""
