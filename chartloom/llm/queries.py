@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontamination, language_id, mixing, near_duplicates, pii, quality, repeated_passages, token_blocks
+from . import decontamination, language_id, mixing, near_duplicates, pii, quality, repeated_passages, secrets, token_blocks, token_counts
 
 
 def tokenizer_path(name: str) -> str:
@@ -48,9 +48,17 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.language_report(read(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.tiktoken"))
 
 
+def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.secrets(read(spark, sf_dir, "documents"))
+
+
+def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.token_counts(read(spark, sf_dir, "documents"), tokenizer_path("piece_bpe_32k.model"))
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_rules(read(spark, sf_dir, "documents"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_token_blocks, op2_decontamination, op3_near_duplicates, op4_personal_data, op5_mixing, op6_repeated_passages, op7_language_id, op10_quality_rules)}
+    return {f.__name__: f for f in (op1_token_blocks, op2_decontamination, op3_near_duplicates, op4_personal_data, op5_mixing, op6_repeated_passages, op7_language_id, op8_secrets, op9_token_counts, op10_quality_rules)}
