@@ -60,5 +60,15 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_rules(read(spark, sf_dir, "documents"))
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline  # it stands at the top of the repository and imports this module
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_token_blocks, op2_decontamination, op3_near_duplicates, op4_personal_data, op5_mixing, op6_repeated_passages, op7_language_id, op8_secrets, op9_token_counts, op10_quality_rules)}
+    operators = (
+        op1_token_blocks, op2_decontamination, op3_near_duplicates, op4_personal_data, op5_mixing,
+        op6_repeated_passages, op7_language_id, op8_secrets, op9_token_counts, op10_quality_rules, pipeline,
+    )
+    return {f.__name__: f for f in operators}
