@@ -118,8 +118,9 @@ def quality_rules(docs: DataFrame) -> DataFrame:
 
 def clean(docs: DataFrame) -> DataFrame:
     """The rows that are kept, without the lines that failed; all columns stay, ``n_chars`` follows the text."""
-    held = measures(docs)
-    kept = held.filter(_verdict(F.col("q"))[1])
+    # the row number keeps the filter above the measures; pushed below, it would repeat them for each use
+    held = measures(docs).withColumn("q_row", F.monotonically_increasing_id())
+    kept = held.filter(_verdict(F.col("q"))[1] & (F.col("q_row") >= 0))
     text = F.when(F.col("q")["n_bad_lines"] == 0, F.col("text")).otherwise(F.array_join(F.filter("q_lines", lambda x: ~line_fails(x)), "\n"))
     kept = kept.withColumn("text", text)
     if "n_chars" in docs.columns:
