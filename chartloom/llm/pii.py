@@ -124,7 +124,7 @@ def _spans(docs: DataFrame, stash: Stash) -> tuple[DataFrame, DataFrame]:
     found = base_spans(docs)
     text = F.when(F.size("base") > 0, F.col("text"))  # kept only where something is found
     held = stash.keep(found.select("doc_id", "key", "base", text.alias("text"), F.array_distinct(F.transform("base", _entity)).alias("entities")), "base")
-    total = held.agg(F.count("*").alias("total"))
+    total = held.count()
     named = held.filter(F.size("entities") > 0).select("key", F.explode("entities").alias("entity"))
     known = stash.keep(named.groupBy("entity").agg(F.count("*").alias("n_entity")).filter(F.col("n_entity") >= SUPPORT), "entities")
     holders = stash.keep(named.join(_few(known), "entity"), "holders")  # a row for each entity and document that holds it
@@ -135,9 +135,9 @@ def _spans(docs: DataFrame, stash: Stash) -> tuple[DataFrame, DataFrame]:
     wanted = pairs.select("term").distinct()
     in_row = F.array_distinct(F.regexp_extract_all(F.lower(column(docs, "text", "string")), F.lit(TERM), F.lit(0)))
     counted = docs.select(F.explode(in_row).alias("term")).join(_few(wanted), "term", "left_semi").groupBy("term").agg(F.count("*").alias("n_term"))
-    both = pairs.join(counted, "term").crossJoin(F.broadcast(total))  # one row
-    information = F.log2(F.col("total") / F.col("n_entity"))
-    share = F.log2(F.col("n_both") * F.col("total") / (F.col("n_entity") * F.col("n_term"))) / information
+    both = pairs.join(counted, "term")
+    information = F.log2(F.lit(total) / F.col("n_entity"))
+    share = F.log2(F.col("n_both") * total / (F.col("n_entity") * F.col("n_term"))) / information
     risky = stash.keep(both.filter(information > 0).filter(share >= DISCLOSED).select("entity", "term"), "risky")
     hits = terms.join(holders.select("key", "entity").distinct(), "key").join(_few(risky), ["entity", "term"], "left_semi")
     span = F.struct("start", F.lit(4).alias("kind"), "end", F.col("term").alias("found"))
