@@ -7,6 +7,7 @@ stands, Myers' bit-parallel algorithm computes the edit distance of the whole it
 
 from __future__ import annotations
 
+import math
 import re
 from collections import defaultdict
 from collections.abc import Iterator
@@ -112,7 +113,7 @@ class Matcher:
                 continue
             around.sort()
             least, (low, high) = k + 1, around[0]
-            for a, b in [*around[1:], (len(text) + 1, 0)]:
+            for a, b in [*around[1:], (math.inf, 0)]:
                 if a > high:
                     around_it = text[low:high]
                     if len(own - grams(around_it)) <= GRAM * k:
