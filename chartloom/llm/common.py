@@ -128,3 +128,13 @@ def windows(hashes: np.ndarray, n: int) -> np.ndarray:
 def column(df: DataFrame, name: str, kind: str) -> F.Column:
     """The column of that name, whatever else the table has; null of that type where it is absent."""
     return df[name].cast(kind).alias(name) if name in df.columns else F.lit(None).cast(kind).alias(name)
+
+
+def packed(docs: DataFrame, **kinds: str) -> DataFrame:
+    """The rows as one struct ``_row`` beside the named columns, so that no other name can clash."""
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), *[column(docs, k, v) for k, v in kinds.items()])
+
+
+def unpacked(rows: DataFrame, columns: list[str], **replaced: F.Column) -> DataFrame:
+    """The columns of what was packed, some of them replaced."""
+    return rows.select(*[replaced.get(c, F.col("_row")[c]).alias(c) for c in columns])

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import WORD, Stash, column
+from .common import WORD, Stash, column, packed, unpacked
 
 #: Weights of the sources in the order of their names, over and over.
 WEIGHTS = (3, 1, 2)
@@ -74,5 +74,5 @@ def mix_report(docs: DataFrame, **options) -> DataFrame:
 
 def mix(docs: DataFrame, **options) -> DataFrame:
     """The mix itself: every document as often as it is taken, with the columns of ``docs``."""
-    held = plan(docs, **options).filter("mix_copies > 0")
-    return held.withColumn("mix_copy", F.explode(F.sequence(F.lit(1), F.col("mix_copies")))).select(*[F.col(f"`{c}`") for c in docs.columns])
+    held = plan(packed(docs, doc_id="string", source="string", text="string"), **options).filter("mix_copies > 0")
+    return unpacked(held.withColumn("mix_copy", F.explode(F.sequence(F.lit(1), F.col("mix_copies")))), docs.columns)

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import Stash, column
+from .common import Stash, column, packed, unpacked
 
 # Kinds in the order of the report. The patterns find what [A-Za-z0-9._%+-]+@..., [0-9]+(\.[0-9]+)...,
 # [0-9]([\x20-]?[0-9])+ and \+[0-9][\x20().0-9-]+[0-9] find, but give up a start that a longer one has
@@ -175,7 +175,7 @@ def sanitise(docs: DataFrame) -> DataFrame:
     held, added = _spans(docs, Stash(docs.sparkSession, "sanitise"))
     spans = _every(held.select("key", "base"), added).filter(F.size("every") > 0).select("key", "every").dropDuplicates(["key"])
     names = F.array(*[F.lit(f"[{k.upper()}]") for k in KINDS])
-    rows = docs.withColumn("pii_key", F.xxhash64(column(docs, "doc_id", "long"), F.coalesce(column(docs, "text", "string"), F.lit(""))))
+    rows = packed(docs, doc_id="long", text="string").withColumn("pii_key", F.xxhash64("doc_id", F.coalesce("text", F.lit(""))))
     rows = rows.join(spans.select(F.col("key").alias("pii_key"), F.col("every").alias("pii_spans")), "pii_key", "left")
     text = F.col("text")
 
@@ -186,4 +186,4 @@ def sanitise(docs: DataFrame) -> DataFrame:
 
     last = lambda a: F.concat(a["out"], F.substring(text, a["at"] + 1, F.length(text)))
     clean = F.aggregate("pii_spans", F.struct(F.lit(0).alias("at"), F.lit("").alias("out")), step, last)
-    return rows.withColumn("text", F.when(F.col("pii_spans").isNull(), text).otherwise(clean)).select(*[F.col(f"`{c}`") for c in docs.columns])
+    return unpacked(rows, docs.columns, text=F.when(F.col("pii_spans").isNull(), text).otherwise(clean))

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import column
+from .common import column, packed, unpacked
 
 #: A document may lose this share of its words' characters with its lines, in hundredths.
 MOST_LOST = 40
@@ -119,10 +119,9 @@ def quality_rules(docs: DataFrame) -> DataFrame:
 def clean(docs: DataFrame) -> DataFrame:
     """The rows that are kept, without the lines that failed; all columns stay, ``n_chars`` follows the text."""
     # the row number keeps the filter above the measures; pushed below, it would repeat them for each use
-    held = measures(docs).withColumn("q_row", F.monotonically_increasing_id())
+    held = measures(packed(docs, text="string")).withColumn("q_row", F.monotonically_increasing_id())
     kept = held.filter(_verdict(F.col("q"))[1] & (F.col("q_row") >= 0))
     text = F.when(F.col("q")["n_bad_lines"] == 0, F.col("text")).otherwise(F.array_join(F.filter("q_lines", lambda x: ~line_fails(x)), "\n"))
     kept = kept.withColumn("text", text)
-    if "n_chars" in docs.columns:
-        kept = kept.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return kept.select(*[F.col(f"`{c}`") for c in docs.columns])
+    chars = {"n_chars": F.length("text").cast(docs.schema["n_chars"].dataType)} if "n_chars" in docs.columns else {}
+    return unpacked(kept, docs.columns, text=F.col("text"), **chars)
