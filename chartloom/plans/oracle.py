@@ -219,7 +219,7 @@ SQL = {
     "genres_join": "SELECT p_partkey, concat_ws(', ', p_type, CASE WHEN p_size % 2 = 0 THEN p_brand END) AS genres FROM part",
     "normalize_movie": "SELECT id, title, CASE WHEN id % 3 <> 0 THEN release_date END AS release_date, CASE WHEN id % 2 = 0 THEN revenue ELSE 0 END AS revenue, 0::bigint AS budget, popularity FROM movies",
     "archive_urls": """SELECT week_start, i::bigint AS priority, CASE i WHEN 0 THEN b || strftime(week_start, '%Y/%m/%d/') WHEN 1 THEN b || strftime(week_start, '%Y-%m-%d/') WHEN 2 THEN b || strftime(week_start, '?date=%Y-%m-%d') ELSE b || strftime(week_start, '?year=%Y&month=%m&day=%d') END AS url
-      FROM (SELECT DISTINCT week_start, 'https://charts.example/boxoffice/' AS b FROM fact), generate_series(0, 3) t(i)""",
+      FROM (SELECT DISTINCT week_start, 'https://charts.example/weekly/' AS b FROM fact), generate_series(0, 3) t(i)""",
     "release_dates_json": "SELECT id, CASE WHEN id % 5 < 3 THEN strftime(release_date, '%Y-%m-%d') || ',' || strftime(release_date + 9, '%Y-%m-%d') ELSE strftime(release_date, '%Y-%m-%d') END AS dates FROM movies",
     "raw_snapshot_digest": "SELECT page_id, url, sha256(html) AS content_sha256 FROM pages",
     "parse_chart_pages": """SELECT territory, week_start, week_end, rank, title, distributor, weekly_gross // 100 * 100 AS weekly_gross, total_gross // 100 * 100 AS total_gross, screen_count, weeks_in_release,

@@ -20,7 +20,7 @@ from . import export
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
-BASE_URL = "https://charts.example/boxoffice"
+BASE_URL = "https://charts.example/weekly"
 
 
 def query(f: Query) -> Query:
