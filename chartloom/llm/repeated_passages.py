@@ -17,7 +17,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Stash, WordHashes, batches, column, short_batches, windows
+from .common import Stash, WordHashes, batches, column, packed, short_batches, unpacked, windows
 
 WINDOW = 50
 #: Residues modulo the period whose differences are all residues but 0, each once.
@@ -125,7 +125,7 @@ def _changes(docs: DataFrame, stash: Stash) -> tuple[DataFrame, DataFrame, DataF
     first = long_.join(_few(classes), "key", "left").filter("rep is null or doc_id = rep")
     marked = first.select("rid", F.explode("anchors").alias("hash"))
     shared = stash.keep(marked.groupBy("hash").agg(F.count("*").alias("n")).filter("n > 1").select("hash"), "shared")
-    own = marked.join(_few(shared), "hash", "left_semi").groupBy("rid").agg(F.collect_set("hash").alias("shared"))
+    own = marked.join(shared, "hash", "left_semi").groupBy("rid").agg(F.collect_set("hash").alias("shared"))
     own = stash.keep(own, "own")
     ids = long_.select("rid", F.col("doc_id").alias("id"), "key").join(own, "rid").dropDuplicates(["rid"])
     ids = stash.keep(ids, "ids")
@@ -181,13 +181,13 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     copy = F.col("doc_id") > F.col("rep")
     changed = rows.filter(copy | F.col("kept").isNotNull()).select(F.col("doc_id").alias("cut_id"), F.hex("key").alias("cut_key"), F.when(copy, F.lit("")).otherwise(F.col("kept")).alias("cut_text"))
     changed = stash.keep(changed.dropDuplicates(["cut_id", "cut_key"]), "changed")
-    schema = docs.withColumn("cut_key", F.lit("")).schema
+    whole = packed(docs, doc_id="long", text="string")
 
     def keyed(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for x in source:
             keys = [xxhash.xxh3_128_digest(b" ".join(words_of(t))).hex().upper() for t in x.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([*x.columns, pa.array(keys)], names=[*x.schema.names, "cut_key"])
+            yield pa.RecordBatch.from_arrays([*x.columns, pa.array(keys, pa.string())], names=[*x.schema.names, "own_key"])
 
-    marked = docs.mapInArrow(keyed, schema)
-    out = marked.join(changed, (marked["doc_id"] == changed["cut_id"]) & (marked["cut_key"] == changed["cut_key"]), "left")
-    return out.withColumn("text", F.coalesce("cut_text", "text")).select(*[F.col(f"`{c}`") for c in docs.columns])
+    marked = whole.mapInArrow(keyed, whole.withColumn("own_key", F.lit("")).schema)
+    out = marked.join(changed, (F.col("doc_id") == F.col("cut_id")) & (F.col("own_key") == F.col("cut_key")), "left")
+    return unpacked(out, docs.columns, text=F.coalesce("cut_text", "text"))
