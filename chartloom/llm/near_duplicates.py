@@ -21,20 +21,21 @@ from pyspark.sql import functions as F
 from .common import Stash, WordHashes, batches, column, mix, short_batches, windows
 from .graph import components
 
-#: 50 bands of 6: two sets at the least similarity of 0.8 share no band with a probability of 3 in 10 million.
-BANDS, ROWS = 50, 6
+#: 80 bands of 8: two sets at the least similarity of 0.8 share no band with a probability of 4 in 10 million;
+#: two that have a quarter in common, such as a passage that very many documents hold, share one in 1 of 800.
+BANDS, ROWS = 80, 8
 SEED = 20_011
-#: Signatures estimate a similarity within 0.023 (one standard deviation, at 0.8); six of them are left.
-SLACK = 0.14
+#: Signatures estimate a similarity within 0.016 (one standard deviation, at 0.8); six of them are left.
+SLACK = 0.1
 #: Ids sent to every task at most, to pick the texts that are compared; a longer list is joined by its key.
 BROADCAST_IDS = 200_000
 #: Shingles that are hashed at a time, so that the table of hashes stays in a core's cache.
-BLOCK = 128
+BLOCK = 256
 
 
 def _coefficients(n: int) -> tuple[np.ndarray, np.ndarray]:
-    drawn = np.random.Generator(np.random.PCG64(SEED)).integers(0, 2**64, (2, n, 1), np.uint64)
-    return drawn[0] | np.uint64(1), drawn[1]
+    drawn = np.random.Generator(np.random.PCG64(SEED)).integers(0, 2**32, (2, n, 1), np.uint32)
+    return drawn[0] | np.uint32(1), drawn[1]
 
 
 def shingles(text: str | None, size: int, hashes: WordHashes) -> np.ndarray:
@@ -50,8 +51,9 @@ def shingles(text: str | None, size: int, hashes: WordHashes) -> np.ndarray:
 
 
 def minima(values: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """For each hash a * x + b (modulo 2**64, where the high bits count) its least value over the set."""
-    least = None
+    """For each hash a * x + b (modulo 2**32, where the high bits count) its least value over the set; x is
+    the upper half of a shingle's hash."""
+    least, values = None, (values >> np.uint64(32)).astype(np.uint32)
     for i in range(0, len(values), BLOCK):
         table = a * values[i : i + BLOCK]
         table += b
@@ -80,7 +82,7 @@ def sign(docs: DataFrame, size: int, bands: int = BANDS, rows: int = ROWS) -> Da
                         continue
                     key = xxhash.xxh3_128_digest(values.tobytes())
                     if key not in last:
-                        least = minima(values, a, b).reshape(bands, rows)
+                        least = minima(values, a, b).astype(np.uint64).reshape(bands, rows)
                         joined = lane.copy()
                         for k in range(rows):
                             joined = mix(joined * np.uint64(0x9E3779B97F4A7C15) + least[:, k])
@@ -93,8 +95,18 @@ def sign(docs: DataFrame, size: int, bands: int = BANDS, rows: int = ROWS) -> Da
     return docs.select(column(docs, "doc_id", "long"), column(docs, "text", "string")).mapInArrow(run, kind)
 
 
+def _ids(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct()
+
+
+def _few(ids: DataFrame) -> DataFrame:
+    return F.broadcast(ids) if ids.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS else ids
+
+
 def _similar(pairs: DataFrame, signatures: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose signatures agree often enough."""
+    """The pairs (a, b) whose signatures agree often enough; only signatures of documents in a pair are shuffled."""
+    ids = _ids(pairs)
+    signatures = signatures.join(_few(ids), signatures["rep"] == ids["id"], "left_semi")
     side = lambda k: signatures.select(F.col("rep").alias(k), F.col("signature").alias(f"s{k}"))
     both = pairs.select("a", "b").join(side("a"), "a").join(side("b"), "b")
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
@@ -113,9 +125,8 @@ def _similar(pairs: DataFrame, signatures: DataFrame, percent: int) -> DataFrame
 
 def _sets(docs: DataFrame, ids: DataFrame, size: int) -> DataFrame:
     """(id, set) of the documents with these ids, from their whole texts."""
-    few = ids.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS
     rows = docs.select(column(docs, "doc_id", "long"), column(docs, "text", "string"))
-    rows = rows.join(F.broadcast(ids) if few else ids, rows["doc_id"] == ids["id"]).select("id", "text", "key")
+    rows = rows.join(_few(ids), rows["doc_id"] == ids["id"]).select("id", "text", "key")
     schema = pa.schema([("id", pa.int64()), ("set", pa.binary())])
 
     def run(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -135,7 +146,7 @@ def _sets(docs: DataFrame, ids: DataFrame, size: int) -> DataFrame:
 
 def _linked(pairs: DataFrame, docs: DataFrame, keys: DataFrame, size: int, percent: int, stash: Stash, label: str) -> DataFrame:
     """The pairs whose full sets have an intersection of ``percent`` hundredths of their union, or more."""
-    ids = pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct()
+    ids = _ids(pairs)
     ids = stash.keep(ids.join(keys, ids["id"] == keys["rep"]).select("id", "key"), f"{label}-ids")
     sets = stash.keep(_sets(docs, ids, size).dropDuplicates(["id"]), f"{label}-sets")
     side = lambda k: sets.select(F.col("id").alias(k), F.col("set").alias(f"s{k}"))
