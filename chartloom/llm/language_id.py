@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from .common import Stash, batches, column, short_batches
 
 #: Labelled documents that a language is learned from, on average; they are chosen by a hash of the doc_id.
-TRAIN_DOCS = 1_000
+TRAIN_DOCS = 400
 #: Longest piece and longest word of the batch form, in bytes; longer words take the same sums one by one.
 PIECE, SHORT = 16, 24
 ROUNDS = 3
@@ -87,30 +87,40 @@ class Unigrams:
                 scale += np.log(by)
         return np.log(recent[-1]) + scale
 
-    def learn(self, counts: dict[bytes, np.ndarray]) -> None:
-        """One round: the expected use of each piece over all segmentations of the counted words."""
-        used = np.zeros_like(self.p)
+    def learn(self, counts: dict[bytes, np.ndarray], rounds: int = ROUNDS) -> None:
+        """Expectation maximisation: in each round the expected use of each piece over all segmentations."""
         by = defaultdict(list)
         for w in counts:
             if len(w) < SHORT:
                 by[len(w) + 1].append(w)
+        blocks = []  # the matches are the same in every round
         for n, all_ in by.items():
             for at in range(0, len(all_), 20_000):
                 words = all_[at : at + 20_000]
-                ids = self._ids([b" " + w for w in words], n)
-                alpha = self._forward(ids, n, len(words))
-                beta = np.zeros_like(alpha)
-                beta[n] = np.array([counts[w] for w in words]) / alpha[n]
-                for (i, j), x in reversed(ids.items()):
+                found = self._ids([b" " + w for w in words], n)
+                matches = {}
+                for place, x in found.items():
                     on = np.flatnonzero(x)
-                    through = self.p[x[on]] * beta[j, on]
+                    if len(on):
+                        matches[place] = on.astype(np.int32), x[on].astype(np.int32)
+                blocks.append((n, np.array([counts[w] for w in words]), matches))
+        for _ in range(rounds):
+            used = np.zeros_like(self.p)
+            for n, weight, matches in blocks:
+                alpha = np.zeros((n + 1, len(weight), len(self.languages)))
+                alpha[0] = 1
+                for (i, j), (on, x) in matches.items():
+                    alpha[j, on] += alpha[i, on] * self.p[x]
+                beta = np.zeros_like(alpha)
+                beta[n] = weight / alpha[n]
+                for (i, j), (on, x) in reversed(matches.items()):
+                    through = self.p[x] * beta[j, on]
                     beta[i, on] += through
-                    for k in range(len(self.languages)):
-                        used[:, k] += np.bincount(x[on], alpha[i, on, k] * through[:, k], len(used))
-        whole = used.sum(axis=1, keepdims=True) + 1
-        whole[0] = 0
-        self.p = (1 - SMOOTHED) * used / np.maximum(used.sum(axis=0), 1e-9) + SMOOTHED * whole / whole.sum()
-        self.p[0] = 0
+                    np.add.at(used, x, alpha[i, on] * through)
+            whole = used.sum(axis=1, keepdims=True) + 1
+            whole[0] = 0
+            self.p = (1 - SMOOTHED) * used / np.maximum(used.sum(axis=0), 1e-9) + SMOOTHED * whole / whole.sum()
+            self.p[0] = 0
 
 
 def fit(labelled: DataFrame, pieces: dict[bytes, int], train_docs: int = TRAIN_DOCS) -> Unigrams | None:
@@ -140,8 +150,7 @@ def fit(labelled: DataFrame, pieces: dict[bytes, int], train_docs: int = TRAIN_D
     for lang, word, n in zip(*(c.to_pylist() for c in table.columns), strict=True):
         counts[word][place[lang]] += n
     model = Unigrams(pieces, languages)
-    for _ in range(ROUNDS):
-        model.learn(counts)
+    model.learn(counts)
     return model
 
 
