@@ -3,7 +3,9 @@
 Base spans come from patterns. Each distinct value that they find is a protected entity; documents that
 hold it and documents that hold a term are counted over the whole corpus, and a term discloses an
 entity by the share of the entity's information that the term carries: PMI(entity; term) over
-IC(entity). Where an entity stands, terms at or over the threshold become spans of kind ``term``, which
+IC(entity). The share is estimated for every entity, those of one document too; one document more, that
+holds the term and the entity at its rate in the corpus, keeps what few documents say from counting in
+full. Where an entity stands, terms at or over the threshold become spans of kind ``term``, which
 ``sanitise`` generalises like the base ones.
 """
 
@@ -31,8 +33,8 @@ PATTERNS = {
 MARKS = {"email": "@", "ip": None, "card": None, "phone": "+"}
 TERM = r"[\p{L}\p{N}]+"
 
-#: Documents that hold both the entity and the term, at least.
-SUPPORT = 3
+#: Documents that a term is taken to have beside its own, with the entity at its rate in the corpus.
+PRIOR = 1
 #: The share of an entity's information from which a term discloses it.
 DISCLOSED = 0.8
 #: A table of so many entities or terms is sent to every task; a longer one is joined by its key.
@@ -119,6 +121,16 @@ def _terms(rows: DataFrame) -> DataFrame:
     return free.select("key", "start", "end", F.lower("piece.found").alias("term"))
 
 
+def _counted(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(term, n_term) of the wanted terms over all documents; many are picked after the counts, which are far fewer than the words."""
+    in_row = F.array_distinct(F.regexp_extract_all(F.lower(column(docs, "text", "string")), F.lit(TERM), F.lit(0)))
+    every = docs.select(F.explode(in_row).alias("term"))
+    count = lambda df: df.groupBy("term").agg(F.count("*").alias("n_term"))
+    if wanted.count() <= BROADCAST_KEYS:
+        return count(every.join(F.broadcast(wanted), "term", "left_semi"))
+    return count(every).join(wanted, "term", "left_semi")
+
+
 def _spans(docs: DataFrame, stash: Stash) -> tuple[DataFrame, DataFrame]:
     """The rows with their base spans, and (key, added) with the spans that the corpus adds, one row for a key."""
     found = base_spans(docs)
@@ -126,20 +138,24 @@ def _spans(docs: DataFrame, stash: Stash) -> tuple[DataFrame, DataFrame]:
     held = stash.keep(found.select("doc_id", "key", "base", text.alias("text"), F.array_distinct(F.transform("base", _entity)).alias("entities")), "base")
     total = held.count()
     named = held.filter(F.size("entities") > 0).select("key", F.explode("entities").alias("entity"))
-    known = stash.keep(named.groupBy("entity").agg(F.count("*").alias("n_entity")).filter(F.col("n_entity") >= SUPPORT), "entities")
+    # entities of the same documents have the same counts, so one of them stands for all
+    of = lambda *more: F.sum(F.xxhash64("key", *more).cast("decimal(20,0)"))
+    sets = named.groupBy("entity").agg(F.count("*").alias("n_entity"), of().alias("s"), of(F.lit(1)).alias("t")).filter(F.col("n_entity") < total)
+    known = stash.keep(sets.groupBy("n_entity", "s", "t").agg(F.min("entity").alias("entity")).select("entity", "n_entity"), "entities")
     holders = stash.keep(named.join(_few(known), "entity"), "holders")  # a row for each entity and document that holds it
     rows = held.join(_few(holders.select("key").distinct()), "key", "left_semi").dropDuplicates(["key"])
     terms = stash.keep(_terms(rows), "terms")
-    pairs = holders.join(terms.select("key", "term").distinct(), "key").groupBy("entity", "term").agg(F.count("*").alias("n_both"), F.first("n_entity").alias("n_entity"))
-    pairs = stash.keep(pairs.filter(F.col("n_both") >= SUPPORT), "pairs")
-    wanted = pairs.select("term").distinct()
-    in_row = F.array_distinct(F.regexp_extract_all(F.lower(column(docs, "text", "string")), F.lit(TERM), F.lit(0)))
-    counted = docs.select(F.explode(in_row).alias("term")).join(_few(wanted), "term", "left_semi").groupBy("term").agg(F.count("*").alias("n_term"))
-    both = pairs.join(counted, "term")
-    information = F.log2(F.lit(total) / F.col("n_entity"))
-    share = F.log2(F.col("n_both") * total / (F.col("n_entity") * F.col("n_term"))) / information
-    risky = stash.keep(both.filter(information > 0).filter(share >= DISCLOSED).select("entity", "term"), "risky")
-    hits = terms.join(holders.select("key", "entity").distinct(), "key").join(_few(risky), ["entity", "term"], "left_semi")
+    counted = stash.keep(_counted(docs, stash.keep(terms.select("term").distinct(), "wanted")), "counted")
+
+    # PMI / IC >= DISCLOSED says the same as P(entity | term) >= P(entity) ** (1 - DISCLOSED)
+    rate = F.col("n_entity") / F.lit(total)
+    given = lambda n_both: (n_both + PRIOR * rate) / (F.col("n_term") + PRIOR)
+    near = terms.select("key", "term").distinct().join(counted, "term").join(holders, "key")
+    near = near.filter(given(F.col("n_entity")) >= F.pow(rate, F.lit(1 - DISCLOSED)) * (1 - 1e-9))  # no pair has more than n_entity documents
+    pairs = near.groupBy("entity", "term").agg(F.count("*").alias("n_both"), F.first("n_entity").alias("n_entity"), F.first("n_term").alias("n_term"))
+    share = 1 - F.log2(given(F.col("n_both"))) / F.log2(rate)
+    risky = stash.keep(pairs.filter(share >= DISCLOSED).select("entity", "term"), "risky")
+    hits = near.join(_few(risky), ["entity", "term"], "left_semi").select("key", "term").distinct().join(terms, ["key", "term"])
     span = F.struct("start", F.lit(4).alias("kind"), "end", F.col("term").alias("found"))
     return held, hits.groupBy("key").agg(F.array_sort(F.collect_set(span)).alias("added"))
 
