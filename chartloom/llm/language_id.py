@@ -20,8 +20,10 @@ from .common import Stash, batches, column, short_batches
 
 #: Labelled documents that a language is learned from, on average; they are chosen by a hash of the doc_id.
 TRAIN_DOCS = 400
-#: Longest piece and longest word of the batch form, in bytes; longer words take the same sums one by one.
+#: Longest piece, and least length of a word whose sums are scaled, in bytes.
 PIECE, SHORT = 16, 24
+#: Bytes of scaled words that are learned from at a time, times languages; a matter of memory only.
+CELLS = 800_000
 ROUNDS = 3
 #: Of a piece's probability this part comes from the vocabulary as a whole, so that none is impossible.
 SMOOTHED = 0.01
@@ -89,10 +91,12 @@ class Unigrams:
 
     def learn(self, counts: dict[bytes, np.ndarray], rounds: int = ROUNDS) -> None:
         """Expectation maximisation: in each round the expected use of each piece over all segmentations."""
-        by = defaultdict(list)
+        by, long = defaultdict(list), []
         for w in counts:
             if len(w) < SHORT:
                 by[len(w) + 1].append(w)
+            else:
+                long.append(w)
         blocks = []  # the matches are the same in every round
         for n, all_ in by.items():
             for at in range(0, len(all_), 20_000):
@@ -104,6 +108,7 @@ class Unigrams:
                     if len(on):
                         matches[place] = on.astype(np.int32), x[on].astype(np.int32)
                 blocks.append((n, np.array([counts[w] for w in words]), matches))
+        scaled = [self._matched(words, counts) for words in self._shared_out(long)]
         for _ in range(rounds):
             used = np.zeros_like(self.p)
             for n, weight, matches in blocks:
@@ -117,11 +122,62 @@ class Unigrams:
                     through = self.p[x] * beta[j, on]
                     beta[i, on] += through
                     np.add.at(used, x, alpha[i, on] * through)
+            for block in scaled:
+                self._use(used, *block)
             whole = used.sum(axis=1, keepdims=True) + 1
             whole[0] = 0
             self.p = (1 - SMOOTHED) * used / np.maximum(used.sum(axis=0), 1e-9) + SMOOTHED * whole / whole.sum()
             self.p[0] = 0
 
+    def _shared_out(self, words: list[bytes]) -> Iterator[list[bytes]]:
+        """The words in blocks of like lengths, the longest first."""
+        held: list[bytes] = []
+        for w in sorted(words, key=lambda w: (-len(w), w)):
+            if held and (len(held) + 1) * (len(held[0]) + 1) * len(self.languages) > CELLS:
+                yield held
+                held = []
+            held.append(w)
+        if held:
+            yield held
+
+    def _matched(self, words: list[bytes], counts: dict[bytes, np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Lengths and counts of the words, and places and numbers of their pieces; a place is (end, PIECE - length, word)."""
+        get, places, found = self.pieces.get, [], []
+        for r, word in enumerate(words):
+            w = b" " + word
+            for j in range(1, len(w) + 1):
+                for k in range(1, min(PIECE, j) + 1):
+                    x = get(w[j - k : j])
+                    if x:
+                        places.append((j * PIECE + PIECE - k) * len(words) + r)
+                        found.append(x)
+        return np.array([len(w) + 1 for w in words]), np.array([counts[w] for w in words]), np.array(places, np.int64), np.array(found, np.int32)
+
+    def _use(self, used: np.ndarray, lengths: np.ndarray, weight: np.ndarray, places: np.ndarray, found: np.ndarray) -> None:
+        """Adds the expected use of each piece in words of any length; the sums are held as logarithms."""
+        n, count = int(lengths[0]), len(lengths)
+        x = np.zeros((n + 1 + PIECE, PIECE, count), np.int32)
+        x.ravel()[places] = found
+        open_ = [int(np.count_nonzero(lengths >= j)) for j in range(n + 2)]  # words that reach position j come first
+        alpha = np.full((PIECE + n + 1, count, len(self.languages)), -np.inf)  # position j is at PIECE + j
+        alpha[PIECE] = 0
+        for j in range(1, n + 1):
+            a = open_[j]
+            last = alpha[PIECE + j - 1, :a]
+            alpha[PIECE + j, :a] = last + np.log((np.exp(alpha[j : PIECE + j, :a] - last) * self.p[x[j, :, :a]]).sum(axis=0))
+        beta = np.full((n + 1 + PIECE, count, len(self.languages)), -np.inf)
+        beta[lengths, np.arange(count)] = 0
+        whole = alpha[PIECE + lengths, np.arange(count)]
+        size = np.arange(1, PIECE + 1)
+        for i in range(n - 1, -1, -1):
+            a = open_[i + 1]
+            from_i, next_ = x[i + size, PIECE - size, :a], beta[i + 1, :a]
+            through = np.exp(beta[i + 1 : i + 1 + PIECE, :a] - next_) * self.p[from_i]
+            beta[i, :a] = next_ + np.log(through.sum(axis=0))
+            through *= weight[:a] * np.exp(alpha[PIECE + i, :a] + next_ - whole[:a])
+            on = from_i > 0
+            np.add.at(used, from_i[on], through[on])
+
 
 def fit(labelled: DataFrame, pieces: dict[bytes, int], train_docs: int = TRAIN_DOCS) -> Unigrams | None:
     """Learns from (doc_id, text, lang), on average from ``train_docs`` rows of a language; None without any."""
@@ -140,7 +196,7 @@ def fit(labelled: DataFrame, pieces: dict[bytes, int], train_docs: int = TRAIN_D
         for x in source:
             seen: dict[str, Counter] = defaultdict(Counter)
             for lang, text in zip(x.column(0).to_pylist(), x.column(1).to_pylist(), strict=True):
-                seen[lang].update(w for w in text.encode("utf-8", "surrogatepass").split() if len(w) < SHORT)
+                seen[lang].update(text.encode("utf-8", "surrogatepass").split())
             yield from batches(((k, w, n) for k, c in seen.items() for w, n in c.items()), schema, 20_000)
 
     counted = rows.mapInArrow(run, "lang string, word binary, n long").groupBy("lang", "word").agg(F.sum("n").alias("n"))

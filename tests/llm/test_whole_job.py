@@ -5,7 +5,12 @@ import random
 import re
 from collections import Counter, defaultdict
 
-from chartloom.llm import pii
+import numpy as np
+import public_tokenizers
+
+from chartloom.llm import language_id, pii
+
+RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
 def test_terms_of_rare_entities(spark, monkeypatch):
@@ -37,3 +42,34 @@ def test_terms_of_rare_entities(spark, monkeypatch):
         assert sorted((r["doc_id"], r["n_term"]) for r in found) == expected
     clean = {r["doc_id"]: r["text"] for r in pii.sanitise(df).collect()}
     assert clean[121] == "[EMAIL] [EMAIL] [TERM] [TERM] [TERM] word1"
+
+
+def test_long_words_are_learned_as_short_ones(monkeypatch):
+    """The scaled sums give the probabilities of the plain ones, in blocks of any size."""
+    draw = random.Random(31)
+    pieces = {p: i for i, p in enumerate([b" ", b"a", b"b", b"ab", b" a", b"ba", b"abab", b"b" * 16], 1)}
+    words = ["".join(draw.choice("ab") for _ in range(draw.randint(1, 23))).encode() for _ in range(200)] + [b"b" * 22]
+    counts = {w: np.array([draw.randint(0, 3), draw.randint(0, 3)], float) for w in words}
+    learned = []
+    for short, cells in ((24, 800_000), (1, 800_000), (1, 100), (9, 500)):
+        monkeypatch.setattr(language_id, "SHORT", short)
+        monkeypatch.setattr(language_id, "CELLS", cells)
+        model = language_id.Unigrams(pieces, ["x", "y"])
+        model.learn(counts)
+        learned.append(model.p)
+    assert all(np.allclose(learned[0], p, rtol=1e-9, atol=0) for p in learned[1:])
+    model = language_id.Unigrams(pieces, ["x", "y"])
+    model.learn({b"ab" * 3000: np.array([1.0, 0.0])})  # no underflow
+    assert np.isfinite(model.p).all() and model.p[pieces[b"abab"], 0] > 0.5
+
+
+def test_languages_without_spaces(spark):
+    """Clauses of many characters are one word each; digits and a Latin word are in every text."""
+    draw = random.Random(32)
+    letters = {"en": ["the", "thing", "with"], "ja": "のはがをにでとたしてるます日本語", "th": "กขคงจชซดตนบปมยรลวสหอะาิีเแ", "zh": "的一是不了在人有我他这中大来上国日本"}
+    clause = lambda k: " ".join(draw.choice(letters[k]) for _ in range(9)) if k == "en" else "".join(draw.choice(letters[k]) for _ in range(draw.randint(9, 40)))
+    docs = [(i, f"{clause(k)} {draw.randint(1, 99)} ok {clause(k)}", k) for i in range(400) for k in [draw.choice(list(letters))]]
+    found = language_id.language_report(spark.createDataFrame(docs, "doc_id long, text string, lang string"), RANKS).filter("held_out").collect()
+    right = Counter(docs[r["doc_id"]][2] for r in found if r["lang_pred"] == docs[r["doc_id"]][2])
+    held = Counter(docs[r["doc_id"]][2] for r in found)
+    assert len(held) == 4 and all(right[k] >= 0.95 * held[k] for k in held)
