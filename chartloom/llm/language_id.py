@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from .common import Stash, batches, column, short_batches
 
 #: Labelled documents that a language is learned from, on average; they are chosen by a hash of the doc_id.
-TRAIN_DOCS = 400
+TRAIN_DOCS = 1000
 #: Longest piece, and least length of a word whose sums are scaled, in bytes.
 PIECE, SHORT = 16, 24
 #: Bytes of scaled words that are learned from at a time, times languages; a matter of memory only.

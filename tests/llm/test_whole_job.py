@@ -73,3 +73,7 @@ def test_languages_without_spaces(spark):
     right = Counter(docs[r["doc_id"]][2] for r in found if r["lang_pred"] == docs[r["doc_id"]][2])
     held = Counter(docs[r["doc_id"]][2] for r in found)
     assert len(held) == 4 and all(right[k] >= 0.95 * held[k] for k in held)
+
+
+def test_the_language_sample_is_the_one_before_the_speed_up():
+    assert language_id.TRAIN_DOCS >= 1000
