@@ -32,7 +32,8 @@ LEAST_CANDIDATE = 20
 #: Labelled credentials of each kind, and ordinary tokens, that an automaton is inferred from at most; they
 #: are those with the least hashes.
 EXAMPLES = 800
-#: Characters of an example that are read.
+#: Characters of an example that an automaton is inferred from, which bounds the driver's memory; what is
+#: scored is scored whole, labelled examples too.
 LONGEST = 80
 #: Significance of a difference between two states.
 ALPHA = 0.05
@@ -44,7 +45,7 @@ UNSEEN = 1e-4
 
 def symbols(token: str) -> str:
     """Characters by class: digits, letters a-f and others in either case; all else as it is."""
-    return "".join("0" if c.isdigit() else "a" if "a" <= c <= "f" else "g" if "g" <= c <= "z" else "A" if "A" <= c <= "F" else "G" if "G" <= c <= "Z" else c for c in token[:LONGEST])
+    return "".join("0" if c.isdigit() else "a" if "a" <= c <= "f" else "g" if "g" <= c <= "z" else "A" if "A" <= c <= "F" else "G" if "G" <= c <= "Z" else c for c in token)
 
 
 def find(text: str | None) -> tuple[list[tuple[int, int, int]], list[tuple[int, str]], list[tuple[int, int, str]]]:
@@ -89,7 +90,7 @@ class Automaton:
     def _add(self, example: str) -> None:
         state = 0
         self.total[0] += 1
-        for c in example:
+        for c in example[:LONGEST]:
             if c not in self.next[state]:
                 self.next[state][c] = len(self.next)
                 self.next.append({})
@@ -99,7 +100,10 @@ class Automaton:
             self.seen[state][c] = self.seen[state].get(c, 0) + 1
             state = self.next[state][c]
             self.total[state] += 1
-        self.ends[state] += 1
+        if len(example) > LONGEST:  # it goes on unread, so nothing is known of what follows its last state
+            self.total[state] -= 1
+        else:
+            self.ends[state] += 1
 
     def _differ(self, f1: int, n1: int, f2: int, n2: int) -> bool:
         return n1 > 0 and n2 > 0 and abs(f1 / n1 - f2 / n2) > math.sqrt(0.5 * math.log(2 / ALPHA)) * (1 / math.sqrt(n1) + 1 / math.sqrt(n2))
@@ -159,7 +163,7 @@ class Automaton:
             total += math.log2(max(p, UNSEEN))
             state = self.next[state].get(c) if state is not None else None
         n = self.total[state] if state is not None else 0
-        total += math.log2(max(self.ends[state] / n if n else 0, UNSEEN)) if len(word) < LONGEST else 0.0
+        total += math.log2(max(self.ends[state] / n if n else 0, UNSEEN))
         return total / (len(word) + 1)
 
 

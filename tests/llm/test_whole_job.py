@@ -8,7 +8,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import public_tokenizers
 
-from chartloom.llm import language_id, pii
+from chartloom.llm import language_id, pii, secrets
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
@@ -77,3 +77,17 @@ def test_languages_without_spaces(spark):
 
 def test_the_language_sample_is_the_one_before_the_speed_up():
     assert language_id.TRAIN_DOCS >= 1000
+
+
+def test_whole_tokens_are_scored():
+    """A token is not judged by its first characters, however long it is."""
+    draw = random.Random(33)
+    some = lambda letters, n: "".join(draw.choice(letters) for _ in range(n))
+    key = lambda n: some("ABCDEF0123456789", n)
+    grammar = secrets.Grammar({0: [key(draw.randint(60, 300)) for _ in range(200)]}, [some("ghijklmnopqrstuvw/", draw.randint(20, 300)) for _ in range(200)])
+    assert all(grammar.accepts(key(n)) for n in (100, 200, 290))
+    assert not any(grammar.accepts(key(90) + some("ghijklmnopqrstuvw/", n)) for n in (200, 1000, 5000))
+    paths = secrets.Grammar({0: ["/srv/" + "abc/" * 20 + key(200) for _ in range(200)]}, [some("/abc", draw.randint(20, 300)) for _ in range(200)])
+    automaton = paths.kinds[0][0]
+    word = secrets.symbols("/srv/" + "abc/" * 20 + key(200))
+    assert len(word) == 285 and automaton.likelihood(word) != automaton.likelihood(word[:85])
