@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Stash, WordHashes, batches, column, mix, short_batches, windows
+from .common import Stash, WordHashes, batches, column, mix, packed, short_batches, unpacked, windows
 from .graph import components
 
 #: 80 bands of 8: two sets at the least similarity of 0.8 share no band with a probability of 4 in 10 million;
@@ -63,11 +63,11 @@ def minima(values: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 def sign(docs: DataFrame, size: int, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
-    """Per row: doc_id, n_shingles, key (of the whole set, null if empty), bands (an array of long), signature (a byte for each hash)."""
+    """Per row: doc_id, text_hash, n_shingles, key (of the whole set, null if empty), bands (an array of long), signature (a byte for each hash)."""
     short_batches(docs.sparkSession)
     a, b = _coefficients(bands * rows)
     lane = mix(np.arange(1, bands + 1, dtype=np.uint64))
-    schema = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("key", pa.binary()), ("bands", pa.list_(pa.int64())), ("signature", pa.binary())])
+    schema = pa.schema([("doc_id", pa.int64()), ("text_hash", pa.int64()), ("n_shingles", pa.int64()), ("key", pa.binary()), ("bands", pa.list_(pa.int64())), ("signature", pa.binary())])
 
     def run(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
@@ -75,10 +75,10 @@ def sign(docs: DataFrame, size: int, bands: int = BANDS, rows: int = ROWS) -> Da
         def signed() -> Iterator[tuple]:
             for x in source:
                 last: dict[bytes, tuple] = {}
-                for doc_id, text in zip(x.column(0).to_pylist(), x.column(1).to_pylist(), strict=True):
+                for doc_id, text, text_hash in zip(*(c.to_pylist() for c in x.columns), strict=True):
                     values = shingles(text, size, hashes)
                     if not len(values):
-                        yield doc_id, 0, None, None, None
+                        yield doc_id, text_hash, 0, None, None, None
                         continue
                     key = xxhash.xxh3_128_digest(values.tobytes())
                     if key not in last:
@@ -87,12 +87,13 @@ def sign(docs: DataFrame, size: int, bands: int = BANDS, rows: int = ROWS) -> Da
                         for k in range(rows):
                             joined = mix(joined * np.uint64(0x9E3779B97F4A7C15) + least[:, k])
                         last[key] = joined.view(np.int64), mix(least.ravel()).astype(np.uint8).tobytes()
-                    yield doc_id, len(values), key, *last[key]
+                    yield doc_id, text_hash, len(values), key, *last[key]
 
         yield from batches(signed(), schema, size=512)
 
-    kind = "doc_id long, n_shingles long, key binary, bands array<long>, signature binary"
-    return docs.select(column(docs, "doc_id", "long"), column(docs, "text", "string")).mapInArrow(run, kind)
+    kind = "doc_id long, text_hash long, n_shingles long, key binary, bands array<long>, signature binary"
+    text = column(docs, "text", "string")
+    return docs.select(column(docs, "doc_id", "long"), text, F.xxhash64(text).alias("text_hash")).mapInArrow(run, kind)
 
 
 def _ids(pairs: DataFrame) -> DataFrame:
@@ -124,9 +125,9 @@ def _similar(pairs: DataFrame, signatures: DataFrame, percent: int) -> DataFrame
 
 
 def _sets(docs: DataFrame, ids: DataFrame, size: int) -> DataFrame:
-    """(id, set) of the documents with these ids, from their whole texts."""
+    """(id, set) of the documents with these ids (id, key, low), from their whole texts."""
     rows = docs.select(column(docs, "doc_id", "long"), column(docs, "text", "string"))
-    rows = rows.join(_few(ids), rows["doc_id"] == ids["id"]).select("id", "text", "key")
+    rows = rows.join(_few(ids), rows["doc_id"] == ids["low"]).select("id", "text", "key")
     schema = pa.schema([("id", pa.int64()), ("set", pa.binary())])
 
     def run(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -147,7 +148,7 @@ def _sets(docs: DataFrame, ids: DataFrame, size: int) -> DataFrame:
 def _linked(pairs: DataFrame, docs: DataFrame, keys: DataFrame, size: int, percent: int, stash: Stash, label: str) -> DataFrame:
     """The pairs whose full sets have an intersection of ``percent`` hundredths of their union, or more."""
     ids = _ids(pairs)
-    ids = stash.keep(ids.join(keys, ids["id"] == keys["rep"]).select("id", "key"), f"{label}-ids")
+    ids = stash.keep(ids.join(keys, ids["id"] == keys["rep"]).select("id", "key", "low"), f"{label}-ids")
     sets = stash.keep(_sets(docs, ids, size).dropDuplicates(["id"]), f"{label}-sets")
     side = lambda k: sets.select(F.col("id").alias(k), F.col("set").alias(f"s{k}"))
     both = pairs.join(side("b"), "b").join(side("a"), "a").select("a", "b", "sa", "sb")
@@ -167,21 +168,24 @@ def _linked(pairs: DataFrame, docs: DataFrame, keys: DataFrame, size: int, perce
     return out
 
 
-def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
-    """Per row of ``docs``: doc_id, n_shingles, component_id, kept, n_equal (rows of its class).
+def _classes(signed: DataFrame, stash: Stash) -> DataFrame:
+    """(key, low, n_equal, rep) of the classes: ``low`` is the least doc_id, null if none has one, and ``rep``
+    stands for the class in links: the same, or a hash of the key where different sets have one ``low``."""
+    classes = signed.filter("key is not null").groupBy("key").agg(F.min("doc_id").alias("low"), F.count("*").alias("n_equal"))
+    classes = stash.keep(classes, "by-key")
+    shared = stash.keep(classes.filter("low is not null").groupBy("low").agg(F.count("*").alias("n")).filter("n > 1").select(F.col("low").alias("shared")), "shared-ids")
+    rep = F.when(F.col("shared").isNull(), F.col("low")).otherwise(F.xxhash64("key"))
+    return stash.keep(classes.join(_few(shared), F.col("low") == F.col("shared"), "left").select("key", "low", "n_equal", rep.alias("rep")), "classes")
 
-    Documents are linked when ``percent`` hundredths of the union of their shingle sets are in both;
-    ``component_id`` is the least ``doc_id`` that links reach and the document with that id is kept. Null
-    and empty texts have no shingles and are linked with nothing. Repeated rows get the same result. A
-    row without ``doc_id`` is linked through rows with an equal set only, and is kept if none has an id.
-    """
-    stash = Stash(docs.sparkSession, "near-duplicates")
+
+def _resolved(docs: DataFrame, size: int, percent: int, stash: Stash) -> tuple[DataFrame, DataFrame]:
+    """The signed rows, and (key, low, n_equal, part, component) of their classes: linked classes have one
+    ``part``, whose least ``low`` is ``component``; both are null where no row of the class has an id."""
     signed = stash.keep(sign(docs, size), "signed")
-    classes = signed.filter("key is not null").groupBy("key").agg(F.min("doc_id").alias("rep"), F.count("*").alias("n_equal"))
-    classes = stash.keep(classes, "classes")
-    first = signed.join(classes.filter("rep is not null").select("key", "rep"), "key").filter("doc_id = rep")
-    first = stash.keep(first.select("rep", "key", "bands", "signature").dropDuplicates(["rep", "key"]), "first")
-    keys, signatures = first.select("rep", "key"), first.select("rep", "signature")
+    classes = _classes(signed, stash)
+    first = signed.join(classes.filter("low is not null").select("key", "low", "rep"), "key").filter("doc_id = low")
+    first = stash.keep(first.select("rep", "low", "key", "bands", "signature").dropDuplicates(["rep", "key"]), "first")
+    keys, signatures = first.select("rep", "key", "low"), first.select("rep", "signature")
     members = first.select("rep", F.explode("bands").alias("band"))
 
     # every member of a bucket against the least one
@@ -205,19 +209,56 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
     stash.drop("rest", "again", "similar-again", "similar", "pairs")
     found = components(links.unionByName(more), stash, "all")
 
-    placed = classes.join(found, classes["rep"] == found["id"], "left").select("key", "n_equal", F.coalesce("component", "rep").alias("component"))
+    part = F.when(F.col("low").isNotNull(), F.coalesce("component", "rep"))
+    placed = classes.join(found, classes["rep"] == found["id"], "left").select("key", "low", "n_equal", "rep", part.alias("part"))
     placed = stash.keep(placed, "components")
     stash.drop("parts", "first")
-    rows = signed.select("doc_id", "n_shingles", "key").join(placed, "key", "left")
+    # a part's number is its least id but where the hash of a class is in it
+    hashed = stash.keep(placed.filter("rep <> low").select("part").distinct(), "hashed")
+    least = placed.join(_few(hashed), "part", "left_semi").groupBy("part").agg(F.min("low").alias("least"))
+    placed = placed.join(_few(stash.keep(least, "least")), "part", "left")
+    return signed, placed.select("key", "low", "n_equal", "part", F.coalesce("least", "part").alias("component"))
+
+
+def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
+    """Per row of ``docs``: doc_id, n_shingles, component_id, kept, n_equal (rows of its class).
+
+    Documents are linked when ``percent`` hundredths of the union of their shingle sets are in both;
+    ``component_id`` is the least ``doc_id`` that links reach and the document with that id is kept. Null
+    and empty texts have no shingles and are linked with nothing. Repeated rows get the same result. A
+    row without ``doc_id`` is linked through rows with an equal set only, and is kept if none has an id.
+    """
+    signed, placed = _resolved(docs, size, percent, Stash(docs.sparkSession, "near-duplicates"))
+    rows = signed.select("doc_id", "n_shingles", "key").join(placed.select("key", "n_equal", "component"), "key", "left")
     component = F.when(F.col("key").isNull(), F.col("doc_id")).otherwise(F.col("component"))
     return rows.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, component.isNull()).alias("kept"), F.coalesce("n_equal", F.lit(1)).cast("long").alias("n_equal"))
 
 
 def drop_near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
-    """One document of each group of near-duplicates, with the columns of ``docs``; of repeated rows with
-    one ``doc_id`` one stays. Rows without ``doc_id`` stay unless an equal set has one."""
-    found = Stash(docs.sparkSession, "near-duplicates-kept")
-    result = found.keep(near_duplicates(docs, size, percent), "result")
-    gone = result.filter("not kept and doc_id is not null").select("doc_id").distinct()
-    kept = docs.join(gone, "doc_id", "left_anti") if "doc_id" in docs.columns else docs
-    return kept.select(*[F.col(f"`{c}`") for c in docs.columns])
+    """One row of each group of near-duplicates, one with its least ``doc_id`` or, where none has an id, any,
+    with the columns of ``docs``. Of rows without shingles, those that are equal in ``doc_id`` and text are
+    one; without ``doc_id`` all of them stay."""
+    stash = Stash(docs.sparkSession, "near-duplicates-kept")
+    signed, placed = _resolved(docs, size, percent, stash)
+    texts = signed.groupBy("doc_id", "text_hash").agg(F.first("key").alias("key"), F.count("*").alias("n"))  # rows of one text
+    texts = texts.join(placed.select("key", "part", "component"), "key", "left")
+    only = F.when(F.col("part").isNull(), F.col("key"))  # a class without any id is a group of its own
+    least = F.col("key").isNotNull() & F.col("doc_id").eqNullSafe(F.col("component"))
+    texts = stash.keep(texts.select("doc_id", "text_hash", "n", "part", only.alias("only"), F.col("key").isNull().alias("bare"), least.alias("least")), "texts")
+    # where more texts than one have the least id of a group, the one with the least hash stays
+    tied = texts.filter("least").groupBy("part", "only").agg(F.min("text_hash").alias("best"), F.count("*").alias("m")).filter("m > 1")
+    tied = stash.keep(tied.select(F.col("part").alias("t_part"), F.col("only").alias("t_only"), "best"), "tied")
+    same = F.col("part").eqNullSafe(F.col("t_part")) & F.col("only").eqNullSafe(F.col("t_only")) & F.col("least")
+    stays = F.col("bare") | (F.col("least") & (F.col("best").isNull() | (F.col("best") == F.col("text_hash"))))
+    texts = texts.join(_few(tied), same, "left").withColumn("stays", stays)
+    several = (F.col("n") > 1) & ~(F.col("bare") & F.col("doc_id").isNull())
+    moved = texts.filter(~F.col("stays") | several).select(F.col("doc_id").alias("m_id"), F.col("text_hash").alias("m_hash"), F.col("stays").alias("one"))
+    moved = stash.keep(moved, "moved")
+
+    rows = packed(docs, doc_id="long", text="string").withColumn("text_hash", F.xxhash64("text")).drop("text")
+    rows = rows.join(_few(moved), F.col("doc_id").eqNullSafe(F.col("m_id")) & (F.col("text_hash") == F.col("m_hash")), "left")
+    kept = rows.filter("one is null").select("_row")
+    if moved.filter("one").limit(1).count():
+        first = rows.filter("one").groupBy("doc_id", "text_hash").agg(F.min_by("_row", F.to_json("_row")).alias("_row"))
+        kept = kept.unionByName(first.select("_row"))
+    return unpacked(kept, docs.columns)

@@ -8,7 +8,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import public_tokenizers
 
-from chartloom.llm import language_id, pii, secrets
+from chartloom.llm import language_id, near_duplicates, pii, secrets
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
@@ -91,3 +91,53 @@ def test_whole_tokens_are_scored():
     automaton = paths.kinds[0][0]
     word = secrets.symbols("/srv/" + "abc/" * 20 + key(200))
     assert len(word) == 285 and automaton.likelihood(word) != automaton.likelihood(word[:85])
+
+
+def shingle_set(text, k):
+    w = (text or "").encode().lower().split()
+    return frozenset(zip(*(w[i:] for i in range(k)), strict=False)) if len(w) >= k else frozenset([tuple(w)]) if w else frozenset()
+
+
+def one_of_each(rows, k):
+    """(doc_id, set) of the rows that stay, by brute force over the distinct sets."""
+    low, part = {}, {}
+    for i, t in rows:
+        s = shingle_set(t, k)
+        if s:
+            part[s] = s
+            low[s] = min((x for x in (low.get(s), i) if x is not None), default=None)
+
+    def root(s):
+        while part[s] != s:
+            s = part[s]
+        return s
+
+    named = [s for s in part if low[s] is not None]
+    for a in named:
+        for b in named:
+            if 100 * len(a & b) >= 80 * len(a | b):
+                part[root(a)] = root(b)
+    group = defaultdict(list)
+    for s in part:
+        group[root(s)].append(s)
+    stay = [(min((low[s] for s in g if low[s] is not None), default=None), frozenset(g)) for g in group.values()]
+    bare = [(i, t) for i, t in rows if not shingle_set(t, k)]
+    return stay, len({x for x in bare if x[0] is not None}) + sum(i is None for i, _ in bare)
+
+
+def test_one_row_of_each_group_stays(spark, odd, rows):
+    """Repeated rows, rows without id, and ids with several texts."""
+    words = [f"t{i}" for i in range(60)]
+    text, near, other = " ".join(words), " ".join([*words[:-1], "x"]), " ".join(f"o{i}" for i in range(30))
+    far = " ".join([*words[:-1], "x", "y", *(f"z{i}" for i in range(10))])
+    more = [(1, text), (1, text), (2, near), (2, other), (None, other), (None, "no id here"), (None, "no id here"), (None, "No id  here"), (4, ""), (4, ""), (4, None), (None, ""), (None, "")]
+    more += [(7, "a text of the id"), (7, "another one of it"), (7, "A  text of the id"), (2, far), (8, far), (9, far + " end")]
+    for k in (2, 5):
+        for df, have in ((odd, [(i, t) for i, t, _ in rows]), (spark.createDataFrame(more, "doc_id long, text string"), more)):
+            found = near_duplicates.drop_near_duplicates(df, k)
+            assert found.columns == df.columns
+            kept = [(r["doc_id"], r["text"]) for r in found.collect()]
+            stay, bare = one_of_each(have, k)
+            assert not Counter(kept) - Counter(have) and sum(not shingle_set(t, k) for _, t in kept) == bare
+            assert len(kept) == len(stay) + bare
+            assert all(sum(i == low and shingle_set(t, k) in group for i, t in kept) == 1 for low, group in stay)
