@@ -17,14 +17,18 @@ from pyspark.sql import functions as F
 #: The six bytes that separate words: space and \t \n \v \f \r. ``bytes.split()`` splits at the same.
 WORD = r"[^\x20\x09-\x0D]+"
 
-#: Rows of an Arrow batch that goes to Python: texts can be long, so batches are short.
+#: Rows of an Arrow batch that are turned into Python objects at a time: texts can be long.
 BATCH_ROWS = 256
+#: Removes the shuffle files of a query when it has ended.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that driver and executors share; one of our own only where the session names none."""
+    """The folder that driver and executors share; one of our own only in a single process, as in tests."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir is unset: it has to name a folder that the driver and all executors share")
         folder = tempfile.mkdtemp(prefix="chartloom-")
         atexit.register(shutil.rmtree, folder, ignore_errors=True)
         spark.conf.set("spark.checkpoint.dir", folder)
@@ -42,9 +46,13 @@ class Stash:
         return f"{self.root}/{label}"
 
     def keep(self, df: DataFrame, label: str) -> DataFrame:
-        """``df`` as written and read again."""
-        df.write.mode("overwrite").parquet(self.path(label))
-        self.spark._jvm.System.gc()  # lets Spark remove the shuffle files of what is written now
+        """``df`` as written and read again; the shuffle files that this took are removed."""
+        before = self.spark.conf.get(CLEANUP, "false")
+        self.spark.conf.set(CLEANUP, "true")
+        try:
+            df.write.mode("overwrite").parquet(self.path(label))
+        finally:
+            self.spark.conf.set(CLEANUP, before)
         return self.spark.read.schema(df.schema).parquet(self.path(label))
 
     def drop(self, *labels: str) -> None:
@@ -55,9 +63,11 @@ class Stash:
             path.getFileSystem(conf).delete(path, True)
 
 
-def short_batches(spark: SparkSession) -> None:
-    """Keeps Arrow batches of whole texts small enough for a Python worker."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+def short(source: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches in slices of a few rows; Spark bounds a whole batch by its bytes."""
+    for x in source:
+        for at in range(0, x.num_rows, BATCH_ROWS):
+            yield x.slice(at, BATCH_ROWS)
 
 
 def batches(rows: Iterable[tuple], schema: pa.Schema, size: int = 4096) -> Iterator[pa.RecordBatch]:

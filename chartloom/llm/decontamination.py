@@ -17,7 +17,7 @@ from pyspark.broadcast import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import batches, column, short_batches
+from .common import batches, column, short
 
 #: One edit for so many characters of an item: 7 hundredths of its length.
 CHARS_PER_EDIT = 14
@@ -144,7 +144,6 @@ def matches(docs: DataFrame, bench: DataFrame, block_chars: int = BLOCK_CHARS) -
     items shorter than ``LEAST_CHARS``; null ids stay null; equal items are one, repeated rows give
     repeated results; empty tables give none.
     """
-    short_batches(docs.sparkSession)
     texts = docs.select(column(docs, "doc_id", "long"), column(docs, "text", "string"))
     schema = pa.schema([("doc_id", pa.int64()), ("item_id", pa.int64()), ("distance", pa.int64()), ("budget", pa.int64())])
     out = None
@@ -152,7 +151,7 @@ def matches(docs: DataFrame, bench: DataFrame, block_chars: int = BLOCK_CHARS) -
 
         def run(source: Iterator[pa.RecordBatch], items: Broadcast = items) -> Iterator[pa.RecordBatch]:
             matcher = Matcher(items.value)
-            rows = ((i, *m) for x in source for i, t in zip(*(c.to_pylist() for c in x.columns), strict=True) for m in matcher(t))
+            rows = ((i, *m) for x in short(source) for i, t in zip(*(c.to_pylist() for c in x.columns), strict=True) for m in matcher(t))
             yield from batches(rows, schema)
 
         found = texts.mapInArrow(run, "doc_id long, item_id long, distance long, budget long")
@@ -163,12 +162,11 @@ def matches(docs: DataFrame, bench: DataFrame, block_chars: int = BLOCK_CHARS) -
 
 def decontaminate(docs: DataFrame, bench: DataFrame, block_chars: int = BLOCK_CHARS) -> DataFrame:
     """The rows of ``docs`` that hold no item, with all their columns; nothing is shuffled."""
-    short_batches(docs.sparkSession)
     for items in _blocks(bench, block_chars):
 
         def run(source: Iterator[pa.RecordBatch], items: Broadcast = items) -> Iterator[pa.RecordBatch]:
             matcher = Matcher(items.value)
-            for x in source:
+            for x in short(source):
                 yield x.filter(pa.array([not matcher(t) for t in x.column("text").to_pylist()], pa.bool_()))
 
         docs = docs.mapInArrow(run, docs.schema)

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import Stash, batches, column, short_batches
+from .common import Stash, batches, column, short
 
 #: Labelled documents that a language is learned from, on average; they are chosen by a hash of the doc_id.
 TRAIN_DOCS = 1000
@@ -181,7 +181,6 @@ class Unigrams:
 
 def fit(labelled: DataFrame, pieces: dict[bytes, int], train_docs: int = TRAIN_DOCS) -> Unigrams | None:
     """Learns from (doc_id, text, lang), on average from ``train_docs`` rows of a language; None without any."""
-    short_batches(labelled.sparkSession)
     rows = labelled.filter("lang is not null and text is not null")
     sizes = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}  # a row for each language
     if not sizes:
@@ -193,7 +192,7 @@ def fit(labelled: DataFrame, pieces: dict[bytes, int], train_docs: int = TRAIN_D
     schema = pa.schema([("lang", pa.string()), ("word", pa.binary()), ("n", pa.int64())])
 
     def run(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for x in source:
+        for x in short(source):
             seen: dict[str, Counter] = defaultdict(Counter)
             for lang, text in zip(x.column(0).to_pylist(), x.column(1).to_pylist(), strict=True):
                 seen[lang].update(text.encode("utf-8", "surrogatepass").split())
@@ -215,7 +214,6 @@ def predict(docs: DataFrame, model: Unigrams | None, *keep: Column) -> DataFrame
 
     Null texts and texts without a letter are ``und`` with a score of 0, as are all where nothing was learned.
     """
-    short_batches(docs.sparkSession)
     rows = docs.select(column(docs, "text", "string"), *keep)
     held = docs.sparkSession.sparkContext.broadcast((model.pieces, model.languages, model.p.astype(np.float32)) if model else None)
     extra = rows.drop("text").schema
@@ -224,7 +222,7 @@ def predict(docs: DataFrame, model: Unigrams | None, *keep: Column) -> DataFrame
         model = Unigrams(held.value[0], held.value[1], held.value[2].astype(np.float64)) if held.value else None
         known: dict[bytes, int] = {}
         table = none = np.empty((0, len(model.languages) if model else 0), np.float32)
-        for x in source:
+        for x in short(source):
             texts = x.column(0).to_pylist()
             lettered = [bool(model and t and any(map(str.isalpha, t))) for t in texts]
             split = [t.encode("utf-8", "surrogatepass").split() if on else [] for t, on in zip(texts, lettered, strict=True)]

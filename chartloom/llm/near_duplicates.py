@@ -1,34 +1,35 @@
 """Near-duplicate documents: minima of many universal hashes, banding, signature verification, links
 confirmed on the full sets, and connected components.
 
-Rows with equal sets are one class, found by a hash of the whole set, and only its least ``doc_id`` goes
-on. Candidates are those that share a band. A band's bucket is never expanded into all its pairs: first
-every member is held against the least one; what that links becomes one component, and only members of
-one bucket that are still in different components are held against each other. So a link can only be
-left out where it would join what is joined already.
+Rows with equal sets are one class; only one signature of it goes on. Candidates are classes that share a
+band. A band's bucket is never expanded into all its pairs: first every member is held against the least
+one; what that links becomes one component, and of members of one bucket that are still in different
+components, those pairs become rows whose sizes allow the similarity and whose signatures agree. So a
+link can only be left out where it would join what is joined already. One plan serves every size.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
+from operator import add
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import Stash, WordHashes, batches, column, mix, packed, short_batches, unpacked, windows
+from .common import Stash, WordHashes, batches, column, mix, packed, short, unpacked, windows
 from .graph import components
 
 #: 80 bands of 8: two sets at the least similarity of 0.8 share no band with a probability of 4 in 10 million;
 #: two that have a quarter in common, such as a passage that very many documents hold, share one in 1 of 800.
 BANDS, ROWS = 80, 8
 SEED = 20_011
-#: Signatures estimate a similarity within 0.016 (one standard deviation, at 0.8); six of them are left.
-SLACK = 0.1
-#: Ids sent to every task at most, to pick the texts that are compared; a longer list is joined by its key.
-BROADCAST_IDS = 200_000
+#: Signatures of a bit for each hash estimate a similarity within 0.024 (one standard deviation, at 0.8); five
+#: of them are left.
+SLACK = 0.12
 #: Shingles that are hashed at a time, so that the table of hashes stays in a core's cache.
 BLOCK = 256
 
@@ -63,17 +64,17 @@ def minima(values: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 def sign(docs: DataFrame, size: int, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
-    """Per row: doc_id, text_hash, n_shingles, key (of the whole set, null if empty), bands (an array of long), signature (a byte for each hash)."""
-    short_batches(docs.sparkSession)
+    """Per row: doc_id, text_hash, n_shingles, key (of the whole set, null if empty), bands (an array of long)
+    and signature (a bit for each hash, in an array of long)."""
     a, b = _coefficients(bands * rows)
     lane = mix(np.arange(1, bands + 1, dtype=np.uint64))
-    schema = pa.schema([("doc_id", pa.int64()), ("text_hash", pa.int64()), ("n_shingles", pa.int64()), ("key", pa.binary()), ("bands", pa.list_(pa.int64())), ("signature", pa.binary())])
+    schema = pa.schema([("doc_id", pa.int64()), ("text_hash", pa.int64()), ("n_shingles", pa.int64()), ("key", pa.binary()), ("bands", pa.list_(pa.int64())), ("signature", pa.list_(pa.int64()))])
 
     def run(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
 
         def signed() -> Iterator[tuple]:
-            for x in source:
+            for x in short(source):
                 last: dict[bytes, tuple] = {}
                 for doc_id, text, text_hash in zip(*(c.to_pylist() for c in x.columns), strict=True):
                     values = shingles(text, size, hashes)
@@ -86,55 +87,47 @@ def sign(docs: DataFrame, size: int, bands: int = BANDS, rows: int = ROWS) -> Da
                         joined = lane.copy()
                         for k in range(rows):
                             joined = mix(joined * np.uint64(0x9E3779B97F4A7C15) + least[:, k])
-                        last[key] = joined.view(np.int64), mix(least.ravel()).astype(np.uint8).tobytes()
+                        bits = np.packbits((mix(least.ravel()) & np.uint64(1)).astype(np.uint8))
+                        last[key] = joined.view(np.int64), np.pad(bits, (0, -len(bits) % 8)).view(np.int64)
                     yield doc_id, text_hash, len(values), key, *last[key]
 
         yield from batches(signed(), schema, size=512)
 
-    kind = "doc_id long, text_hash long, n_shingles long, key binary, bands array<long>, signature binary"
+    kind = "doc_id long, text_hash long, n_shingles long, key binary, bands array<long>, signature array<long>"
     text = column(docs, "text", "string")
     return docs.select(column(docs, "doc_id", "long"), text, F.xxhash64(text).alias("text_hash")).mapInArrow(run, kind)
 
 
-def _ids(pairs: DataFrame) -> DataFrame:
-    return pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct()
-
+def _alike(n_a: Column, n_b: Column, sign_a: Column, sign_b: Column, percent: int) -> Column:
+    """Whether two sets can be similar by their sizes, and seem to be by their signatures."""
+    bits = BANDS * ROWS
+    apart = reduce(add, [F.bit_count(sign_a[k].bitwiseXOR(sign_b[k])) for k in range(-(-bits // 64))])
+    by_size = 100 * F.least(n_a, n_b) >= percent * F.greatest(n_a, n_b)
+    return by_size & (2 * apart <= F.lit(bits * (1 - percent / 100 + SLACK)))
 
-def _few(ids: DataFrame) -> DataFrame:
-    return F.broadcast(ids) if ids.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS else ids
 
+def _ids(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct()
 
-def _similar(pairs: DataFrame, signatures: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose signatures agree often enough; only signatures of documents in a pair are shuffled."""
-    ids = _ids(pairs)
-    signatures = signatures.join(_few(ids), signatures["rep"] == ids["id"], "left_semi")
-    side = lambda k: signatures.select(F.col("rep").alias(k), F.col("signature").alias(f"s{k}"))
-    both = pairs.select("a", "b").join(side("a"), "a").join(side("b"), "b")
-    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
-
-    def run(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for x in source:
-            sa, sb = (x.column(k).to_pylist() for k in ("sa", "sb"))
-            keep = []
-            for p, q in zip(sa, sb, strict=True):
-                same = np.count_nonzero(np.frombuffer(p, np.uint8) == np.frombuffer(q, np.uint8)) / len(p)
-                keep.append((same - 1 / 256) / (1 - 1 / 256) >= percent / 100 - SLACK)
-            yield pa.RecordBatch.from_arrays([x.column("a"), x.column("b")], schema=schema).filter(pa.array(keep, pa.bool_()))
 
-    return both.mapInArrow(run, "a long, b long")
+def _similar(pairs: DataFrame, named: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) whose sizes and signatures agree."""
+    side = lambda k: named.select(F.col("rep").alias(k), F.col("n_shingles").alias(f"n{k}"), F.col("signature").alias(f"s{k}"))
+    both = pairs.join(side("b"), "b").join(side("a"), "a")
+    return both.filter(_alike(F.col("na"), F.col("nb"), F.col("sa"), F.col("sb"), percent)).select("a", "b")
 
 
 def _sets(docs: DataFrame, ids: DataFrame, size: int) -> DataFrame:
-    """(id, set) of the documents with these ids (id, key, low), from their whole texts."""
+    """(id, set) of the classes (id, key, low), from the whole texts of the rows with ``low``."""
     rows = docs.select(column(docs, "doc_id", "long"), column(docs, "text", "string"))
-    rows = rows.join(_few(ids), rows["doc_id"] == ids["low"]).select("id", "text", "key")
+    rows = rows.join(ids, F.col("doc_id") == F.col("low")).select("id", "text", "key")
     schema = pa.schema([("id", pa.int64()), ("set", pa.binary())])
 
     def run(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
 
         def found() -> Iterator[tuple]:
-            for x in source:
+            for x in short(source):
                 for i, text, key in zip(*(c.to_pylist() for c in x.columns), strict=True):
                     values = shingles(text, size, hashes).tobytes()
                     if xxhash.xxh3_128_digest(values) == key:  # not another row that has the same doc_id
@@ -145,17 +138,16 @@ def _sets(docs: DataFrame, ids: DataFrame, size: int) -> DataFrame:
     return rows.mapInArrow(run, "id long, set binary")
 
 
-def _linked(pairs: DataFrame, docs: DataFrame, keys: DataFrame, size: int, percent: int, stash: Stash, label: str) -> DataFrame:
+def _linked(pairs: DataFrame, docs: DataFrame, named: DataFrame, size: int, percent: int, stash: Stash, label: str) -> DataFrame:
     """The pairs whose full sets have an intersection of ``percent`` hundredths of their union, or more."""
-    ids = _ids(pairs)
-    ids = stash.keep(ids.join(keys, ids["id"] == keys["rep"]).select("id", "key", "low"), f"{label}-ids")
-    sets = stash.keep(_sets(docs, ids, size).dropDuplicates(["id"]), f"{label}-sets")
+    ids = _ids(pairs).join(named.select(F.col("rep").alias("id"), "key", "low"), "id")
+    sets = stash.keep(_sets(docs, stash.keep(ids, f"{label}-ids"), size).dropDuplicates(["id"]), f"{label}-sets")
     side = lambda k: sets.select(F.col("id").alias(k), F.col("set").alias(f"s{k}"))
     both = pairs.join(side("b"), "b").join(side("a"), "a").select("a", "b", "sa", "sb")
     schema = pa.schema([("u", pa.int64()), ("v", pa.int64())])
 
     def run(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for x in source:
+        for x in short(source):
             keep = []
             for p, q in zip(x.column("sa").to_pylist(), x.column("sb").to_pylist(), strict=True):
                 all_ = np.sort(np.concatenate([np.frombuffer(p, np.uint64), np.frombuffer(q, np.uint64)]), kind="stable")
@@ -169,55 +161,64 @@ def _linked(pairs: DataFrame, docs: DataFrame, keys: DataFrame, size: int, perce
 
 
 def _classes(signed: DataFrame, stash: Stash) -> DataFrame:
-    """(key, low, n_equal, rep) of the classes: ``low`` is the least doc_id, null if none has one, and ``rep``
-    stands for the class in links: the same, or a hash of the key where different sets have one ``low``."""
-    classes = signed.filter("key is not null").groupBy("key").agg(F.min("doc_id").alias("low"), F.count("*").alias("n_equal"))
-    classes = stash.keep(classes, "by-key")
-    shared = stash.keep(classes.filter("low is not null").groupBy("low").agg(F.count("*").alias("n")).filter("n > 1").select(F.col("low").alias("shared")), "shared-ids")
-    rep = F.when(F.col("shared").isNull(), F.col("low")).otherwise(F.xxhash64("key"))
-    return stash.keep(classes.join(_few(shared), F.col("low") == F.col("shared"), "left").select("key", "low", "n_equal", rep.alias("rep")), "classes")
+    """A row for each distinct set: key, n_shingles, low (the least doc_id, null if none has one), n_equal, bands,
+    signature, and rep, a number that no other key has, which stands for the set in links."""
+    of = [F.first(c).alias(c) for c in ("n_shingles", "bands", "signature")]
+    classes = signed.filter("key is not null").groupBy("key").agg(F.min("doc_id").alias("low"), F.count("*").alias("n_equal"), *of)
+    classes, seed = stash.keep(classes, "by-key"), 0
+    number = lambda: classes.withColumn("rep", F.xxhash64("key", F.lit(seed)))
+    while number().groupBy("rep").agg(F.count("*").alias("n")).filter("n > 1").limit(1).count():
+        seed += 1
+    return number()
 
 
 def _resolved(docs: DataFrame, size: int, percent: int, stash: Stash) -> tuple[DataFrame, DataFrame]:
-    """The signed rows, and (key, low, n_equal, part, component) of their classes: linked classes have one
-    ``part``, whose least ``low`` is ``component``; both are null where no row of the class has an id."""
+    """(doc_id, text_hash, n_shingles, key) of every row, and (key, low, n_equal, part, component) of the classes:
+    linked classes have one ``part``, whose least ``low`` is ``component``; both are null where no row of the
+    class has an id."""
     signed = stash.keep(sign(docs, size), "signed")
+    rows = stash.keep(signed.select("doc_id", "text_hash", "n_shingles", "key"), "rows")
     classes = _classes(signed, stash)
-    first = signed.join(classes.filter("low is not null").select("key", "low", "rep"), "key").filter("doc_id = low")
-    first = stash.keep(first.select("rep", "low", "key", "bands", "signature").dropDuplicates(["rep", "key"]), "first")
-    keys, signatures = first.select("rep", "key", "low"), first.select("rep", "signature")
-    members = first.select("rep", F.explode("bands").alias("band"))
+    stash.drop("signed")
+    named = classes.filter("low is not null")
+    members = named.select("rep", F.explode("bands").alias("band"))
 
     # every member of a bucket against the least one
-    buckets = members.groupBy("band").agg(F.min("rep").alias("pivot"), F.count("*").alias("n")).filter("n > 1").select("band", "pivot")
+    buckets = members.groupBy("band").agg(F.min("rep").alias("pivot"), F.max("rep").alias("high")).filter("pivot < high").select("band", "pivot")
     shared = stash.keep(members.join(stash.keep(buckets, "buckets"), "band"), "shared")
-    pairs = stash.keep(shared.filter("rep <> pivot").select(F.col("pivot").alias("a"), F.col("rep").alias("b")).distinct(), "pairs")
     stash.drop("buckets")
-    links = _linked(stash.keep(_similar(pairs, signatures, percent), "similar"), docs, keys, size, percent, stash, "pivot")
+    pairs = shared.filter("rep <> pivot").select(F.col("pivot").alias("a"), F.col("rep").alias("b")).distinct()
+    pairs = stash.keep(_similar(pairs, named, percent), "similar")
+    links = _linked(pairs, docs, named, size, percent, stash, "pivot")
     parts = stash.keep(components(links, stash, "pivot"), "parts")
 
     # what a bucket still holds in different components
-    placed = shared.join(parts, shared["rep"] == parts["id"], "left").select("band", "rep", F.coalesce("component", "rep").alias("part"))
+    placed = shared.select("band", "rep").join(parts, F.col("rep") == F.col("id"), "left").select("band", "rep", F.coalesce("component", "rep").alias("part"))
     placed = stash.keep(placed, "placed")
     open_ = placed.groupBy("band").agg(F.min("part").alias("low"), F.max("part").alias("high")).filter("low < high").select("band")
-    rest = stash.keep(placed.join(stash.keep(open_, "open"), "band", "left_semi"), "rest")
-    stash.drop("shared", "placed", "open")
-    other = rest.select("band", F.col("rep").alias("b"), F.col("part").alias("part_b"))
-    again = rest.withColumnRenamed("rep", "a").join(other, "band").filter("a < b and part <> part_b").select("a", "b").distinct()
+    rest = placed.join(open_, "band", "left_semi").join(named.select("rep", "n_shingles", "signature"), "rep")
+    rest = stash.keep(rest, "rest")
+    stash.drop("shared", "placed")
+    side = lambda k: rest.select("band", *[F.col(c).alias(f"{c}_{k}") for c in ("rep", "part", "n_shingles", "signature")])
+    apart = (F.col("rep_a") < F.col("rep_b")) & (F.col("part_a") != F.col("part_b")) & (F.col("a_band") == F.col("band"))
+    alike = _alike(F.col("n_shingles_a"), F.col("n_shingles_b"), F.col("signature_a"), F.col("signature_b"), percent)
+    again = side("a").withColumnRenamed("band", "a_band").join(side("b"), apart & alike).select(F.col("rep_a").alias("a"), F.col("rep_b").alias("b")).distinct()
     again = stash.keep(again.join(pairs, ["a", "b"], "left_anti"), "again")
-    more = _linked(stash.keep(_similar(again, signatures, percent), "similar-again"), docs, keys, size, percent, stash, "again")
-    stash.drop("rest", "again", "similar-again", "similar", "pairs")
-    found = components(links.unionByName(more), stash, "all")
-
-    part = F.when(F.col("low").isNotNull(), F.coalesce("component", "rep"))
-    placed = classes.join(found, classes["rep"] == found["id"], "left").select("key", "low", "n_equal", "rep", part.alias("part"))
+    more = _linked(again, docs, named, size, percent, stash, "again")
+    stash.drop("rest", "again", "similar", "pivot-links")
+    stars = parts.filter("id <> component").select(F.col("id").alias("u"), F.col("component").alias("v"))
+    found = stash.keep(components(stars.unionByName(more), stash, "all"), "found")
+
+    linked = named.select("rep", "low").join(found, F.col("rep") == F.col("id")).select("rep", "low", F.col("component").alias("part"))
+    linked = stash.keep(linked, "linked")
+    least = stash.keep(linked.groupBy("part").agg(F.min("low").alias("least")), "least")  # written: a large part can be split in the join
+    linked = stash.keep(linked.select("rep", "part").join(least, "part"), "resolved")
+    some = F.col("low").isNotNull()
+    placed = classes.select("key", "low", "n_equal", "rep").join(linked, "rep", "left")
+    placed = placed.select("key", "low", "n_equal", F.when(some, F.coalesce("part", "rep")).alias("part"), F.when(some, F.coalesce("least", "low")).alias("component"))
     placed = stash.keep(placed, "components")
-    stash.drop("parts", "first")
-    # a part's number is its least id but where the hash of a class is in it
-    hashed = stash.keep(placed.filter("rep <> low").select("part").distinct(), "hashed")
-    least = placed.join(_few(hashed), "part", "left_semi").groupBy("part").agg(F.min("low").alias("least"))
-    placed = placed.join(_few(stash.keep(least, "least")), "part", "left")
-    return signed, placed.select("key", "low", "n_equal", "part", F.coalesce("least", "part").alias("component"))
+    stash.drop("by-key", "parts", "again-links", "found", "linked", "least", "resolved")
+    return rows, placed
 
 
 def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
@@ -225,11 +226,12 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
 
     Documents are linked when ``percent`` hundredths of the union of their shingle sets are in both;
     ``component_id`` is the least ``doc_id`` that links reach and the document with that id is kept. Null
-    and empty texts have no shingles and are linked with nothing. Repeated rows get the same result. A
-    row without ``doc_id`` is linked through rows with an equal set only, and is kept if none has an id.
+    and empty texts have no shingles and are linked with nothing; of a very long text every shingle counts.
+    Repeated rows and ties get the same result. A row without ``doc_id`` is linked through rows with an equal
+    set only, and is kept if none has an id. An empty table gives none; other columns are not read.
     """
-    signed, placed = _resolved(docs, size, percent, Stash(docs.sparkSession, "near-duplicates"))
-    rows = signed.select("doc_id", "n_shingles", "key").join(placed.select("key", "n_equal", "component"), "key", "left")
+    rows, placed = _resolved(docs, size, percent, Stash(docs.sparkSession, "near-duplicates"))
+    rows = rows.select("doc_id", "n_shingles", "key").join(placed.select("key", "n_equal", "component"), "key", "left")
     component = F.when(F.col("key").isNull(), F.col("doc_id")).otherwise(F.col("component"))
     return rows.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, component.isNull()).alias("kept"), F.coalesce("n_equal", F.lit(1)).cast("long").alias("n_equal"))
 
@@ -237,28 +239,28 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
 def drop_near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     """One row of each group of near-duplicates, one with its least ``doc_id`` or, where none has an id, any,
     with the columns of ``docs``. Of rows without shingles, those that are equal in ``doc_id`` and text are
-    one; without ``doc_id`` all of them stay."""
+    one; without ``doc_id`` all of them stay. An empty table gives none."""
     stash = Stash(docs.sparkSession, "near-duplicates-kept")
-    signed, placed = _resolved(docs, size, percent, stash)
-    texts = signed.groupBy("doc_id", "text_hash").agg(F.first("key").alias("key"), F.count("*").alias("n"))  # rows of one text
+    rows, placed = _resolved(docs, size, percent, stash)
+    texts = rows.groupBy("doc_id", "text_hash").agg(F.first("key").alias("key"), F.count("*").alias("n"))  # rows of one text
     texts = texts.join(placed.select("key", "part", "component"), "key", "left")
     only = F.when(F.col("part").isNull(), F.col("key"))  # a class without any id is a group of its own
     least = F.col("key").isNotNull() & F.col("doc_id").eqNullSafe(F.col("component"))
     texts = stash.keep(texts.select("doc_id", "text_hash", "n", "part", only.alias("only"), F.col("key").isNull().alias("bare"), least.alias("least")), "texts")
     # where more texts than one have the least id of a group, the one with the least hash stays
-    tied = texts.filter("least").groupBy("part", "only").agg(F.min("text_hash").alias("best"), F.count("*").alias("m")).filter("m > 1")
-    tied = stash.keep(tied.select(F.col("part").alias("t_part"), F.col("only").alias("t_only"), "best"), "tied")
-    same = F.col("part").eqNullSafe(F.col("t_part")) & F.col("only").eqNullSafe(F.col("t_only")) & F.col("least")
-    stays = F.col("bare") | (F.col("least") & (F.col("best").isNull() | (F.col("best") == F.col("text_hash"))))
-    texts = texts.join(_few(tied), same, "left").withColumn("stays", stays)
+    best = texts.filter("least").groupBy("part", "only").agg(F.min("text_hash").alias("best")).select(F.col("part").alias("b_part"), F.col("only").alias("b_only"), "best")
+    same = F.col("part").eqNullSafe(F.col("b_part")) & F.col("only").eqNullSafe(F.col("b_only"))
+    first = texts.filter("least").join(best, same).withColumn("stays", F.col("best") == F.col("text_hash")).drop("b_part", "b_only", "best")
+    texts = texts.filter("not least").withColumn("stays", F.col("bare")).unionByName(first)
     several = (F.col("n") > 1) & ~(F.col("bare") & F.col("doc_id").isNull())
     moved = texts.filter(~F.col("stays") | several).select(F.col("doc_id").alias("m_id"), F.col("text_hash").alias("m_hash"), F.col("stays").alias("one"))
     moved = stash.keep(moved, "moved")
+    stash.drop("rows", "components", "texts")
 
-    rows = packed(docs, doc_id="long", text="string").withColumn("text_hash", F.xxhash64("text")).drop("text")
-    rows = rows.join(_few(moved), F.col("doc_id").eqNullSafe(F.col("m_id")) & (F.col("text_hash") == F.col("m_hash")), "left")
-    kept = rows.filter("one is null").select("_row")
+    whole = packed(docs, doc_id="long", text="string").withColumn("text_hash", F.xxhash64("text")).drop("text")
+    whole = whole.join(moved, F.col("doc_id").eqNullSafe(F.col("m_id")) & (F.col("text_hash") == F.col("m_hash")), "left")
+    kept = whole.filter("one is null").select("_row")
     if moved.filter("one").limit(1).count():
-        first = rows.filter("one").groupBy("doc_id", "text_hash").agg(F.min_by("_row", F.to_json("_row")).alias("_row"))
+        first = whole.filter("one").groupBy("doc_id", "text_hash").agg(F.min_by("_row", F.to_json("_row")).alias("_row"))
         kept = kept.unionByName(first.select("_row"))
     return unpacked(kept, docs.columns)

@@ -17,7 +17,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Stash, WordHashes, batches, column, packed, short_batches, unpacked, windows
+from .common import Stash, WordHashes, batches, column, packed, short, unpacked, windows
 
 WINDOW = 50
 #: Residues modulo the period whose differences are all residues but 0, each once.
@@ -53,7 +53,7 @@ def _read(docs: DataFrame) -> DataFrame:
         hashes = WordHashes()
 
         def rows() -> Iterator[tuple]:
-            for x in source:
+            for x in short(source):
                 for doc_id, text in zip(x.column(0).to_pylist(), x.column(1).to_pylist(), strict=True):
                     words = words_of(text)
                     joined = b" ".join(words)
@@ -75,7 +75,7 @@ def _windows(held: DataFrame) -> DataFrame:
 
     def run(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
-        for x in source:
+        for x in short(source):
             for doc_id, rid, text, shared in zip(*(x.column(k).to_pylist() for k in ("doc_id", "rid", "text", "shared")), strict=True):
                 h = hashes(words_of(text))
                 at, found = anchors(h)
@@ -97,7 +97,7 @@ def _cut(rows: DataFrame) -> DataFrame:
 
     def run(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def cut() -> Iterator[tuple]:
-            for x in source:
+            for x in short(source):
                 for rid, text, starts in zip(*(x.column(k).to_pylist() for k in ("rid", "text", "starts")), strict=True):
                     words = words_of(text)
                     edge = np.zeros(len(words) + 1, np.int32)
@@ -115,7 +115,6 @@ def _cut(rows: DataFrame) -> DataFrame:
 
 def _changes(docs: DataFrame, stash: Stash) -> tuple[DataFrame, DataFrame, DataFrame]:
     """What was read of each row; (key, rep) of the word sequences that several rows have; and the cuts by rid."""
-    short_batches(docs.sparkSession)
     texts = docs.select(column(docs, "doc_id", "long"), column(docs, "text", "string"))
     read = stash.keep(_read(texts), "read")
     long_ = read.filter(f"n_words >= {WINDOW} and doc_id is not null")
@@ -150,7 +149,7 @@ def _same(rows: DataFrame) -> DataFrame:
     schema = pa.schema([("doc_id", pa.int64()), ("rid", pa.int64()), ("text", pa.string()), ("shared", pa.list_(pa.int64()))])
 
     def run(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for x in source:
+        for x in short(source):
             ok = [xxhash.xxh3_128_digest(b" ".join(words_of(t))) == k for t, k in zip(x.column("text").to_pylist(), x.column("key").to_pylist(), strict=True)]
             yield pa.RecordBatch.from_arrays([x.column(k) for k in ("doc_id", "rid", "text", "shared")], schema=schema).filter(pa.array(ok, pa.bool_()))
 
@@ -184,7 +183,7 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     whole = packed(docs, doc_id="long", text="string")
 
     def keyed(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for x in source:
+        for x in short(source):
             keys = [xxhash.xxh3_128_digest(b" ".join(words_of(t))).hex().upper() for t in x.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([*x.columns, pa.array(keys, pa.string())], names=[*x.schema.names, "own_key"])
 

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Stash, batches, column, short_batches
+from .common import Stash, batches, column, short
 
 # The kinds in the order of the report, their patterns and least lengths.
 KINDS = ("assign", "access", "hex", "format")
@@ -187,7 +187,6 @@ class Grammar:
 
 
 def _read(docs: DataFrame) -> DataFrame:
-    short_batches(docs.sparkSession)
     span = pa.list_(pa.struct([("start", pa.int32()), ("kind", pa.int32()), ("end", pa.int32())]))
     value = pa.list_(pa.struct([("kind", pa.int32()), ("value", pa.string())]))
     token = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("token", pa.string())]))
@@ -195,7 +194,7 @@ def _read(docs: DataFrame) -> DataFrame:
 
     def run(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def rows() -> Iterator[tuple]:
-            for x in source:
+            for x in short(source):
                 for doc_id, text in zip(x.column(0).to_pylist(), x.column(1).to_pylist(), strict=True):
                     spans, values, tokens = find(text)
                     yield (
@@ -239,7 +238,7 @@ def secrets(docs: DataFrame, examples: int = EXAMPLES) -> DataFrame:
         said = lambda spans: ",".join(f"{KINDS[k]}:{s}:{e}" for s, k, e in spans)
 
         def rows() -> Iterator[tuple]:
-            for x in source:
+            for x in short(source):
                 for r in x.to_pylist():
                     base = [(s["start"], s["kind"], s["end"]) for s in r["base"]]
                     more = [(c["start"], 3, c["end"]) for c in r["candidates"] if accepts(c["token"])]

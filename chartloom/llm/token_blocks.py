@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import Stash, batches, column, short_batches
+from .common import Stash, batches, column, short
 
 CHUNK_IDS = 65_536
 END_ID = 2
@@ -157,7 +157,6 @@ def write_blocks(docs: DataFrame, path: str, tokenizer: str, end_id: int = END_I
     by the hash of the text, then by the text, so that repeated rows keep their number and the order is
     the same in every run. An empty table gives an empty chunk table. Other columns are not read.
     """
-    short_batches(docs.sparkSession)
     text = F.coalesce(column(docs, "text", "string"), F.lit(""))
     rows = docs.select(column(docs, "doc_id", "long"), text.alias("text")).withColumn("h", F.xxhash64("text"))
     order = [F.col("doc_id").asc_nulls_first(), F.col("h"), F.col("text")]
@@ -168,7 +167,7 @@ def write_blocks(docs: DataFrame, path: str, tokenizer: str, end_id: int = END_I
 
         def chunks() -> Iterator[tuple]:
             held, parts, size, chunk, row = [], [], 0, 0, 0
-            for b in source:
+            for b in short(source):
                 ids, texts = b.column(0).to_pylist(), b.column(1).to_pylist()
                 for doc_id, pieces in zip(ids, encoder(texts), strict=True):
                     before = 0
@@ -216,7 +215,7 @@ def read_documents(spark: SparkSession, path: str, planes: str = "byte", chunk_i
 
     def unpack(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def parts() -> Iterator[tuple]:
-            for b in source:
+            for b in short(source):
                 for x in b.to_pylist():
                     block = memoryview(from_planes(x["planes"], x["n_ids"], planes))
                     if zlib.crc32(block) != x["crc"]:
@@ -237,7 +236,7 @@ def read_documents(spark: SparkSession, path: str, planes: str = "byte", chunk_i
     out = pa.schema([("shard", pa.int32()), ("doc_id", pa.int64()), ("at", pa.int64()), ("n_tokens", pa.int64()), ("ids_crc32", pa.int64())])
 
     def joined(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in source:
+        for b in short(source):
             crcs = []
             for parts in b.column("crcs").to_pylist():
                 crc = parts[0]["crc"]

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import batches, column, short_batches
+from .common import batches, column, short
 
 #: What stands for the space before a word, and what an unknown character scores less than the worst piece.
 SPACE, PENALTY = "▁", 10.0
@@ -110,14 +110,13 @@ def token_counts(docs: DataFrame, vocabulary_path: str) -> DataFrame:
     Null and empty texts have none; null ids stay null; repeated rows give repeated results; an empty
     table gives none. One pass, nothing is shuffled; other columns are not read.
     """
-    short_batches(docs.sparkSession)
     schema = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_tokens", pa.int64())])
 
     def run(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counter = Counter(vocabulary(vocabulary_path))
 
         def counted() -> Iterator[tuple]:
-            for x in source:
+            for x in short(source):
                 for doc_id, text in zip(x.column(0).to_pylist(), x.column(1).to_pylist(), strict=True):
                     words = words_of(text)
                     yield doc_id, len(words), counter(words)
@@ -129,12 +128,11 @@ def token_counts(docs: DataFrame, vocabulary_path: str) -> DataFrame:
 
 def source_counts(docs: DataFrame, vocabulary_path: str) -> DataFrame:
     """Per source: documents, words and tokens; summed in each task before anything is shuffled."""
-    short_batches(docs.sparkSession)
     schema = pa.schema([("source", pa.string()), ("n_words", pa.int64()), ("n_tokens", pa.int64())])
 
     def run(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counter = Counter(vocabulary(vocabulary_path))
-        rows = ((s, len(w), counter(w)) for x in source for s, w in ((s, words_of(t)) for s, t in zip(x.column(0).to_pylist(), x.column(1).to_pylist(), strict=True)))
+        rows = ((s, len(w), counter(w)) for x in short(source) for s, w in ((s, words_of(t)) for s, t in zip(x.column(0).to_pylist(), x.column(1).to_pylist(), strict=True)))
         yield from batches(rows, schema)
 
     counted = docs.select(column(docs, "source", "string"), column(docs, "text", "string")).mapInArrow(run, "source string, n_words long, n_tokens long")
