@@ -90,8 +90,8 @@ def batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
 class WordHashes:
     """64-bit hashes of words, remembered up to a bound that is a matter of speed only."""
 
-    def __init__(self, most: int = 400_000):
-        self.most, self.known = most, {}
+    def __init__(self, most: int = 400_000, seed: int = 0):
+        self.most, self.seed, self.known = most, seed, {}
 
     def __call__(self, words: list[bytes]) -> np.ndarray:
         known = self.known
@@ -102,7 +102,7 @@ class WordHashes:
         except KeyError:
             for w in words:
                 if w not in known:
-                    known[w] = xxhash.xxh3_64_intdigest(w)
+                    known[w] = xxhash.xxh3_64_intdigest(w, self.seed)
             return np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
 
 
@@ -135,6 +135,21 @@ def windows(hashes: np.ndarray, n: int) -> np.ndarray:
     return out
 
 
+#: Bits of a filter of ids: it is sent to every task, 4 MB at most. A fuller one only lets more rows through.
+FILTER_BITS, BITMAP_BITS = 1 << 25, 1 << 15
+
+
+def among(rows: DataFrame, name: str, ids: DataFrame, of: str) -> DataFrame:
+    """The rows whose ``name`` may be a value of ``of`` (of the same type) in ``ids``, so that a join moves few others."""
+    place = lambda c: F.pmod(F.xxhash64(c), F.lit(FILTER_BITS))
+    bitmap = ids.select(place(of).alias("p")).groupBy(F.floor(F.col("p") / BITMAP_BITS).alias("f_bucket")).agg(F.bitmap_construct_agg(F.col("p") % BITMAP_BITS).alias("f_bits"))
+    held = rows.withColumn("f_place", place(name))
+    held = held.join(F.broadcast(bitmap), F.floor(F.col("f_place") / BITMAP_BITS) == F.col("f_bucket"))
+    at = F.col("f_place") % BITMAP_BITS
+    byte = F.conv(F.hex(F.substring(F.col("f_bits"), F.floor(at / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    return held.filter(byte.bitwiseAND(F.pow(F.lit(2), at % 8).cast("int")) > 0).select(*rows.columns)
+
+
 def column(df: DataFrame, name: str, kind: str) -> F.Column:
     """The column of that name, whatever else the table has; null of that type where it is absent."""
     return df[name].cast(kind).alias(name) if name in df.columns else F.lit(None).cast(kind).alias(name)

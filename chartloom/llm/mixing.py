@@ -12,8 +12,6 @@ from .common import WORD, Stash, column, packed, unpacked
 WEIGHTS = (3, 1, 2)
 #: Words to take, of all words; and how often a source's words may be taken at most.
 SHARE, MOST = 1.5, 2
-#: A table of sources with as many rows at most is sent to every task; a longer one is joined by its key.
-BROADCAST_SOURCES = 100_000
 
 
 def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHARE, most: int = MOST) -> DataFrame:
@@ -57,10 +55,9 @@ def plan(docs: DataFrame, seed: int = 17, **options) -> DataFrame:
     doc_id = column(docs, "doc_id", "string")
     sizes = docs.select(source, _size(text).alias("size")).groupBy("source").agg(F.sum("size").alias("source_size"))
     table = Stash(docs.sparkSession, "mixing").keep(targets(sizes, **options), "sources")
-    few = table.limit(BROADCAST_SOURCES + 1).count() <= BROADCAST_SOURCES
     table = table.select(F.col("source").alias("mix_source"), F.col("source_size").alias("mix_source_size"), F.col("target").alias("mix_target"))
     held = docs.withColumn("mix_key", source).withColumn("mix_size", _size(text)).withColumn("mix_draw", _draw(seed, doc_id, source, text))
-    held = held.join(F.broadcast(table) if few else table, F.col("mix_key").eqNullSafe(F.col("mix_source")))
+    held = held.join(table, F.col("mix_key").eqNullSafe(F.col("mix_source")))
     rate = F.when(F.col("mix_source_size") > 0, F.col("mix_target") / F.col("mix_source_size")).otherwise(F.lit(0.0))
     copies = F.floor(rate) + F.when(F.col("mix_draw") < rate - F.floor(rate), 1).otherwise(0)
     return held.withColumn("mix_copies", copies.cast("int")).drop("mix_key", "mix_source", "mix_draw")

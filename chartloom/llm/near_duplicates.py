@@ -2,8 +2,9 @@
 confirmed on the full sets, and connected components.
 
 Rows with equal sets are one class; only one signature of it goes on. Candidates are classes that share a
-band. A band's bucket is never expanded into all its pairs: first every member is held against the least
-one; what that links becomes one component, and of members of one bucket that are still in different
+band. A band's bucket is never expanded into all its pairs: in a few rounds every member is held against
+one of them, the pivot, first the one with the least ``doc_id``, then ones that a hash chooses for each
+band; what that links becomes one component. Of members of one bucket that are then still in different
 components, those pairs become rows whose sizes allow the similarity and whose signatures agree. So a
 link can only be left out where it would join what is joined already. One plan serves every size.
 """
@@ -20,12 +21,14 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import Stash, WordHashes, batches, column, mix, packed, short, unpacked, windows
+from .common import Stash, WordHashes, among, batches, column, mix, packed, short, unpacked, windows
 from .graph import components
 
 #: 80 bands of 8: two sets at the least similarity of 0.8 share no band with a probability of 4 in 10 million;
 #: two that have a quarter in common, such as a passage that very many documents hold, share one in 1 of 800.
 BANDS, ROWS = 80, 8
+#: Rounds of pivots before members are held against each other.
+ROUNDS = 3
 SEED = 20_011
 #: Signatures of a bit for each hash estimate a similarity within 0.024 (one standard deviation, at 0.8); five
 #: of them are left.
@@ -119,7 +122,7 @@ def _similar(pairs: DataFrame, named: DataFrame, percent: int) -> DataFrame:
 
 def _sets(docs: DataFrame, ids: DataFrame, size: int) -> DataFrame:
     """(id, set) of the classes (id, key, low), from the whole texts of the rows with ``low``."""
-    rows = docs.select(column(docs, "doc_id", "long"), column(docs, "text", "string"))
+    rows = among(docs.select(column(docs, "doc_id", "long"), column(docs, "text", "string")), "doc_id", ids, "low")
     rows = rows.join(ids, F.col("doc_id") == F.col("low")).select("id", "text", "key")
     schema = pa.schema([("id", pa.int64()), ("set", pa.binary())])
 
@@ -172,6 +175,25 @@ def _classes(signed: DataFrame, stash: Stash) -> DataFrame:
     return number()
 
 
+def _joined(found: DataFrame | None, links: DataFrame, stash: Stash, k: int) -> DataFrame:
+    """(id, component) after more links."""
+    if found is not None:
+        links = links.unionByName(found.filter("id <> component").select(F.col("id").alias("u"), F.col("component").alias("v")))
+    now = stash.keep(components(links, stash, f"edges-{k}"), f"found-{k}")
+    stash.drop(f"found-{k - 1}")
+    return now
+
+
+def _apart(open_: DataFrame, found: DataFrame, stash: Stash, k: int) -> DataFrame:
+    """The members (band, rep, low, part) of the buckets that are not in one component yet."""
+    placed = open_.drop("part").join(found, F.col("rep") == F.col("id"), "left").select("band", "rep", "low", F.coalesce("component", "rep").alias("part"))
+    placed = stash.keep(placed, f"placed-{k}")
+    bands = placed.groupBy("band").agg(F.min("part").alias("first"), F.max("part").alias("last")).filter("first < last").select("band")
+    now = stash.keep(placed.join(stash.keep(bands, f"bands-{k}"), "band", "left_semi"), f"open-{k}")
+    stash.drop(f"placed-{k}", f"bands-{k}", f"open-{k - 1}")
+    return now
+
+
 def _resolved(docs: DataFrame, size: int, percent: int, stash: Stash) -> tuple[DataFrame, DataFrame]:
     """(doc_id, text_hash, n_shingles, key) of every row, and (key, low, n_equal, part, component) of the classes:
     linked classes have one ``part``, whose least ``low`` is ``component``; both are null where no row of the
@@ -182,32 +204,33 @@ def _resolved(docs: DataFrame, size: int, percent: int, stash: Stash) -> tuple[D
     stash.drop("signed")
     named = classes.filter("low is not null")
     members = named.select("rep", F.explode("bands").alias("band"))
-
-    # every member of a bucket against the least one
-    buckets = members.groupBy("band").agg(F.min("rep").alias("pivot"), F.max("rep").alias("high")).filter("pivot < high").select("band", "pivot")
-    shared = stash.keep(members.join(stash.keep(buckets, "buckets"), "band"), "shared")
-    stash.drop("buckets")
-    pairs = shared.filter("rep <> pivot").select(F.col("pivot").alias("a"), F.col("rep").alias("b")).distinct()
-    pairs = stash.keep(_similar(pairs, named, percent), "similar")
-    links = _linked(pairs, docs, named, size, percent, stash, "pivot")
-    parts = stash.keep(components(links, stash, "pivot"), "parts")
-
-    # what a bucket still holds in different components
-    placed = shared.select("band", "rep").join(parts, F.col("rep") == F.col("id"), "left").select("band", "rep", F.coalesce("component", "rep").alias("part"))
-    placed = stash.keep(placed, "placed")
-    open_ = placed.groupBy("band").agg(F.min("part").alias("low"), F.max("part").alias("high")).filter("low < high").select("band")
-    rest = placed.join(open_, "band", "left_semi").join(named.select("rep", "n_shingles", "signature"), "rep")
-    rest = stash.keep(rest, "rest")
-    stash.drop("shared", "placed")
-    side = lambda k: rest.select("band", *[F.col(c).alias(f"{c}_{k}") for c in ("rep", "part", "n_shingles", "signature")])
-    apart = (F.col("rep_a") < F.col("rep_b")) & (F.col("part_a") != F.col("part_b")) & (F.col("a_band") == F.col("band"))
+    buckets = members.groupBy("band").agg(F.min("rep").alias("low_rep"), F.max("rep").alias("high_rep")).filter("low_rep < high_rep").select("band")
+    shared = stash.keep(members.join(stash.keep(buckets, "buckets"), "band"), "members")
+    open_ = stash.keep(shared.join(named.select("rep", "low"), "rep").select("band", "rep", "low", F.col("rep").alias("part")), "open-0")
+    stash.drop("buckets", "members")
+
+    tested, found = [], None
+    for k in range(ROUNDS):
+        turn = F.col("low") if k == 0 else F.xxhash64("rep", "band", F.lit(k))
+        pivots = open_.groupBy("band").agg(F.min(F.struct(turn, F.col("rep"), F.col("part"))).alias("pivot")).select("band", F.col("pivot.rep").alias("pivot"), F.col("pivot.part").alias("pivot_part"))
+        met = open_.join(stash.keep(pivots, f"pivots-{k}"), "band").filter("part <> pivot_part")
+        met = met.select(F.least("rep", "pivot").alias("a"), F.greatest("rep", "pivot").alias("b")).distinct()
+        tested.append(stash.keep(_similar(met, named, percent), f"similar-{k}"))
+        links = _linked(tested[-1], docs, named, size, percent, stash, f"round-{k}")
+        found = _joined(found, links, stash, k)
+        stash.drop(f"pivots-{k}", f"round-{k}-links")
+        open_ = _apart(open_, found, stash, k + 1)
+        if not open_.limit(1).count():
+            break
+
+    rest = stash.keep(open_.join(named.select("rep", "n_shingles", "signature"), "rep"), "rest")
+    side = lambda k: rest.select(F.col("band").alias(f"band_{k}"), *[F.col(c).alias(f"{c}_{k}") for c in ("rep", "part", "n_shingles", "signature")])
+    apart = (F.col("band_a") == F.col("band_b")) & (F.col("rep_a") < F.col("rep_b")) & (F.col("part_a") != F.col("part_b"))
     alike = _alike(F.col("n_shingles_a"), F.col("n_shingles_b"), F.col("signature_a"), F.col("signature_b"), percent)
-    again = side("a").withColumnRenamed("band", "a_band").join(side("b"), apart & alike).select(F.col("rep_a").alias("a"), F.col("rep_b").alias("b")).distinct()
-    again = stash.keep(again.join(pairs, ["a", "b"], "left_anti"), "again")
-    more = _linked(again, docs, named, size, percent, stash, "again")
-    stash.drop("rest", "again", "similar", "pivot-links")
-    stars = parts.filter("id <> component").select(F.col("id").alias("u"), F.col("component").alias("v"))
-    found = stash.keep(components(stars.unionByName(more), stash, "all"), "found")
+    again = side("a").join(side("b"), apart & alike).select(F.col("rep_a").alias("a"), F.col("rep_b").alias("b")).distinct()
+    again = stash.keep(again.join(reduce(DataFrame.unionByName, tested), ["a", "b"], "left_anti"), "again")
+    found = _joined(found, _linked(again, docs, named, size, percent, stash, "again"), stash, k + 1)
+    stash.drop("rest", "again", "again-links", f"open-{k + 1}", *[f"similar-{i}" for i in range(k + 1)])
 
     linked = named.select("rep", "low").join(found, F.col("rep") == F.col("id")).select("rep", "low", F.col("component").alias("part"))
     linked = stash.keep(linked, "linked")
@@ -217,7 +240,7 @@ def _resolved(docs: DataFrame, size: int, percent: int, stash: Stash) -> tuple[D
     placed = classes.select("key", "low", "n_equal", "rep").join(linked, "rep", "left")
     placed = placed.select("key", "low", "n_equal", F.when(some, F.coalesce("part", "rep")).alias("part"), F.when(some, F.coalesce("least", "low")).alias("component"))
     placed = stash.keep(placed, "components")
-    stash.drop("by-key", "parts", "again-links", "found", "linked", "least", "resolved")
+    stash.drop("by-key", f"found-{k + 1}", "linked", "least", "resolved")
     return rows, placed
 
 

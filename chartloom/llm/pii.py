@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import Stash, column, packed, unpacked
+from .common import Stash, among, column, packed, unpacked
 
 # Kinds in the order of the report. The patterns find what [A-Za-z0-9._%+-]+@..., [0-9]+(\.[0-9]+)...,
 # [0-9]([\x20-]?[0-9])+ and \+[0-9][\x20().0-9-]+[0-9] find, but give up a start that a longer one has
@@ -37,8 +37,6 @@ TERM = r"[\p{L}\p{N}]+"
 PRIOR = 1
 #: The share of an entity's information from which a term discloses it.
 DISCLOSED = 0.8
-#: A table of so many entities or terms is sent to every task; a longer one is joined by its key.
-BROADCAST_KEYS = 200_000
 
 
 def _pieces(text: Column, pattern: str) -> Column:
@@ -108,10 +106,6 @@ def base_spans(docs: DataFrame) -> DataFrame:
     return held.select("doc_id", "text", "key", base.alias("base"))
 
 
-def _few(df: DataFrame) -> DataFrame:
-    return F.broadcast(df) if df.limit(BROADCAST_KEYS + 1).count() <= BROADCAST_KEYS else df
-
-
 def _terms(rows: DataFrame) -> DataFrame:
     """(key, start, end, term) of the words outside the base spans of rows (key, text, base)."""
     every = rows.select("key", "base", F.posexplode(_pieces(F.col("text"), TERM)).alias("pos", "piece")).filter("piece.found is not null")
@@ -122,13 +116,10 @@ def _terms(rows: DataFrame) -> DataFrame:
 
 
 def _counted(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(term, n_term) of the wanted terms over all documents; many are picked after the counts, which are far fewer than the words."""
+    """(term, n_term) of the wanted terms over all documents."""
     in_row = F.array_distinct(F.regexp_extract_all(F.lower(column(docs, "text", "string")), F.lit(TERM), F.lit(0)))
-    every = docs.select(F.explode(in_row).alias("term"))
-    count = lambda df: df.groupBy("term").agg(F.count("*").alias("n_term"))
-    if wanted.count() <= BROADCAST_KEYS:
-        return count(every.join(F.broadcast(wanted), "term", "left_semi"))
-    return count(every).join(wanted, "term", "left_semi")
+    every = among(docs.select(F.explode(in_row).alias("term")), "term", wanted, "term")
+    return every.groupBy("term").agg(F.count("*").alias("n_term")).join(wanted, "term", "left_semi")
 
 
 def _spans(docs: DataFrame, stash: Stash) -> tuple[DataFrame, DataFrame]:
@@ -142,8 +133,8 @@ def _spans(docs: DataFrame, stash: Stash) -> tuple[DataFrame, DataFrame]:
     of = lambda *more: F.sum(F.xxhash64("key", *more).cast("decimal(20,0)"))
     sets = named.groupBy("entity").agg(F.count("*").alias("n_entity"), of().alias("s"), of(F.lit(1)).alias("t")).filter(F.col("n_entity") < total)
     known = stash.keep(sets.groupBy("n_entity", "s", "t").agg(F.min("entity").alias("entity")).select("entity", "n_entity"), "entities")
-    holders = stash.keep(named.join(_few(known), "entity"), "holders")  # a row for each entity and document that holds it
-    rows = held.join(_few(holders.select("key").distinct()), "key", "left_semi").dropDuplicates(["key"])
+    holders = stash.keep(named.join(known, "entity"), "holders")  # a row for each entity and document that holds it
+    rows = held.join(holders.select("key").distinct(), "key", "left_semi").dropDuplicates(["key"])
     terms = stash.keep(_terms(rows), "terms")
     counted = stash.keep(_counted(docs, stash.keep(terms.select("term").distinct(), "wanted")), "counted")
 
@@ -155,7 +146,7 @@ def _spans(docs: DataFrame, stash: Stash) -> tuple[DataFrame, DataFrame]:
     pairs = near.groupBy("entity", "term").agg(F.count("*").alias("n_both"), F.first("n_entity").alias("n_entity"), F.first("n_term").alias("n_term"))
     share = 1 - F.log2(given(F.col("n_both"))) / F.log2(rate)
     risky = stash.keep(pairs.filter(share >= DISCLOSED).select("entity", "term"), "risky")
-    hits = near.join(_few(risky), ["entity", "term"], "left_semi").select("key", "term").distinct().join(terms, ["key", "term"])
+    hits = near.join(risky, ["entity", "term"], "left_semi").select("key", "term").distinct().join(terms, ["key", "term"])
     span = F.struct("start", F.lit(4).alias("kind"), "end", F.col("term").alias("found"))
     return held, hits.groupBy("key").agg(F.array_sort(F.collect_set(span)).alias("added"))
 

@@ -17,7 +17,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Stash, WordHashes, batches, column, packed, short, unpacked, windows
+from .common import Stash, WordHashes, among, batches, column, packed, short, unpacked, windows
 
 WINDOW = 50
 #: Residues modulo the period whose differences are all residues but 0, each once.
@@ -25,8 +25,6 @@ PERIOD = 31
 COVER = (0, 1, 3, 8, 12, 18)
 #: A window of WINDOW words holds an anchor of so many at any shift of less than a period.
 ANCHOR = WINDOW - PERIOD + 1
-#: Rows sent to every task at most; a longer table is joined by its key.
-BROADCAST_KEYS = 200_000
 
 
 def words_of(text: str | None) -> list[bytes]:
@@ -41,10 +39,6 @@ def anchors(hashes: np.ndarray, anchor: int = ANCHOR, period: int = PERIOD, cove
     return at[on], made[on]
 
 
-def _few(df: DataFrame) -> DataFrame:
-    return F.broadcast(df) if df.limit(BROADCAST_KEYS + 1).count() <= BROADCAST_KEYS else df
-
-
 def _read(docs: DataFrame) -> DataFrame:
     """Per row: doc_id, rid (of doc_id and words), key (of the words), n_words, sha (of all words), anchors (distinct)."""
     schema = pa.schema([("doc_id", pa.int64()), ("rid", pa.int64()), ("key", pa.binary()), ("n_words", pa.int64()), ("sha", pa.string()), ("anchors", pa.list_(pa.int64()))])
@@ -70,14 +64,16 @@ def row_id(doc_id: int | None, joined: bytes) -> int:
 
 
 def _windows(held: DataFrame) -> DataFrame:
-    """(hash, doc_id, rid, start) of the windows that hold one of a document's shared anchors."""
-    schema = pa.schema([("hash", pa.int64()), ("doc_id", pa.int64()), ("rid", pa.int64()), ("start", pa.int32())])
+    """(hash, other, doc_id, rid, start) of the windows that hold one of a document's shared anchors; ``other`` is a
+    second hash, of other hashes of the words, so that windows that only agree in the first are told apart."""
+    schema = pa.schema([("hash", pa.int64()), ("other", pa.int32()), ("doc_id", pa.int64()), ("rid", pa.int64()), ("start", pa.int32())])
 
     def run(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WordHashes()
+        hashes, others = WordHashes(), WordHashes(seed=1)
         for x in short(source):
             for doc_id, rid, text, shared in zip(*(x.column(k).to_pylist() for k in ("doc_id", "rid", "text", "shared")), strict=True):
-                h = hashes(words_of(text))
+                words = words_of(text)
+                h = hashes(words)
                 at, found = anchors(h)
                 at = at[np.isin(found.view(np.int64), np.array(shared, np.int64))]
                 whole = windows(h, WINDOW)
@@ -86,9 +82,10 @@ def _windows(held: DataFrame) -> DataFrame:
                 np.add.at(edge, np.minimum(at + 1, len(whole)), -1)
                 start = np.flatnonzero(np.cumsum(edge[:-1]) > 0).astype(np.int32)
                 if len(start):
-                    yield pa.RecordBatch.from_arrays([pa.array(whole[start].view(np.int64)), pa.array(np.full(len(start), doc_id, np.int64)), pa.array(np.full(len(start), rid, np.int64)), pa.array(start)], schema=schema)
+                    other = windows(others(words), WINDOW)[start].astype(np.uint32).view(np.int32)
+                    yield pa.RecordBatch.from_arrays([pa.array(whole[start].view(np.int64)), pa.array(other), pa.array(np.full(len(start), doc_id, np.int64)), pa.array(np.full(len(start), rid, np.int64)), pa.array(start)], schema=schema)
 
-    return held.select("doc_id", "rid", "text", "shared").mapInArrow(run, "hash long, doc_id long, rid long, start int")
+    return held.select("doc_id", "rid", "text", "shared").mapInArrow(run, "hash long, other int, doc_id long, rid long, start int")
 
 
 def _cut(rows: DataFrame) -> DataFrame:
@@ -121,24 +118,21 @@ def _changes(docs: DataFrame, stash: Stash) -> tuple[DataFrame, DataFrame, DataF
     classes = long_.groupBy("key").agg(F.min("doc_id").alias("rep"), F.count("*").alias("n")).filter("n > 1").select("key", "rep")
     classes = stash.keep(classes, "classes")
     # a later copy of a whole sequence goes whole and has no window that its first does not have
-    first = long_.join(_few(classes), "key", "left").filter("rep is null or doc_id = rep")
+    first = long_.join(classes, "key", "left").filter("rep is null or doc_id = rep")
     marked = first.select("rid", F.explode("anchors").alias("hash"))
     shared = stash.keep(marked.groupBy("hash").agg(F.count("*").alias("n")).filter("n > 1").select("hash"), "shared")
     own = marked.join(shared, "hash", "left_semi").groupBy("rid").agg(F.collect_set("hash").alias("shared"))
     own = stash.keep(own, "own")
     ids = long_.select("rid", F.col("doc_id").alias("id"), "key").join(own, "rid").dropDuplicates(["rid"])
     ids = stash.keep(ids, "ids")
-    few = ids.count() <= BROADCAST_KEYS
-    picked = F.broadcast(ids.select("id").distinct()) if few else ids.select("id").distinct()
-    some = texts.join(picked, texts["doc_id"] == F.col("id"), "left_semi")
-    held = some.join(ids, some["doc_id"] == ids["id"])
+    held = among(texts, "doc_id", ids, "id").join(ids, F.col("doc_id") == F.col("id"))
     held = stash.keep(_same(held).dropDuplicates(["rid"]), "held")
     stash.drop("shared", "own", "ids")
 
     found = stash.keep(_windows(held), "windows")
-    low = found.groupBy("hash").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).filter("low < high").select("hash", "low")
+    low = found.groupBy("hash", "other").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).filter("low < high").select("hash", "other", "low")
     low = stash.keep(low, "low")
-    starts = found.join(low, "hash").filter("doc_id > low").groupBy("rid").agg(F.collect_list("start").alias("starts"))
+    starts = found.join(low, ["hash", "other"]).filter("doc_id > low").groupBy("rid").agg(F.collect_list("start").alias("starts"))
     cuts = stash.keep(_cut(held.select("rid", "text").join(stash.keep(starts, "starts"), "rid")), "cuts")
     stash.drop("windows", "low", "starts", "held")
     return read, classes, cuts
@@ -164,7 +158,7 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
     the same ``doc_id`` do not count against each other; an empty table gives none.
     """
     read, classes, cuts = _changes(docs, Stash(docs.sparkSession, "repeated-passages"))
-    rows = read.select("doc_id", "rid", "key", "n_words", "sha").join(_few(classes), "key", "left")
+    rows = read.select("doc_id", "rid", "key", "n_words", "sha").join(classes, "key", "left")
     rows = rows.join(cuts.select("rid", "n_removed", "kept_sha256"), "rid", "left")
     copy = F.coalesce(F.col("doc_id") > F.col("rep"), F.lit(False))
     removed = F.when(copy, F.col("n_words")).otherwise(F.coalesce("n_removed", F.lit(0)))
@@ -176,7 +170,7 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     """``docs`` with the kept words joined by one space where words went, and the text as it was elsewhere."""
     stash = Stash(docs.sparkSession, "without-repeats")
     read, classes, cuts = _changes(docs, stash)
-    rows = read.select("doc_id", "rid", "key").join(_few(classes), "key", "left").join(cuts.select("rid", "kept"), "rid", "left")
+    rows = read.select("doc_id", "rid", "key").join(classes, "key", "left").join(cuts.select("rid", "kept"), "rid", "left")
     copy = F.col("doc_id") > F.col("rep")
     changed = rows.filter(copy | F.col("kept").isNotNull()).select(F.col("doc_id").alias("cut_id"), F.hex("key").alias("cut_key"), F.when(copy, F.lit("")).otherwise(F.col("kept")).alias("cut_text"))
     changed = stash.keep(changed.dropDuplicates(["cut_id", "cut_key"]), "changed")
