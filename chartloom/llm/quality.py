@@ -6,10 +6,13 @@ a document that loses too much of its text is rejected; so is one that is too sh
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import add, or_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import column, packed, unpacked
+from .common import WORD, column, packed, unpacked
 
 #: A document may lose this share of its words' characters with its lines, in hundredths.
 MOST_LOST = 40
@@ -22,9 +25,10 @@ _SPACE = r"[\x20\x09-\x0D]"
 _SYMBOLS = r"[#*$%&|<>]"
 
 # What lines are judged by.
-#: Lines of at least this many words end in a closing mark, quotes and brackets aside.
+#: A line of at least this many words has a sentence's end somewhere, or goes on in the next line.
 SENTENCE_WORDS = 8
-CLOSED = r"[.!?:;…。！？]['\"”’»)\]]*[\x20\x09-\x0D]*$"
+ENDED = r"[.!?:;…।۔؟]['\"”’»)\]]*(?:[\x20\x09-\x0D]|$)|[。！？]"
+GOES_ON = r"^[\x20\x09-\x0D]*\p{Ll}"
 #: Symbols in a line, in hundredths of its characters.
 MOST_SYMBOLS = 10
 #: Runs of exclamation or question marks in a line, in hundredths of its words, in lines of three words and more.
@@ -33,9 +37,11 @@ MOST_SHOUTED = 30
 #: Marks between menu entries; a line with three of them is navigation.
 SEPARATED = r"[\x20\x09][|»›•·>][\x20\x09]"
 LEAST_SEPARATORS = 3
-#: Whole short lines that are navigation.
+#: Whole short lines that are navigation, and how short they are.
+SHORT_LINE = 80
 NAVIGATION = r"(?i)^[\x20\x09-\x0D]*(home|menu|search|log ?in|sign ?(in|up)|next( page)?|previous( page)?|back to top|read more|share( this)?|skip to content|site ?map|contact( us)?|about( us)?)[.:>» ]*[\x20\x09-\x0D]*$"
-#: Notices that belong to a page, not to its text.
+#: Notices that belong to a page, not to its text, and what a text with one of them has in lower case.
+NOTICES = ("rights reserved", "terms of", "policy", "cookies", "javascript", "lorem ipsum", "newsletter", "click here", "powered by")
 BOILERPLATE = r"(?i)(all rights reserved|terms of (use|service)|privacy policy|cookie policy|(uses?|accept( all)?) cookies|enable javascript|javascript is (disabled|required)|lorem ipsum|subscribe to (our|the) newsletter|click here to|powered by [a-z]+$)"
 
 
@@ -49,16 +55,28 @@ def words_of(text: Column) -> Column:
     return F.when(trimmed == "", F.array().cast("array<string>")).otherwise(F.split(trimmed, _SPACE + "+"))
 
 
-def line_fails(line: Column) -> Column:
-    """Whether a line is to go; lines without a word stay, as they carry no text."""
-    n_words = F.size(words_of(line))
-    punctuation = (
-        ((n_words >= SENTENCE_WORDS) & ~line.rlike(CLOSED))
-        | (100 * _count(line, _SYMBOLS) > MOST_SYMBOLS * F.length(line))
-        | ((n_words >= 3) & (100 * _count(line, SHOUTED) > MOST_SHOUTED * n_words))
-    )
-    navigation = (_count(line, SEPARATED) >= LEAST_SEPARATORS) | line.rlike(NAVIGATION)
-    return (n_words > 0) & (punctuation | navigation | line.rlike(BOILERPLATE))
+def rare_marks(text: Column, n_symbols: Column) -> Column:
+    """Which rules a text needs at all, by bits: symbols, runs of marks, separators, notices."""
+    noticed = reduce(or_, [F.contains(F.lower(text), F.lit(x)) for x in NOTICES])
+    marks = (n_symbols > 0, text.rlike(SHOUTED), text.rlike(SEPARATED), noticed)
+    return reduce(add, [F.when(m, 1 << k).otherwise(0) for k, m in enumerate(marks)])
+
+
+def marked_lines(text: Column, marks: Column) -> Column:
+    """(line, full, bad) of each line: whether it has a word, and whether it is to go; lines without a word
+    stay, as they carry no text. ``marks`` are the text's ``rare_marks``."""
+    has = lambda k: marks.bitwiseAND(1 << k) > 0
+
+    def bad(x: Column, n: Column, after: Column) -> Column:
+        open_ = (n >= SENTENCE_WORDS) & ~x.rlike(ENDED) & ~F.coalesce(after.rlike(GOES_ON), F.lit(False))
+        symbols = has(0) & (100 * _count(x, _SYMBOLS) > MOST_SYMBOLS * F.length(x))
+        shouted = has(1) & (n >= 3) & (100 * _count(x, SHOUTED) > MOST_SHOUTED * n)
+        navigation = (has(2) & (_count(x, SEPARATED) >= LEAST_SEPARATORS)) | ((F.length(x) <= SHORT_LINE) & x.rlike(NAVIGATION))
+        return (n > 0) & (open_ | symbols | shouted | navigation | (has(3) & x.rlike(BOILERPLATE)))
+
+    counted = F.transform(F.split(text, "\n"), lambda x: F.struct(x.alias("line"), _count(x, WORD).alias("n")))
+    marked = lambda d: F.transform(d, lambda x, i: F.struct(x["line"].alias("line"), (x["n"] > 0).alias("full"), bad(x["line"], x["n"], F.get(d, i + 1)["line"]).alias("bad")))
+    return F.element_at(F.transform(F.array(counted), marked), 1)
 
 
 def window_hashes(hashes: Column) -> Column:
@@ -69,9 +87,11 @@ def window_hashes(hashes: Column) -> Column:
 
 
 def measures(docs: DataFrame) -> DataFrame:
-    """``docs`` with a struct ``q`` of the measures and the verdict, and ``q_lines``, the lines that stay."""
+    """``docs`` with a struct ``q`` of the measures, and ``q_lines``, every line and whether it is to go."""
     held = docs.withColumn("q_text", F.coalesce(column(docs, "text", "string"), F.lit("")))
-    held = held.withColumn("q_words", words_of(F.col("q_text"))).withColumn("q_lines", F.split("q_text", "\n"))
+    held = held.withColumn("q_words", words_of(F.col("q_text"))).withColumn("q_symbols", _count(F.col("q_text"), _SYMBOLS))
+    held = held.withColumn("q_marks", rare_marks(F.col("q_text"), F.col("q_symbols")))
+    held = held.withColumn("q_lines", marked_lines(F.col("q_text"), F.col("q_marks"))).drop("q_marks")
     held = held.withColumn("q_hashes", F.transform("q_words", lambda w: F.xxhash64(w)))
     held = held.withColumn("q_windows", window_hashes(F.col("q_hashes"))).drop("q_hashes")
     # Equal windows stand side by side once sorted, which only documents with a repeated window need. The
@@ -84,13 +104,12 @@ def measures(docs: DataFrame) -> DataFrame:
     held = held.withColumn("q_starts", F.array_sort(F.transform(marked, lambda x: x["i"]))).drop("q_sorted")
     steps = F.transform("q_starts", lambda x, j: F.least(F.lit(WINDOW), F.coalesce(F.get(F.col("q_starts"), j + 1) - x, F.lit(WINDOW))))
     n_repeat = F.coalesce(F.aggregate(steps, F.lit(0).cast("long"), lambda a, x: a + x), F.lit(0))
-    full = F.filter("q_lines", lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
-    bad = F.filter("q_lines", line_fails)
-    held = held.withColumn("q_full", full).withColumn("q_bad", bad)
+    of = lambda c: F.transform(F.filter("q_lines", lambda x: x[c]), lambda x: x["line"])
+    held = held.withColumn("q_full", of("full")).withColumn("q_bad", of("bad"))
     q = F.struct(
         F.size("q_words").cast("long").alias("n_words"),
         F.length(F.array_join("q_words", "")).cast("long").alias("word_chars"),
-        _count(F.col("q_text"), _SYMBOLS).cast("long").alias("n_symbols"),
+        F.col("q_symbols").cast("long").alias("n_symbols"),
         (F.size("q_full") - F.size(F.array_distinct("q_full"))).cast("long").alias("n_dup_lines"),
         n_repeat.cast("long").alias("n_repeat_words"),
         F.size("q_bad").cast("long").alias("n_bad_lines"),
@@ -121,7 +140,7 @@ def clean(docs: DataFrame) -> DataFrame:
     # the row number keeps the filter above the measures; pushed below, it would repeat them for each use
     held = measures(packed(docs, text="string")).withColumn("q_row", F.monotonically_increasing_id())
     kept = held.filter(_verdict(F.col("q"))[1] & (F.col("q_row") >= 0))
-    text = F.when(F.col("q")["n_bad_lines"] == 0, F.col("text")).otherwise(F.array_join(F.filter("q_lines", lambda x: ~line_fails(x)), "\n"))
+    text = F.when(F.col("q")["n_bad_lines"] == 0, F.col("text")).otherwise(F.array_join(F.transform(F.filter("q_lines", lambda x: ~x["bad"]), lambda x: x["line"]), "\n"))
     kept = kept.withColumn("text", text)
     chars = {"n_chars": F.length("text").cast(docs.schema["n_chars"].dataType)} if "n_chars" in docs.columns else {}
     return unpacked(kept, docs.columns, text=F.col("text"), **chars)
