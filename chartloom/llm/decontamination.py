@@ -21,7 +21,8 @@ from .common import batches, column, short
 
 #: One edit for so many characters of an item: 7 hundredths of its length.
 CHARS_PER_EDIT = 14
-#: Shorter items say nothing about where a text is from and match nothing.
+#: Shorter items say nothing about where a text is from: they are found where they stand as whole words, with
+#: no edit, but no document is removed for one.
 LEAST_CHARS = 16
 #: Characters of items in one automaton; more items are searched in as many blocks as they need.
 BLOCK_CHARS = 2_000_000
@@ -108,6 +109,10 @@ class Matcher:
         found = []
         for n, around in spans.items():
             item_id, item, k, masks, own = self.items[n]
+            if len(item) < LEAST_CHARS:
+                if f" {item} " in f" {text} ":
+                    found.append((item_id, 0, 0))
+                continue
             if item in text:
                 found.append((item_id, 0, k))
                 continue
@@ -125,11 +130,11 @@ class Matcher:
         return found
 
 
-def _blocks(bench: DataFrame, block_chars: int) -> list[Broadcast]:
+def _blocks(bench: DataFrame, block_chars: int, least: int = 1) -> list[Broadcast]:
     """The items that can be searched, in blocks of a bounded size, each sent to every task."""
     fold = F.pandas_udf(lambda s: s.map(normalised), "string")
     items = bench.select(column(bench, "item_id", "long"), column(bench, "text", "string")).filter("text is not null")
-    items = items.select("item_id", fold("text").alias("text")).filter(F.length("text") >= LEAST_CHARS).distinct()
+    items = items.select("item_id", fold("text").alias("text")).filter(F.length("text") >= least).distinct()
     size = items.agg(F.sum(F.length("text"))).first()[0] or 0
     n = -(-size // block_chars)
     of = F.pmod(F.xxhash64("item_id", "text"), F.lit(max(n, 1)))
@@ -140,9 +145,10 @@ def _blocks(bench: DataFrame, block_chars: int) -> list[Broadcast]:
 def matches(docs: DataFrame, bench: DataFrame, block_chars: int = BLOCK_CHARS) -> DataFrame:
     """(doc_id, item_id, distance, budget) for each row of ``docs`` and item that it holds.
 
-    Case, punctuation and white space do not count. Null and empty texts and items match nothing, nor do
-    items shorter than ``LEAST_CHARS``; null ids stay null; equal items are one, repeated rows give
-    repeated results; empty tables give none.
+    Case, punctuation and white space do not count. Null and empty texts and items match nothing; items shorter
+    than ``LEAST_CHARS`` match as whole words only. Null ids stay null; equal items are one, repeated rows
+    give repeated results; a very long text is searched whole; empty tables give none; other columns, of any
+    name, are not read.
     """
     texts = docs.select(column(docs, "doc_id", "long"), column(docs, "text", "string"))
     schema = pa.schema([("doc_id", pa.int64()), ("item_id", pa.int64()), ("distance", pa.int64()), ("budget", pa.int64())])
@@ -161,8 +167,13 @@ def matches(docs: DataFrame, bench: DataFrame, block_chars: int = BLOCK_CHARS) -
 
 
 def decontaminate(docs: DataFrame, bench: DataFrame, block_chars: int = BLOCK_CHARS) -> DataFrame:
-    """The rows of ``docs`` that hold no item, with all their columns; nothing is shuffled."""
-    for items in _blocks(bench, block_chars):
+    """The rows of ``docs`` that hold no item of ``LEAST_CHARS`` or more, with all their columns; nothing is shuffled.
+
+    Rows without text stay, and so does every row where there is no such column or the benchmark is empty.
+    """
+    if "text" not in docs.columns:
+        return docs
+    for items in _blocks(bench, block_chars, LEAST_CHARS):
 
         def run(source: Iterator[pa.RecordBatch], items: Broadcast = items) -> Iterator[pa.RecordBatch]:
             matcher = Matcher(items.value)

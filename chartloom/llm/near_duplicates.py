@@ -2,9 +2,9 @@
 confirmed on the full sets, and connected components.
 
 Rows with equal sets are one class; only one signature of it goes on. Candidates are classes that share a
-band. A band's bucket is never expanded into all its pairs: in a few rounds every member is held against
-one of them, the pivot, first the one with the least ``doc_id``, then ones that a hash chooses for each
-band; what that links becomes one component. Of members of one bucket that are then still in different
+band. A band's bucket is never expanded into all its pairs. Every bucket has a pivot, first the member with
+the least ``doc_id``, in later rounds one that a hash chooses; in each round a class is held against the
+pivot that it shares most bands with, and what that links becomes one component. Of members of one bucket that are then still in different
 components, those pairs become rows whose sizes allow the similarity and whose signatures agree. So a
 link can only be left out where it would join what is joined already. One plan serves every size.
 """
@@ -214,6 +214,7 @@ def _resolved(docs: DataFrame, size: int, percent: int, stash: Stash) -> tuple[D
         turn = F.col("low") if k == 0 else F.xxhash64("rep", "band", F.lit(k))
         pivots = open_.groupBy("band").agg(F.min(F.struct(turn, F.col("rep"), F.col("part"))).alias("pivot")).select("band", F.col("pivot.rep").alias("pivot"), F.col("pivot.part").alias("pivot_part"))
         met = open_.join(stash.keep(pivots, f"pivots-{k}"), "band").filter("part <> pivot_part")
+        met = met.groupBy("rep", "pivot").agg(F.count("*").alias("n")).groupBy("rep").agg(F.max(F.struct("n", "pivot"))["pivot"].alias("pivot"))
         met = met.select(F.least("rep", "pivot").alias("a"), F.greatest("rep", "pivot").alias("b")).distinct()
         tested.append(stash.keep(_similar(met, named, percent), f"similar-{k}"))
         links = _linked(tested[-1], docs, named, size, percent, stash, f"round-{k}")

@@ -111,28 +111,29 @@ def _cut(rows: DataFrame) -> DataFrame:
 
 
 def _changes(docs: DataFrame, stash: Stash) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """What was read of each row; (key, rep) of the word sequences that several rows have; and the cuts by rid."""
+    """What was read of each row; (key, rep) of the word sequences that several rows have; and the cuts by rid.
+    Joins are by sorted keys at every size, so that the plan measured small is the one that runs large."""
     texts = docs.select(column(docs, "doc_id", "long"), column(docs, "text", "string"))
     read = stash.keep(_read(texts), "read")
     long_ = read.filter(f"n_words >= {WINDOW} and doc_id is not null")
     classes = long_.groupBy("key").agg(F.min("doc_id").alias("rep"), F.count("*").alias("n")).filter("n > 1").select("key", "rep")
     classes = stash.keep(classes, "classes")
     # a later copy of a whole sequence goes whole and has no window that its first does not have
-    first = long_.join(classes, "key", "left").filter("rep is null or doc_id = rep")
+    first = long_.join(classes.hint("merge"), "key", "left").filter("rep is null or doc_id = rep")
     marked = first.select("rid", F.explode("anchors").alias("hash"))
     shared = stash.keep(marked.groupBy("hash").agg(F.count("*").alias("n")).filter("n > 1").select("hash"), "shared")
-    own = marked.join(shared, "hash", "left_semi").groupBy("rid").agg(F.collect_set("hash").alias("shared"))
+    own = marked.join(shared.hint("merge"), "hash", "left_semi").groupBy("rid").agg(F.collect_set("hash").alias("shared"))
     own = stash.keep(own, "own")
     ids = long_.select("rid", F.col("doc_id").alias("id"), "key").join(own, "rid").dropDuplicates(["rid"])
     ids = stash.keep(ids, "ids")
-    held = among(texts, "doc_id", ids, "id").join(ids, F.col("doc_id") == F.col("id"))
+    held = among(texts, "doc_id", ids, "id").join(ids.hint("merge"), F.col("doc_id") == F.col("id"))
     held = stash.keep(_same(held).dropDuplicates(["rid"]), "held")
     stash.drop("shared", "own", "ids")
 
     found = stash.keep(_windows(held), "windows")
     low = found.groupBy("hash", "other").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).filter("low < high").select("hash", "other", "low")
     low = stash.keep(low, "low")
-    starts = found.join(low, ["hash", "other"]).filter("doc_id > low").groupBy("rid").agg(F.collect_list("start").alias("starts"))
+    starts = found.join(low.hint("merge"), ["hash", "other"]).filter("doc_id > low").groupBy("rid").agg(F.collect_list("start").alias("starts"))
     cuts = stash.keep(_cut(held.select("rid", "text").join(stash.keep(starts, "starts"), "rid")), "cuts")
     stash.drop("windows", "low", "starts", "held")
     return read, classes, cuts
@@ -158,8 +159,8 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
     the same ``doc_id`` do not count against each other; an empty table gives none.
     """
     read, classes, cuts = _changes(docs, Stash(docs.sparkSession, "repeated-passages"))
-    rows = read.select("doc_id", "rid", "key", "n_words", "sha").join(classes, "key", "left")
-    rows = rows.join(cuts.select("rid", "n_removed", "kept_sha256"), "rid", "left")
+    rows = read.select("doc_id", "rid", "key", "n_words", "sha").join(classes.hint("merge"), "key", "left")
+    rows = rows.join(cuts.select("rid", "n_removed", "kept_sha256").hint("merge"), "rid", "left")
     copy = F.coalesce(F.col("doc_id") > F.col("rep"), F.lit(False))
     removed = F.when(copy, F.col("n_words")).otherwise(F.coalesce("n_removed", F.lit(0)))
     sha = F.when(copy, F.sha2(F.lit(""), 256)).otherwise(F.coalesce("kept_sha256", "sha"))

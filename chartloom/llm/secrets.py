@@ -2,18 +2,24 @@
 
 The credentials that the patterns label are the examples. A prefix tree of them is folded into a
 probabilistic automaton by merging states whose frequencies do not differ significantly (Hoeffding
-bounds), one automaton for each kind. Every other long token is a candidate; it becomes a span of kind
-``format`` if its likelihood for each character, under one of the automata, is no less than nearly all
-examples have, and better than under the automaton of ordinary long tokens.
+bounds), one automaton for each kind. Every other token is a candidate; it becomes a span of kind ``format``
+if its likelihood for each character, under one of the automata, is no less than nearly all examples have,
+and no less than under the automata of ordinary tokens, shorter and longer ones.
 """
 
 from __future__ import annotations
 
+import hashlib
+import heapq
 import math
 import re
+from bisect import bisect_left
+from collections import defaultdict
 from collections.abc import Iterator
+from itertools import accumulate
 
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -26,8 +32,10 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{24,}")
 KEYWORDS = ("password", "passwd", "secret", "token", "apikey", "api_key")
 LEAST_VALUE, LEAST_ACCESS = 6, 20
-CANDIDATE = re.compile(r"(?<![A-Za-z0-9+/_.=-])[A-Za-z0-9+/_.=-]{20,}")
-LEAST_CANDIDATE = 20
+#: Every other token of as many characters as the shortest credential is a candidate.
+CANDIDATE = re.compile(r"(?<![A-Za-z0-9+/_.=-])[A-Za-z0-9+/_.=-]{6,}")
+#: Ordinary tokens of so many characters and more have an automaton of their own.
+LONG_TOKEN = 20
 
 #: Labelled credentials of each kind, and ordinary tokens, that an automaton is inferred from at most; they
 #: are those with the least hashes.
@@ -41,38 +49,42 @@ ALPHA = 0.05
 OUTLIERS = 0.05
 #: The probability of what was never seen in a state.
 UNSEEN = 1e-4
+#: Words whose verdict a worker remembers; a matter of speed only.
+REMEMBERED = 300_000
+
+_CLASSES = {c: "0" if c < 58 else "A" if 65 <= c <= 70 else "G" if 71 <= c <= 90 else "a" if 97 <= c <= 102 else "g" for c in (*range(48, 58), *range(65, 91), *range(97, 123))}
 
 
 def symbols(token: str) -> str:
     """Characters by class: digits, letters a-f and others in either case; all else as it is."""
-    return "".join("0" if c.isdigit() else "a" if "a" <= c <= "f" else "g" if "g" <= c <= "z" else "A" if "A" <= c <= "F" else "G" if "G" <= c <= "Z" else c for c in token)
+    return token.translate(_CLASSES)
 
 
 def find(text: str | None) -> tuple[list[tuple[int, int, int]], list[tuple[int, str]], list[tuple[int, int, str]]]:
     """Base spans (start, kind, end), labelled values (kind, value) and candidates (start, end, token) of a text."""
     if not text:
         return [], [], []
-    spans, values, candidates = [], [], []
+    spans, values = [], []
     low = text.lower()
     if any(k in low for k in KEYWORDS):
         for m in ASSIGN.finditer(text):
             if len(m[2]) >= LEAST_VALUE:
                 spans.append((m.start(), 0, m.end()))
                 values.append((0, m[2]))
-    if max(map(len, text.split()), default=0) >= LEAST_CANDIDATE:
-        if "AKIA" in text:
-            for m in ACCESS.finditer(text):
-                if len(m[0]) >= LEAST_ACCESS:
-                    spans.append((m.start(), 1, m.end()))
-                    values.append((1, m[0]))
-        for m in HEX.finditer(text):
-            spans.append((m.start(), 2, m.end()))
-            values.append((2, m[0]))
-        spans.sort()
-        for m in CANDIDATE.finditer(text):
-            if not any(s < m.end() and m.start() < e for s, _, e in spans):
-                candidates.append((m.start(), m.end(), m[0]))
-    return sorted(spans), values, candidates
+    if "AKIA" in text:
+        for m in ACCESS.finditer(text):
+            if len(m[0]) >= LEAST_ACCESS:
+                spans.append((m.start(), 1, m.end()))
+                values.append((1, m[0]))
+    for m in HEX.finditer(text):
+        spans.append((m.start(), 2, m.end()))
+        values.append((2, m[0]))
+    spans.sort()
+    candidates = ((m.start(), m.end(), m[0]) for m in CANDIDATE.finditer(text))
+    if spans:  # a token meets one if, of those that start before its end, one ends after its start
+        starts, ends = [a for a, _, _ in spans], list(accumulate((b for _, _, b in spans), max))
+        candidates = ((s, e, t) for s, e, t in candidates if not (k := bisect_left(starts, e)) or ends[k - 1] <= s)
+    return spans, values, list(candidates)
 
 
 class Automaton:
@@ -168,67 +180,75 @@ class Automaton:
 
 
 class Grammar:
-    """The automata of the kinds that have examples, with the least likelihood of each, and that of ordinary tokens."""
+    """The automata of the kinds that have examples, with the least likelihood of each, and those of ordinary tokens."""
 
-    def __init__(self, examples: dict[int, list[str]], ordinary: list[str]):
+    def __init__(self, examples: dict[int, list[str]], *ordinary: list[str]):
         self.kinds = []
         for _, values in sorted(examples.items()):
             automaton = Automaton([symbols(v) for v in values])
             scores = sorted(automaton.likelihood(symbols(v)) for v in values)
             self.kinds.append((automaton, scores[int(OUTLIERS * len(scores))]))
-        self.ordinary = Automaton([symbols(v) for v in ordinary]) if ordinary else None
+        self.ordinary = [Automaton([symbols(v) for v in x]) for x in ordinary if x]
+        self.known: dict[str, bool] = {}
 
     def accepts(self, token: str) -> bool:
-        if not any(c.isdigit() for c in token) or not any(c.isalpha() for c in token):
-            return False
         word = symbols(token)
-        plain = self.ordinary.likelihood(word) if self.ordinary else -math.inf
-        return any(a.likelihood(word) >= max(least, plain) for a, least in self.kinds)
+        said = self.known.get(word)
+        if said is None:
+            if len(self.known) > REMEMBERED:
+                self.known.clear()
+            scores = [(a.likelihood(word), least) for a, least in self.kinds]
+            said = any(x >= least for x, least in scores)
+            if said:
+                plain = max((a.likelihood(word) for a in self.ordinary), default=-math.inf)
+                said = any(x >= max(least, plain) for x, least in scores)
+            if len(word) <= LONGEST:
+                self.known[word] = said
+        return said
 
 
-def _read(docs: DataFrame) -> DataFrame:
-    span = pa.list_(pa.struct([("start", pa.int32()), ("kind", pa.int32()), ("end", pa.int32())]))
-    value = pa.list_(pa.struct([("kind", pa.int32()), ("value", pa.string())]))
-    token = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("token", pa.string())]))
-    schema = pa.schema([("doc_id", pa.int64()), ("base", span), ("labelled", value), ("candidates", token)])
+def _least(tokens: set[str], n: int) -> list[str]:
+    """The ``n`` tokens with the least hashes."""
+    return heapq.nsmallest(n, tokens, key=_place)
 
-    def run(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def rows() -> Iterator[tuple]:
-            for x in short(source):
-                for doc_id, text in zip(x.column(0).to_pylist(), x.column(1).to_pylist(), strict=True):
-                    spans, values, tokens = find(text)
-                    yield (
-                        doc_id, [dict(zip(("start", "kind", "end"), s, strict=True)) for s in spans],
-                        [dict(zip(("kind", "value"), v, strict=True)) for v in values],
-                        [dict(zip(("start", "end", "token"), t, strict=True)) for t in tokens],
-                    )
 
-        yield from batches(rows(), schema, size=1024)
+def _place(token: str) -> tuple[int, str]:
+    return xxhash.xxh3_64_intdigest(token.encode("utf-8", "surrogatepass")) >> 1, token
 
-    kind = "doc_id long, base array<struct<start:int,kind:int,end:int>>, labelled array<struct<kind:int,value:string>>, candidates array<struct<start:int,end:int,token:string>>"
-    return docs.select(column(docs, "doc_id", "long"), column(docs, "text", "string")).mapInArrow(run, kind)
 
+def infer(docs: DataFrame, examples: int = EXAMPLES) -> Grammar:
+    """The grammar of what all texts hold: of the distinct values of each kind, and of the distinct ordinary tokens,
+    shorter and longer ones, the ``examples`` with the least hashes. Each batch hands on no more than as many."""
+    schema = pa.schema([("kind", pa.int32()), ("place", pa.int64()), ("value", pa.string())])
 
-def infer(read: DataFrame, examples: int = EXAMPLES) -> Grammar:
-    """The grammar of what ``_read`` found: up to ``examples`` distinct values of each kind and ordinary tokens."""
-    least = lambda df, name: [r[0] for r in df.select(name).distinct().orderBy(F.xxhash64(name), name).limit(examples).collect()]
-    values = read.select(F.explode("labelled").alias("x")).select("x.kind", "x.value")
-    labelled = {k: found for k in range(3) if (found := least(values.filter(F.col("kind") == k), "value"))}
-    tokens = read.select(F.explode("candidates").alias("x")).select("x.token")
-    return Grammar(labelled, least(tokens, "token") if labelled else [])
+    def run(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for x in source:
+            seen: dict[int, set[str]] = defaultdict(set)
+            for text in x.column(0).to_pylist():
+                _, values, tokens = find(text)
+                for kind, value in values:
+                    seen[kind].add(value)
+                for _, _, token in tokens:
+                    seen[3 + (len(token) >= LONG_TOKEN)].add(token)
+                for kind, found in seen.items():
+                    if len(found) > 20 * examples:
+                        seen[kind] = set(_least(found, examples))
+            yield from batches(((k, *_place(v)) for k, found in seen.items() for v in _least(found, examples)), schema)
+
+    found = Stash(docs.sparkSession, "secrets").keep(docs.select(column(docs, "text", "string")).mapInArrow(run, "kind int, place long, value string"), "examples")
+    held = [[r["value"] for r in found.filter(F.col("kind") == k).distinct().orderBy("place", "value").limit(examples).collect()] for k in range(5)]
+    labelled = {k: held[k] for k in range(3) if held[k]}
+    return Grammar(labelled, *(held[3:] if labelled else []))
 
 
 def secrets(docs: DataFrame, examples: int = EXAMPLES) -> DataFrame:
     """Per row of ``docs``: doc_id, n_assign, n_access, n_hex, base_sha256, spans, n_format.
 
-    A span of kind assign is the whole match. Null and empty texts have no span; null ids stay null;
-    repeated rows get the same result; an empty table gives none; without labelled credentials nothing
-    is inferred and no span is added.
+    A span of kind assign is the whole match. Null and empty texts have no span; of very long texts and tokens
+    every character counts; null ids stay null; repeated rows get the same result; other columns are not read;
+    an empty table gives none; without labelled credentials nothing is inferred and no span is added.
     """
-    import hashlib
-
-    read = Stash(docs.sparkSession, "secrets").keep(_read(docs), "read")
-    grammar = docs.sparkSession.sparkContext.broadcast(infer(read, examples))
+    grammar = docs.sparkSession.sparkContext.broadcast(infer(docs, examples))
     names = ("doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans", "n_format")
     kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64())
     schema = pa.schema(list(zip(names, kinds, strict=True)))
@@ -239,13 +259,13 @@ def secrets(docs: DataFrame, examples: int = EXAMPLES) -> DataFrame:
 
         def rows() -> Iterator[tuple]:
             for x in short(source):
-                for r in x.to_pylist():
-                    base = [(s["start"], s["kind"], s["end"]) for s in r["base"]]
-                    more = [(c["start"], 3, c["end"]) for c in r["candidates"] if accepts(c["token"])]
+                for doc_id, text in zip(x.column(0).to_pylist(), x.column(1).to_pylist(), strict=True):
+                    base, _, tokens = find(text)
+                    more = [(s, 3, e) for s, e, token in tokens if accepts(token)]
                     n = [sum(k == i for _, k, _ in base) for i in range(3)]
-                    yield r["doc_id"], *n, hashlib.sha256(said(base).encode()).hexdigest(), said(sorted(base + more)), len(more)
+                    yield doc_id, *n, hashlib.sha256(said(base).encode()).hexdigest(), said(sorted(base + more)), len(more)
 
         yield from batches(rows(), schema)
 
     kind = "doc_id long, n_assign long, n_access long, n_hex long, base_sha256 string, spans string, n_format long"
-    return read.select("doc_id", "base", "candidates").mapInArrow(run, kind)
+    return docs.select(column(docs, "doc_id", "long"), column(docs, "text", "string")).mapInArrow(run, kind)

@@ -74,13 +74,14 @@ def test_decontamination(spark, odd, rows, empty):
     item = " ".join("".join(draw.choice("abcdefgh") for _ in range(6)) for _ in range(20))
     edits = lambda n: "".join("#"[:0] if i % 9 == 4 and i // 9 < n else c for i, c in enumerate(item))
     k = decontamination.budget(decontamination.normalised(item))
-    texts = [item, f"x {item.upper().replace(' ', ' - ')} y", edits(k), edits(k + 6), None, "", "clean text of no item at all"]
+    texts = [item, f"x {item.upper().replace(' ', ' - ')} y", edits(k), edits(k + 6), None, "", "clean text of no item at all", "a Short, one", "ashort one shorty"]
     docs = spark.createDataFrame([*enumerate(texts), (0, item), (None, item)], "doc_id long, text string")
     bench = spark.createDataFrame([(1, item), (2, None), (3, ""), (4, "short"), (None, "another item that nobody has"), (1, item)], "item_id long, text string")
     found = decontamination.matches(docs, bench, block_chars=40)
     expected = [(i, 1, distance(decontamination.normalised(item), decontamination.normalised(t))) for i, t in [*enumerate(texts), (0, item), (None, item)] if t]
-    assert got(found, "doc_id", "item_id", "distance") == ordered(x for x in expected if x[2] <= k)
-    assert got(decontamination.decontaminate(docs, bench), "doc_id") == ordered((i,) for i in (3, 4, 5, 6))
+    assert got(found, "doc_id", "item_id", "distance") == ordered([*(x for x in expected if x[2] <= k), (7, 4, 0)])
+    assert got(decontamination.decontaminate(docs, bench), "doc_id") == ordered((i,) for i in (3, 4, 5, 6, 7, 8))
+    assert decontamination.decontaminate(docs.drop("text"), bench).count() == docs.count()
     assert decontamination.decontaminate(odd, bench).columns == odd.columns
     assert decontamination.matches(odd, bench.limit(0)).count() == decontamination.matches(empty, bench).count() == 0
 
