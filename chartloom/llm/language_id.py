@@ -20,10 +20,12 @@ from .common import Stash, batches, column, short
 
 #: Labelled documents that a language is learned from, on average; they are chosen by a hash of the doc_id.
 TRAIN_DOCS = 1000
-#: Longest piece, and least length of a word whose sums are scaled, in bytes.
-PIECE, SHORT = 16, 24
+#: Least length in bytes of a word whose sums are scaled.
+SHORT = 24
+#: Largest exponent in the scaled sums.
+HIGHEST = 650.0
 #: Bytes of scaled words that are learned from at a time, times languages; a matter of memory only.
-CELLS = 800_000
+CELLS = 400_000
 ROUNDS = 3
 #: Of a piece's probability this part comes from the vocabulary as a whole, so that none is impossible.
 SMOOTHED = 0.01
@@ -32,10 +34,9 @@ REMEMBERED = 300_000
 
 
 def vocabulary(path: str) -> dict[bytes, int]:
-    """Pieces of a file of base64 pieces and ranks, numbered from 1: those of up to ``PIECE`` bytes, as they
-    can stand in a word after one space."""
+    """Pieces of a file of base64 pieces and ranks, numbered from 1: those that can stand in a word after one space."""
     lines = [base64.b64decode(x.split()[0]) for x in open(path, "rb") if x.strip()]
-    fit = [p for p in lines if len(p) <= PIECE and len((p[1:] if p[:1] == b" " else p).split()) == (p != b" ") and not p[1:2].isspace()]
+    fit = [p for p in lines if len((p[1:] if p[:1] == b" " else p).split()) == (p != b" ") and not p[1:2].isspace()]
     return {p: i for i, p in enumerate(dict.fromkeys([*fit, *(bytes([b]) for b in range(256))]), 1)}
 
 
@@ -44,12 +45,13 @@ class Unigrams:
 
     def __init__(self, pieces: dict[bytes, int], languages: list[str], p: np.ndarray | None = None):
         self.pieces, self.languages = pieces, languages
+        self.sizes = sorted(set(map(len, pieces)))  # few, so only these lengths are looked up
         self.p = np.full((len(pieces) + 1, len(languages)), 1 / len(pieces)) if p is None else p
         self.p[0] = 0
 
     def _ids(self, words: list[bytes], n: int) -> dict[tuple[int, int], np.ndarray]:
         get = self.pieces.get
-        return {(i, j): np.array([get(w[i:j], 0) for w in words]) for j in range(1, n + 1) for i in range(max(0, j - PIECE), j)}
+        return {(i, j): np.array([get(w[i:j], 0) for w in words]) for j in range(1, n + 1) for i in [j - k for k in reversed(self.sizes) if k <= j]}
 
     def _forward(self, ids: dict[tuple[int, int], np.ndarray], n: int, count: int) -> np.ndarray:
         alpha = np.zeros((n + 1, count, len(self.languages)))
@@ -75,19 +77,21 @@ class Unigrams:
         return out
 
     def _long(self, word: bytes) -> np.ndarray:
-        recent, scale = [np.ones(len(self.languages))], np.zeros(len(self.languages))
+        alpha, scale, reach, get = np.zeros((len(word) + 1, len(self.languages))), np.zeros(len(self.languages)), self.sizes[-1], self.pieces.get
+        alpha[0] = 1
         for j in range(1, len(word) + 1):
-            total = np.zeros(len(self.languages))
-            for k in range(1, min(PIECE, j) + 1):
-                x = self.pieces.get(word[j - k : j])
+            for k in self.sizes:
+                if k > j:
+                    break
+                x = get(word[j - k : j])
                 if x:
-                    total = total + recent[-k] * self.p[x]
-            recent = [*recent[-PIECE:], total]
-            if j % PIECE == 0:
-                by = total.copy()
-                recent = [r / by for r in recent]
+                    alpha[j] += alpha[j - k] * self.p[x]
+            if j % 16 == 0:
+                by = alpha[j].copy()
+                with np.errstate(over="ignore"):  # only of sums that no piece reaches back to
+                    alpha[max(0, j - reach) : j + 1] /= by
                 scale += np.log(by)
-        return np.log(recent[-1]) + scale
+        return np.log(alpha[-1]) + scale
 
     def learn(self, counts: dict[bytes, np.ndarray], rounds: int = ROUNDS) -> None:
         """Expectation maximisation: in each round the expected use of each piece over all segmentations."""
@@ -141,40 +145,44 @@ class Unigrams:
             yield held
 
     def _matched(self, words: list[bytes], counts: dict[bytes, np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Lengths and counts of the words, and places and numbers of their pieces; a place is (end, PIECE - length, word)."""
+        """Lengths and counts of the words, and places and numbers of their pieces; a place is (end, which size, word)."""
         get, places, found = self.pieces.get, [], []
         for r, word in enumerate(words):
             w = b" " + word
             for j in range(1, len(w) + 1):
-                for k in range(1, min(PIECE, j) + 1):
+                for s, k in enumerate(self.sizes):
+                    if k > j:
+                        break
                     x = get(w[j - k : j])
                     if x:
-                        places.append((j * PIECE + PIECE - k) * len(words) + r)
+                        places.append((j * len(self.sizes) + s) * len(words) + r)
                         found.append(x)
         return np.array([len(w) + 1 for w in words]), np.array([counts[w] for w in words]), np.array(places, np.int64), np.array(found, np.int32)
 
     def _use(self, used: np.ndarray, lengths: np.ndarray, weight: np.ndarray, places: np.ndarray, found: np.ndarray) -> None:
-        """Adds the expected use of each piece in words of any length; the sums are held as logarithms."""
-        n, count = int(lengths[0]), len(lengths)
-        x = np.zeros((n + 1 + PIECE, PIECE, count), np.int32)
+        """Adds the expected use of each piece in words of any length; the sums are held as logarithms. Where no
+        piece of a size ends or begins, its number is 0, whose probability is 0."""
+        n, count, size = int(lengths[0]), len(lengths), np.array(self.sizes)
+        x = np.zeros((n + 1, len(size), count), np.int32)
         x.ravel()[places] = found
         open_ = [int(np.count_nonzero(lengths >= j)) for j in range(n + 2)]  # words that reach position j come first
-        alpha = np.full((PIECE + n + 1, count, len(self.languages)), -np.inf)  # position j is at PIECE + j
-        alpha[PIECE] = 0
+        alpha = np.full((n + 1, count, len(self.languages)), -np.inf)
+        alpha[0] = 0
         for j in range(1, n + 1):
             a = open_[j]
-            last = alpha[PIECE + j - 1, :a]
-            alpha[PIECE + j, :a] = last + np.log((np.exp(alpha[j : PIECE + j, :a] - last) * self.p[x[j, :, :a]]).sum(axis=0))
-        beta = np.full((n + 1 + PIECE, count, len(self.languages)), -np.inf)
+            last = alpha[j - 1, :a]
+            before = np.exp(np.minimum(alpha[np.maximum(j - size, 0), :a] - last, HIGHEST))
+            alpha[j, :a] = last + np.log((before * self.p[x[j, :, :a]]).sum(axis=0))
+        beta = np.full((n + 1, count, len(self.languages)), -np.inf)
         beta[lengths, np.arange(count)] = 0
-        whole = alpha[PIECE + lengths, np.arange(count)]
-        size = np.arange(1, PIECE + 1)
+        whole, which = alpha[lengths, np.arange(count)], np.arange(len(size))
         for i in range(n - 1, -1, -1):
             a = open_[i + 1]
-            from_i, next_ = x[i + size, PIECE - size, :a], beta[i + 1, :a]
-            through = np.exp(beta[i + 1 : i + 1 + PIECE, :a] - next_) * self.p[from_i]
+            end = np.where(i + size <= n, i + size, 0)  # nothing ends at 0
+            from_i, next_ = x[end, which, :a], beta[i + 1, :a]
+            through = np.exp(np.minimum(beta[end, :a] - next_, HIGHEST)) * self.p[from_i]
             beta[i, :a] = next_ + np.log(through.sum(axis=0))
-            through *= weight[:a] * np.exp(alpha[PIECE + i, :a] + next_ - whole[:a])
+            through *= weight[:a] * np.exp(alpha[i, :a] + next_ - whole[:a])
             on = from_i > 0
             np.add.at(used, from_i[on], through[on])
 
@@ -264,7 +272,8 @@ def language_report(docs: DataFrame, vocabulary_path: str, **options) -> DataFra
     """Per row of ``docs``: doc_id, held_out, lang_pred, score; learned where crc32 of the doc_id modulo 4 is not 2.
 
     A row without ``doc_id`` is not held out and nothing is learned from it; only the text is an input of a
-    prediction; repeated rows get the same result; an empty table gives none.
+    prediction, from a very long one too the whole; of languages that are equally likely the first by name is
+    predicted; repeated rows get the same result; other columns are not read; an empty table gives none.
     """
     rest = F.pmod(F.crc32(column(docs, "doc_id", "string")), F.lit(4))
     labelled = docs.select(column(docs, "doc_id", "long"), column(docs, "text", "string"), column(docs, "lang", "string")).filter(rest != 2)
