@@ -2,11 +2,11 @@
 confirmed on the full sets, and connected components.
 
 Rows with equal sets are one class; only one signature of it goes on. Candidates are classes that share a
-band. A band's bucket is never expanded into all its pairs. Every bucket has a pivot, first the member with
-the least ``doc_id``, in later rounds one that a hash chooses; in each round a class is held against the
-pivot that it shares most bands with, and what that links becomes one component. Of members of one bucket that are then still in different
-components, those pairs become rows whose sizes allow the similarity and whose signatures agree. So a
-link can only be left out where it would join what is joined already. One plan serves every size.
+band. A band's bucket is never expanded into all its pairs. Every bucket has a pivot, first the member that
+meets most others in all its buckets, which is the middle of a group of copies, then one that a hash
+chooses; in each round a class is held against the pivot that it shares most bands with, and what that
+links becomes one component. Of members of one bucket that are then still in different components, those
+pairs become rows, once each, whose sizes allow the similarity and whose signatures agree. So a link can only be left out where it would join what is joined already. One plan serves every size.
 """
 
 from __future__ import annotations
@@ -28,11 +28,11 @@ from .graph import components
 #: two that have a quarter in common, such as a passage that very many documents hold, share one in 1 of 800.
 BANDS, ROWS = 80, 8
 #: Rounds of pivots before members are held against each other.
-ROUNDS = 3
+ROUNDS = 2
 SEED = 20_011
-#: Signatures of a bit for each hash estimate a similarity within 0.024 (one standard deviation, at 0.8); five
-#: of them are left.
-SLACK = 0.12
+#: Signatures of so many bits for each hash estimate a similarity within 0.0165 (one standard deviation, at 0.8);
+#: five of them are left.
+BITS, SLACK = 4, 0.0825
 #: Shingles that are hashed at a time, so that the table of hashes stays in a core's cache.
 BLOCK = 256
 
@@ -68,7 +68,7 @@ def minima(values: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 def sign(docs: DataFrame, size: int, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     """Per row: doc_id, text_hash, n_shingles, key (of the whole set, null if empty), bands (an array of long)
-    and signature (a bit for each hash, in an array of long)."""
+    and signature (``BITS`` bits for each hash, the first ones of all in one row, in an array of long)."""
     a, b = _coefficients(bands * rows)
     lane = mix(np.arange(1, bands + 1, dtype=np.uint64))
     schema = pa.schema([("doc_id", pa.int64()), ("text_hash", pa.int64()), ("n_shingles", pa.int64()), ("key", pa.binary()), ("bands", pa.list_(pa.int64())), ("signature", pa.list_(pa.int64()))])
@@ -90,8 +90,9 @@ def sign(docs: DataFrame, size: int, bands: int = BANDS, rows: int = ROWS) -> Da
                         joined = lane.copy()
                         for k in range(rows):
                             joined = mix(joined * np.uint64(0x9E3779B97F4A7C15) + least[:, k])
-                        bits = np.packbits((mix(least.ravel()) & np.uint64(1)).astype(np.uint8))
-                        last[key] = joined.view(np.int64), np.pad(bits, (0, -len(bits) % 8)).view(np.int64)
+                        mixed = mix(least.ravel())
+                        planes = [np.packbits(((mixed >> np.uint64(k)) & np.uint64(1)).astype(np.uint8)) for k in range(BITS)]
+                        last[key] = joined.view(np.int64), np.concatenate(planes).view(np.int64)
                     yield doc_id, text_hash, len(values), key, *last[key]
 
         yield from batches(signed(), schema, size=512)
@@ -103,10 +104,11 @@ def sign(docs: DataFrame, size: int, bands: int = BANDS, rows: int = ROWS) -> Da
 
 def _alike(n_a: Column, n_b: Column, sign_a: Column, sign_b: Column, percent: int) -> Column:
     """Whether two sets can be similar by their sizes, and seem to be by their signatures."""
-    bits = BANDS * ROWS
-    apart = reduce(add, [F.bit_count(sign_a[k].bitwiseXOR(sign_b[k])) for k in range(-(-bits // 64))])
+    words = BANDS * ROWS // 64
+    differ = lambda w: reduce(lambda x, y: x.bitwiseOR(y), [sign_a[k * words + w].bitwiseXOR(sign_b[k * words + w]) for k in range(BITS)])
+    apart = reduce(add, [F.bit_count(differ(w)) for w in range(words)])
     by_size = 100 * F.least(n_a, n_b) >= percent * F.greatest(n_a, n_b)
-    return by_size & (2 * apart <= F.lit(bits * (1 - percent / 100 + SLACK)))
+    return by_size & (apart <= F.lit(BANDS * ROWS * (1 - 0.5**BITS) * (1 - percent / 100 + SLACK)))
 
 
 def _ids(pairs: DataFrame) -> DataFrame:
@@ -123,7 +125,7 @@ def _similar(pairs: DataFrame, named: DataFrame, percent: int) -> DataFrame:
 def _sets(docs: DataFrame, ids: DataFrame, size: int) -> DataFrame:
     """(id, set) of the classes (id, key, low), from the whole texts of the rows with ``low``."""
     rows = among(docs.select(column(docs, "doc_id", "long"), column(docs, "text", "string")), "doc_id", ids, "low")
-    rows = rows.join(ids, F.col("doc_id") == F.col("low")).select("id", "text", "key")
+    rows = rows.join(ids.hint("merge"), F.col("doc_id") == F.col("low")).select("id", "text", "key")
     schema = pa.schema([("id", pa.int64()), ("set", pa.binary())])
 
     def run(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -185,8 +187,8 @@ def _joined(found: DataFrame | None, links: DataFrame, stash: Stash, k: int) ->
 
 
 def _apart(open_: DataFrame, found: DataFrame, stash: Stash, k: int) -> DataFrame:
-    """The members (band, rep, low, part) of the buckets that are not in one component yet."""
-    placed = open_.drop("part").join(found, F.col("rep") == F.col("id"), "left").select("band", "rep", "low", F.coalesce("component", "rep").alias("part"))
+    """The members (band, rep, meets, part) of the buckets that are not in one component yet."""
+    placed = open_.drop("part").join(found, F.col("rep") == F.col("id"), "left").select("band", "rep", "meets", F.coalesce("component", "rep").alias("part"))
     placed = stash.keep(placed, f"placed-{k}")
     bands = placed.groupBy("band").agg(F.min("part").alias("first"), F.max("part").alias("last")).filter("first < last").select("band")
     now = stash.keep(placed.join(stash.keep(bands, f"bands-{k}"), "band", "left_semi"), f"open-{k}")
@@ -206,12 +208,14 @@ def _resolved(docs: DataFrame, size: int, percent: int, stash: Stash) -> tuple[D
     members = named.select("rep", F.explode("bands").alias("band"))
     buckets = members.groupBy("band").agg(F.min("rep").alias("low_rep"), F.max("rep").alias("high_rep")).filter("low_rep < high_rep").select("band")
     shared = stash.keep(members.join(stash.keep(buckets, "buckets"), "band"), "members")
-    open_ = stash.keep(shared.join(named.select("rep", "low"), "rep").select("band", "rep", "low", F.col("rep").alias("part")), "open-0")
-    stash.drop("buckets", "members")
+    sizes = shared.groupBy("band").agg(F.count("*").alias("n"))
+    meets = stash.keep(shared.join(stash.keep(sizes, "sizes"), "band").groupBy("rep").agg(F.sum("n").alias("meets")), "meets")
+    open_ = stash.keep(shared.join(meets, "rep").select("band", "rep", "meets", F.col("rep").alias("part")), "open-0")
+    stash.drop("buckets", "members", "sizes", "meets")
 
     tested, found = [], None
     for k in range(ROUNDS):
-        turn = F.col("low") if k == 0 else F.xxhash64("rep", "band", F.lit(k))
+        turn = -F.col("meets") if k == 0 else F.xxhash64("rep", "band", F.lit(k))
         pivots = open_.groupBy("band").agg(F.min(F.struct(turn, F.col("rep"), F.col("part"))).alias("pivot")).select("band", F.col("pivot.rep").alias("pivot"), F.col("pivot.part").alias("pivot_part"))
         met = open_.join(stash.keep(pivots, f"pivots-{k}"), "band").filter("part <> pivot_part")
         met = met.groupBy("rep", "pivot").agg(F.count("*").alias("n")).groupBy("rep").agg(F.max(F.struct("n", "pivot"))["pivot"].alias("pivot"))
@@ -224,11 +228,13 @@ def _resolved(docs: DataFrame, size: int, percent: int, stash: Stash) -> tuple[D
         if not open_.limit(1).count():
             break
 
-    rest = stash.keep(open_.join(named.select("rep", "n_shingles", "signature"), "rep"), "rest")
-    side = lambda k: rest.select(F.col("band").alias(f"band_{k}"), *[F.col(c).alias(f"{c}_{k}") for c in ("rep", "part", "n_shingles", "signature")])
+    before = F.expr("slice(bands, 1, array_position(bands, band) - 1)")  # a pair counts in its first common band only
+    rest = open_.join(named.select("rep", "n_shingles", "signature", "bands"), "rep").withColumn("before", before)
+    rest = stash.keep(rest.select("band", "rep", "part", "n_shingles", "signature", "before"), "rest")
+    side = lambda k: rest.select(F.col("band").alias(f"band_{k}"), *[F.col(c).alias(f"{c}_{k}") for c in ("rep", "part", "n_shingles", "signature", "before")])
     apart = (F.col("band_a") == F.col("band_b")) & (F.col("rep_a") < F.col("rep_b")) & (F.col("part_a") != F.col("part_b"))
     alike = _alike(F.col("n_shingles_a"), F.col("n_shingles_b"), F.col("signature_a"), F.col("signature_b"), percent)
-    again = side("a").join(side("b"), apart & alike).select(F.col("rep_a").alias("a"), F.col("rep_b").alias("b")).distinct()
+    again = side("a").join(side("b"), apart & alike & ~F.arrays_overlap("before_a", "before_b")).select(F.col("rep_a").alias("a"), F.col("rep_b").alias("b")).distinct()
     again = stash.keep(again.join(reduce(DataFrame.unionByName, tested), ["a", "b"], "left_anti"), "again")
     found = _joined(found, _linked(again, docs, named, size, percent, stash, "again"), stash, k + 1)
     stash.drop("rest", "again", "again-links", f"open-{k + 1}", *[f"similar-{i}" for i in range(k + 1)])
@@ -282,7 +288,7 @@ def drop_near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> D
     stash.drop("rows", "components", "texts")
 
     whole = packed(docs, doc_id="long", text="string").withColumn("text_hash", F.xxhash64("text")).drop("text")
-    whole = whole.join(moved, F.col("doc_id").eqNullSafe(F.col("m_id")) & (F.col("text_hash") == F.col("m_hash")), "left")
+    whole = whole.join(moved.hint("merge"), F.col("doc_id").eqNullSafe(F.col("m_id")) & (F.col("text_hash") == F.col("m_hash")), "left")
     kept = whole.filter("one is null").select("_row")
     if moved.filter("one").limit(1).count():
         first = whole.filter("one").groupBy("doc_id", "text_hash").agg(F.min_by("_row", F.to_json("_row")).alias("_row"))

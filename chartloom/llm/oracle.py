@@ -51,17 +51,17 @@ WITH d AS (
   FROM (SELECT r, i, count(*) OVER (PARTITION BY r, x) AS n FROM g) WHERE n > 1
 ), k AS (SELECT r, sum(c)::bigint AS n FROM p GROUP BY r
 ), u AS (
-  SELECT r, line, len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) AS lw,
+  SELECT r, line, lead(line) OVER (PARTITION BY r ORDER BY j) AS after, len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) AS lw,
          length(regexp_replace(line, '[\x20\x09-\x0D]+', '', 'g')) AS lc
-  FROM (SELECT r, unnest(l) AS line FROM d)
+  FROM (SELECT r, unnest(l) AS line, unnest(generate_series(1, len(l))) AS j FROM d)
 ), b AS (
   SELECT r, count(*)::bigint AS n, sum(lc)::bigint AS lost FROM u
   WHERE lw > 0 AND (
-    (lw >= {quality.SENTENCE_WORDS} AND NOT regexp_matches(line, '{quality.CLOSED.replace("'", "''")}'))
+    (lw >= {quality.SENTENCE_WORDS} AND NOT regexp_matches(line, '{quality.ENDED.replace("'", "''")}') AND NOT coalesce(regexp_matches(after, '{quality.GOES_ON}'), false))
     OR 100 * len(regexp_extract_all(line, '[#*$%&|<>]')) > {quality.MOST_SYMBOLS} * length(line)
     OR (lw >= 3 AND 100 * len(regexp_extract_all(line, '{quality.SHOUTED}')) > {quality.MOST_SHOUTED} * lw)
     OR len(regexp_extract_all(line, '{quality.SEPARATED}')) >= {quality.LEAST_SEPARATORS}
-    OR regexp_matches(line, '{quality.NAVIGATION}')
+    OR (length(line) <= {quality.SHORT_LINE} AND regexp_matches(line, '{quality.NAVIGATION}'))
     OR regexp_matches(line, '{quality.BOILERPLATE}'))
   GROUP BY r
 ), y AS (

@@ -27,7 +27,7 @@ _SYMBOLS = r"[#*$%&|<>]"
 # What lines are judged by.
 #: A line of at least this many words has a sentence's end somewhere, or goes on in the next line.
 SENTENCE_WORDS = 8
-ENDED = r"[.!?:;…।۔؟]['\"”’»)\]]*(?:[\x20\x09-\x0D]|$)|[。！？]"
+ENDED = r"[.!?:;…।۔؟]['\"”’»)\]]*(?:[\x20\x09-\x0D]|\z)|[。！？]"
 GOES_ON = r"^[\x20\x09-\x0D]*\p{Ll}"
 #: Symbols in a line, in hundredths of its characters.
 MOST_SYMBOLS = 10

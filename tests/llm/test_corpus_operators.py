@@ -357,6 +357,15 @@ def test_quality_rules(spark, odd, rows, empty):
     assert quality.clean(odd).columns == odd.columns
 
 
+def test_wrapped_and_open_lines_stay(spark):
+    """Prose with lines broken anywhere, a long line without its last mark, and other scripts' marks."""
+    words = " ".join(f"w{i} goes on." if i % 17 == 16 else f"w{i}" for i in range(200)).split()
+    wrapped = "\n".join(" ".join(words[i : i + 12]) for i in range(0, 200, 12))
+    texts = [wrapped, " ".join(words) + " card 4111", "\n".join(" ".join(f"क{i}{j}" for j in range(9)) + " है।" for i in range(9)), "\n".join(" ".join(f"Item{i}{j}" for j in range(12)) for i in range(20))]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert {r["doc_id"]: r["kept"] for r in quality.quality_rules(docs).collect()} == {0: True, 1: True, 2: True, 3: False}
+
+
 def test_lines_go_first(spark):
     prose = "\n".join(f"This line{i} has{i} some{i} words{i} that{i} anyone{i} can read{i} to{i} the end{i}." for i in range(12))
     texts = [prose, prose + "\nHome | About | Contact | Login\nWe use cookies, click here to accept.", "\n".join(["a | b | c | d e f g"] * 9 + [prose[:80] + "."]), "BUY!! NOW!! THIS!! IS!! IT!! OR!! NOT!! EVER!! SO!! GO!! ON!!"]
