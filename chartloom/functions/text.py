@@ -37,6 +37,7 @@ def parse_date(day: Column, month: Column, year: Column) -> Column:
     return F.when(number > 0, F.make_date(year.cast("int"), number.cast("int"), day.cast("int")))
 
 
+# The parts of a date as the pages write it.
 _DAY, _MONTH, _YEAR = r"(\d{1,2})", r"([a-zà]+)", r"(\d{4})"
 
 
@@ -70,10 +71,11 @@ def archive_urls(base: str, day: Column) -> Column:
 
 
 def query_variants(title: Column) -> Column:
-    """The title, then without leading dots, then what precedes `` - `` or ``: ``; each once, none empty."""
+    """The title, then without leading dots, then what precedes a dash in spaces or a colon before one; each once,
+    none empty."""
     whole = F.trim(title)
     bare = F.trim(F.regexp_replace(whole, r"^\.+", ""))
-    head = F.trim(F.element_at(F.split(bare, r" - |: ", 2), 1))
+    head = F.trim(F.element_at(F.split(bare, r"\s+-\s+|:\s+", 2), 1))
     return F.array_distinct(F.filter(F.array(whole, bare, head), lambda v: v != ""))
 
 
@@ -95,6 +97,9 @@ def without_articles(normalised: Column) -> Column:
     return F.regexp_replace(normalised, rf"^(?:(?:{'|'.join(ARTICLES)}) )+(?=\S)", "")
 
 
+# The scores of titles that are equal but for articles, and of a title that begins the other.
+SAME_BUT_ARTICLES, CANDIDATE_BEGINS, CANDIDATE_GOES_ON = 0.97, 0.88, 0.78
+
 _LEADING = re.compile(rf"^(?:(?:{'|'.join(ARTICLES)}) )+(?=\S)")
 
 
@@ -106,12 +111,12 @@ def similarity(a: str, b: str) -> float:
         return 1.0
     bare_a, bare_b = _LEADING.sub("", a), _LEADING.sub("", b)
     if bare_a == bare_b:
-        return 0.97
+        return SAME_BUT_ARTICLES
     score = max(SequenceMatcher(None, x, y).ratio() for x, y in ((a, b), (bare_a, bare_b)))
     candidate_is_shorter = len(bare_b) < len(bare_a)
     short, long_ = (bare_b, bare_a) if candidate_is_shorter else (bare_a, bare_b)
     if short.count(" ") >= 1 and f"{long_} ".startswith(f"{short} "):  # the rest of the longer one is a subtitle
-        score = max(score, 0.88 if candidate_is_shorter else 0.78)
+        score = max(score, CANDIDATE_BEGINS if candidate_is_shorter else CANDIDATE_GOES_ON)
     return score
 
 

@@ -13,7 +13,7 @@ def upsert(old: DataFrame, new: DataFrame, keys: tuple[str, ...], overwrite: tup
     value, ``keep_old_if_null`` the new one unless it is null, and all other columns stay."""
     n = new.select(*[F.col(k).alias(f"n_{k}") for k in new.columns], F.lit(True).alias("n_there"))
     o = old.withColumn("o_there", F.lit(True))
-    joined = o.join(n, [F.col(k) == F.col(f"n_{k}") for k in keys], "full_outer")
+    joined = o.join(n, [F.col(k).eqNullSafe(F.col(f"n_{k}")) for k in keys], "full_outer")  # a row without a key's part meets itself again
 
     def value(c: str) -> Column:
         fresh = F.col(f"n_{c}") if c in new.columns else F.lit(None)
@@ -48,6 +48,22 @@ def insert_absent(old: DataFrame, new: DataFrame, keys: tuple[str, ...]) -> Data
     return old.unionByName(new.dropDuplicates(list(keys)).join(old, list(keys), "left_anti").select(*old.columns))
 
 
+def load_batch(fact: DataFrame, films: DataFrame, batch: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The fact, the films and (rows) after a batch of records with source_movie_id and source_url.
+
+    Films of the batch are added or renamed first. Each record then takes its film's id, and the film's movie
+    where it brings none of its own; a record without source_movie_id is stored without film.
+    """
+    seen = batch.filter("source_movie_id is not null").withColumn("seq", F.col("id"))
+    named = seen.select(F.col("id"), "source_name", "source_movie_id", "title", "title_key", "source_url", F.lit(None).cast("long").alias("movie_id"), F.lit("unmatched").alias("match_status"), "seq")
+    absent = [F.lit(None).cast(films.schema[c].dataType).alias(c) for c in films.columns if c not in named.columns]
+    films = upsert_films(films, named.select("*", *absent).select(*films.columns, "seq"))
+    known = films.select(F.col("source_name").alias("f_source"), F.col("source_movie_id").alias("f_id"), F.col("id").alias("f_ref"), F.col("movie_id").alias("f_movie"))
+    linked = batch.join(known, (F.col("source_name") == F.col("f_source")) & (F.col("source_movie_id") == F.col("f_id")), "left")
+    linked = linked.withColumn("source_movie_ref", F.col("f_ref")).withColumn("movie_id", F.coalesce("movie_id", "f_movie")).select(*fact.columns)
+    return upsert_chart(fact, linked), films, R.dedupe(linked).agg(F.count("*").alias("rows"))
+
+
 def replace_children(old: DataFrame, new: DataFrame, parent: str) -> DataFrame:
     """All rows of the parents that ``new`` has give way to its rows."""
     return old.join(new.select(parent).distinct(), parent, "left_anti").unionByName(new)

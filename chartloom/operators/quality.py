@@ -17,7 +17,7 @@ LEAST_ROWS, MOST_ROWS = 10, 20
 
 def anomalies(fact: DataFrame, weeks: int = 3) -> DataFrame:
     """Rows of the last weeks of a chart that gross more than the row above, or more than their total."""
-    recent = fact.join(F.broadcast(R.latest_week(fact).withColumnRenamed("week_start", "last")), list(R.CHART)).filter(F.col("week_start") >= F.date_sub("last", 7 * weeks))
+    recent = fact.join(R.latest_week(fact).withColumnRenamed("week_start", "last"), list(R.CHART)).filter(F.col("week_start") >= F.date_sub("last", 7 * weeks))
     above = F.lag("weekly_gross").over(Window.partitionBy(*R.CHART, "week_start").orderBy("rank", "id"))
     return recent.withColumn("above", above).filter("weekly_gross > above or total_gross < weekly_gross").drop("last")
 
@@ -30,15 +30,15 @@ def order_violations(fact: DataFrame) -> DataFrame:
 
 
 def batch_warnings(fact: DataFrame) -> DataFrame:
-    """Per chart and week what is odd about it, counted; no row is dropped."""
-    week = (*R.CHART, "week_start")
-    sums = fact.groupBy(*week).agg(
+    """Per chart and week (its first and last day) what is odd about it, counted; no row is dropped."""
+    week = (*R.CHART, "week_start", "week_end")
+    order = Window.partitionBy(*week).orderBy("rank", "id").rowsBetween(Window.unboundedPreceding, -1)
+    rows = fact.withColumn("above", F.last("weekly_gross", ignorenulls=True).over(order))
+    sums = rows.groupBy(*week).agg(
         F.count("*").alias("titles"), (F.count("rank") - F.countDistinct("rank")).alias("double_ranks"), (F.count("title") - F.countDistinct("title")).alias("double_titles"),
-        F.count_if(F.col("total_gross") < F.col("weekly_gross")).alias("low_totals"),
+        F.count_if(F.col("total_gross") < F.col("weekly_gross")).alias("low_totals"), F.count_if(F.col("weekly_gross") > F.col("above")).alias("disordered"),
     )
-    order = order_violations(fact).groupBy(*week).agg(F.count("*").alias("disordered"))
-    rows = sums.join(order, list(week), "left").withColumn("disordered", F.coalesce("disordered", F.lit(0)))
-    return rows.withColumn("odd_size", ~F.col("titles").between(LEAST_ROWS, MOST_ROWS))
+    return sums.withColumn("odd_size", ~F.col("titles").between(LEAST_ROWS, MOST_ROWS))
 
 
 def violations(fact: DataFrame, films: DataFrame, movies: DataFrame) -> DataFrame:
@@ -71,8 +71,9 @@ def check(name: str, df: DataFrame, level: Column) -> DataFrame:
     return df.select(F.lit(name).alias("name"), level.alias("level"))
 
 
-def last_run(runs: DataFrame, as_of: Column, pipeline: str = "weekly_chart", days: int = 8) -> DataFrame:
-    """One row: the last run's status, whether any succeeded, and the age of the last success in days."""
+def last_run(runs: DataFrame, as_of: Column, pipeline: str = "weekly_chart", days: int = 8, source: str | None = None) -> DataFrame:
+    """One row: the last run's status, of one source or of all, and the age of the last success in days."""
+    runs = runs.filter(F.col("source_name") == source) if source else runs
     ended = F.when(F.col("status") == "success", F.coalesce("finished_at", "started_at"))
     row = runs.filter(F.col("pipeline_name") == pipeline).agg(F.max_by("status", "id").alias("status"), ((as_of - F.max(ended)) / 86_400_000_000).alias("age_days"))
     level = (
@@ -82,12 +83,31 @@ def last_run(runs: DataFrame, as_of: Column, pipeline: str = "weekly_chart", day
     return row.withColumn("level", level)
 
 
-def latest_week_level(fact: DataFrame, as_of: Column) -> DataFrame:
-    """One row: age of the latest week and its rows."""
+def latest_week_level(fact: DataFrame, as_of: Column, source: str | None = None, territory: str | None = None) -> DataFrame:
+    """One row: age of the latest week, of one source or territory or of all, and its rows."""
+    fact = fact.filter(F.col("source_name") == source) if source else fact
+    fact = fact.filter(F.col("territory") == territory) if territory else fact
     row = fact.groupBy("week_start").agg(F.count("*").alias("titles")).agg(F.max(F.struct("week_start", "titles")).alias("x"))
+    return row.select(*_week_level(as_of))
+
+
+def _week_level(as_of: Column) -> tuple[Column, ...]:
+    """The columns week_start, age_days, titles and level of a struct ``x`` of the latest week and its rows."""
     age = F.date_diff(as_of, F.col("x.week_start"))
     level = F.when(F.col("x").isNull(), FAIL).when(age > 14, FAIL).when(age > 10, WARN).when(F.col("x.titles") < LEAST_ROWS, WARN).otherwise(OK)
-    return row.select(F.col("x.week_start").alias("week_start"), age.cast("long").alias("age_days"), F.col("x.titles").alias("titles"), level.alias("level"))
+    return F.col("x.week_start").alias("week_start"), age.cast("long").alias("age_days"), F.col("x.titles").alias("titles"), level.alias("level")
+
+
+def latest_week_levels(fact: DataFrame, as_of: Column) -> DataFrame:
+    """A row for each chart: age of its latest week and the rows of it."""
+    rows = fact.groupBy(*R.CHART, "week_start").agg(F.count("*").alias("titles")).groupBy(*R.CHART).agg(F.max(F.struct("week_start", "titles")).alias("x"))
+    return rows.select(*R.CHART, *_week_level(as_of))
+
+
+def worst(levels: DataFrame) -> DataFrame:
+    """One row: the worst level; a failure where there is none."""
+    has = lambda x: F.coalesce(F.bool_or(F.col("level") == x), F.lit(False))
+    return levels.agg(F.when((F.count("*") == 0) | has(FAIL), FAIL).when(has(WARN), WARN).otherwise(OK).alias("level"))
 
 
 def gap_level(fact: DataFrame, weeks: int = 12) -> DataFrame:
@@ -116,7 +136,7 @@ def health_report(fact: DataFrame, films: DataFrame, runs: DataFrame, as_of_run:
     level = lambda name, df: df.select(F.lit(name).alias("name"), "level")
     odd = anomalies(fact).agg(F.count("*").alias("n"))
     checks = [
-        level("last run", last_run(runs, as_of_run)), level("latest week", latest_week_level(fact, as_of_day)), level("gaps", gap_level(fact)),
+        level("last run", last_run(runs, as_of_run)), level("latest week", worst(latest_week_levels(fact, as_of_day))), level("gaps", gap_level(fact)),
         *[integrity(fact, films).filter(F.col("name") == name).select("name", "level") for name in ("links", "unlinked", "match queue", "ambiguous titles")],
         level("coverage", coverage_level(fact)), odd.select(F.lit("anomalies").alias("name"), F.when(F.col("n") > 0, WARN).otherwise(OK).alias("level")),
     ]

@@ -64,8 +64,8 @@ def latest_week(fact: DataFrame) -> DataFrame:
 
 
 def latest_rows(fact: DataFrame) -> DataFrame:
-    """The rows of each chart's latest week; the weeks are one row a chart."""
-    return fact.join(F.broadcast(latest_week(fact)), [*CHART, "week_start"], "left_semi")
+    """The rows of each chart's latest week."""
+    return fact.join(latest_week(fact), [*CHART, "week_start"], "left_semi")
 
 
 def latest_week_status(fact: DataFrame) -> DataFrame:

@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import json
+from collections.abc import Iterator
 from datetime import date, datetime
 from numbers import Real
 
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -24,6 +26,22 @@ def payload_rows(fact: DataFrame) -> DataFrame:
     return rows.select("territory", F.to_json(document).alias("document"))
 
 
+def write_site(fact: DataFrame, path: str) -> None:
+    """The documents as files of one line of JSON, in a folder for each territory."""
+    payload_rows(fact).write.mode("overwrite").partitionBy("territory").text(path)
+
+
+def problem_rows(documents: DataFrame) -> DataFrame:
+    """(territory, problem) for each thing that is wrong with a (territory, document)."""
+
+    def run(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for x in source:
+            found = [(t, p) for t, d in zip(x.column(0).to_pylist(), x.column(1).to_pylist(), strict=True) for p in payload_problems(json.loads(d))]
+            yield pa.RecordBatch.from_pydict({"territory": [t for t, _ in found], "problem": [p for _, p in found]}, schema=pa.schema([("territory", pa.string()), ("problem", pa.string())]))
+
+    return documents.select("territory", "document").mapInArrow(run, "territory string, problem string")
+
+
 def payload(fact: DataFrame, report: DataFrame, territory: str, generated_at: str, note: str) -> dict:
     """The document of one chart; no export while a check fails. Levels are nine rows, the document one."""
     levels = [r["level"] for r in report.collect()]

@@ -102,8 +102,8 @@ WITH places AS (
 ), run_level AS (
   SELECT status, age_days, CASE WHEN status IS NULL OR status = 'failed' OR age_days IS NULL OR age_days > 8 THEN 'FAIL' WHEN status = 'running' THEN 'WARN' ELSE 'OK' END AS level FROM run
 ), week_level AS (
-  SELECT week_start, ((SELECT max(week_start) FROM fact) + 9 - week_start)::bigint AS age_days, count(*) AS titles, CASE WHEN 9 > 14 THEN 'FAIL' WHEN 9 > 10 OR count(*) < 10 THEN 'WARN' ELSE 'OK' END AS level
-  FROM fact WHERE week_start = (SELECT max(week_start) FROM fact) GROUP BY week_start
+  SELECT territory, week_start, age_days, titles, CASE WHEN age_days > 14 THEN 'FAIL' WHEN age_days > 10 OR titles < 10 THEN 'WARN' ELSE 'OK' END AS level
+  FROM (SELECT territory, week_start, ((SELECT max(week_start) FROM fact) + 9 - week_start)::bigint AS age_days, count(*) AS titles FROM latest GROUP BY territory, week_start)
 ), gaps AS (
   SELECT territory, high - g * 7 AS expected
   FROM (SELECT territory, min(week_start) AS low, max(week_start) AS high, unnest(generate_series(0, 12))::int AS g FROM fact GROUP BY territory) b
@@ -116,7 +116,7 @@ WITH places AS (
 ), coverage AS (
   SELECT count(movie_id) AS with_movie, count(*) AS titles, CASE WHEN count(*) > 0 AND 100 * count(movie_id) >= 85 * count(*) THEN 'OK' ELSE 'WARN' END AS level FROM latest
 ), report AS (
-  SELECT 1::bigint AS seq, 'last run' AS name, level FROM run_level UNION ALL SELECT 2, 'latest week', level FROM week_level UNION ALL SELECT 3, 'gaps', level FROM gap_level
+  SELECT 1::bigint AS seq, 'last run' AS name, level FROM run_level UNION ALL SELECT 2, 'latest week', CASE WHEN count(*) = 0 OR bool_or(level = 'FAIL') THEN 'FAIL' WHEN bool_or(level = 'WARN') THEN 'WARN' ELSE 'OK' END FROM week_level UNION ALL SELECT 3, 'gaps', level FROM gap_level
   UNION ALL SELECT CASE name WHEN 'links' THEN 4 WHEN 'unlinked' THEN 5 WHEN 'match queue' THEN 6 ELSE 7 END, name, level FROM checks UNION ALL SELECT 8, 'coverage', level FROM coverage
   UNION ALL SELECT 9, 'anomalies', CASE WHEN count(*) > 0 THEN 'WARN' ELSE 'OK' END FROM anomalous
 ), months AS (SELECT ['gennaio','febbraio','marzo','aprile','maggio','giugno','luglio','agosto','settembre','ottobre','novembre','dicembre'] AS m
@@ -213,7 +213,37 @@ SQL = {
     "legacy_link_result": "SELECT * FROM fact4",
     "legacy_link_films": "SELECT * FROM films4",
     "legacy_link_counts": """SELECT count(*) FILTER (a.source_movie_ref IS NULL) AS linked, count(*) FILTER (a.source_movie_ref IS NOT NULL AND a.source_movie_ref <> b.source_movie_ref) AS promoted,
-      count(*) FILTER (a.movie_id IS DISTINCT FROM b.movie_id) AS synced FROM fact a JOIN fact4 b USING (id)""",
+      count(*) FILTER (a.movie_id IS DISTINCT FROM b.movie_id) AS synced,
+      count(*) FILTER (a.source_movie_ref IS NULL AND f.source_movie_id NOT LIKE 'legacy:%') AS linked_to_real, count(*) FILTER (a.source_movie_ref IS NULL AND f.source_movie_id LIKE 'legacy:%') AS linked_to_legacy,
+      (SELECT count(*) FROM films4 WHERE id NOT IN (SELECT id FROM films)) AS legacy_created, (SELECT count(*) FROM films WHERE id NOT IN (SELECT id FROM films4)) AS legacy_removed,
+      (SELECT count(*) FROM films4 WHERE match_method = 'legacy_exact_title') AS adopted
+      FROM fact a JOIN fact4 b USING (id) LEFT JOIN films4 f ON f.id = b.source_movie_ref""",
+    "payload_problems": """SELECT territory, unnest(['note: a text is expected', 'has_quality_warnings: true or false is expected', 'generated_at: an ISO date is expected']) AS problem FROM last
+      UNION ALL SELECT territory, 'top_titles[' || i || ']: fields are missing or of another type' FROM (
+        SELECT territory, weekly_gross, row_number() OVER (PARTITION BY territory ORDER BY rank, title) - 1 AS i FROM latest QUALIFY row_number() OVER (PARTITION BY territory ORDER BY rank, id) <= 5)
+      WHERE weekly_gross IS NULL""",
+    "load_batch": """, o AS (SELECT * FROM deduped WHERE id % 3 <> 0),
+      n AS (SELECT *, min(id) OVER (PARTITION BY source_movie_ref) AS first FROM deduped WHERE id % 3 <> 1),
+      r AS (SELECT n.id, n.territory, n.week_start, n.title_key, n.weekly_gross + 1 AS weekly_gross, CASE WHEN n.source_movie_ref % 4 = 1 THEN first ELSE n.source_movie_ref END AS source_movie_ref,
+              coalesce(CASE WHEN n.id % 2 = 0 THEN n.movie_id END, CASE WHEN n.source_movie_ref % 4 <> 1 THEN films.movie_id END) AS movie_id FROM n LEFT JOIN films ON films.id = n.source_movie_ref)
+      SELECT coalesce(o.id, r.id) AS id, territory, week_start, title_key, CASE WHEN r.id IS NULL THEN o.weekly_gross ELSE r.weekly_gross END AS weekly_gross,
+             coalesce(r.movie_id, o.movie_id) AS movie_id, coalesce(r.source_movie_ref, o.source_movie_ref) AS source_movie_ref
+      FROM o FULL JOIN r USING (territory, week_start, title_key)""",
+    "page_links": r"""SELECT page_id, (unnest(generate_series(1, len(x))) - 1)::bigint AS seq, unnest(list_transform(x, lambda a: regexp_extract(a, 'href="([^"]*)"', 1))) AS href,
+             unnest(list_transform(x, lambda a: trim(regexp_extract(a, '>([^<]*)<', 1)))) AS text
+      FROM (SELECT page_id, regexp_extract_all(html, '<a [^>]*href="[^"]*"[^>]*>[^<]*<') AS x FROM pages)""",
+    "site_payload": r"""SELECT territory, sha256(document) AS document_sha256, length(document)::int AS n_chars FROM (
+      SELECT territory, '{"source":"box","territory":"' || territory || '","currency":"EUR","latest_week":"' || week_start::varchar || '","weekly_trend":[' || trend || '],"top_titles":[' || top || ']}' AS document
+      FROM last JOIN (SELECT territory, string_agg('{"week_start":"' || week_start::varchar || '"' || coalesce(',"total_gross":' || gross, '') || ',"titles":' || titles || '}', ',' ORDER BY week_start) AS trend
+        FROM (SELECT territory, week_start, sum(weekly_gross)::bigint AS gross, count(*) AS titles FROM fact GROUP BY 1, 2 QUALIFY row_number() OVER (PARTITION BY territory ORDER BY week_start DESC) <= 8) GROUP BY 1) USING (territory)
+      JOIN (SELECT territory, string_agg('{"rank":' || rank || ',"title":"' || title || '"' || coalesce(',"weekly_gross":' || weekly_gross, '') || coalesce(',"screen_count":' || screen_count, '') || '}', ',' ORDER BY rank, title) AS top
+        FROM (SELECT * FROM latest QUALIFY row_number() OVER (PARTITION BY territory ORDER BY rank, id) <= 5) GROUP BY 1) USING (territory))""",
+    "match_search": r""", t AS (SELECT title || CASE WHEN id % 5 = 1 THEN ' - the return' ELSE '' END AS title FROM films WHERE id IN (SELECT source_movie_ref FROM fact) GROUP BY 1),
+      v AS (SELECT title, unnest([0, 1, 2]) AS variant, unnest([trim(title), trim(regexp_replace(trim(title), '^\.+', '')), trim(regexp_replace(trim(title), '(\s+-\s+|:\s+).*$', ''))]) AS q FROM t),
+      w AS (SELECT title, row_number() OVER (PARTITION BY title ORDER BY variant) - 1 AS variant, q FROM (SELECT title, min(variant) AS variant, q FROM v GROUP BY title, q)),
+      words AS (SELECT DISTINCT title, variant, unnest(regexp_extract_all(lower(strip_accents(q)), '[a-z0-9]+')) AS word FROM w),
+      called AS (SELECT DISTINCT id, unnest(regexp_extract_all(lower(strip_accents(title || ' ' || original_title)), '[a-z0-9]+')) AS word FROM movies)
+      SELECT title, id, min(variant)::bigint AS variant FROM words JOIN called USING (word) GROUP BY 1, 2""",
     "normalize_records": "SELECT id, 'box' AS source_name, 'IT' AS territory, title, title_key FROM fact",
     "title_key": "SELECT id, CASE WHEN id % 9 <> 0 THEN title_key ELSE '' END AS title_key FROM films",
     "genres_join": "SELECT p_partkey, concat_ws(', ', p_type, CASE WHEN p_size % 2 = 0 THEN p_brand END) AS genres FROM part",

@@ -274,7 +274,7 @@ def health_last_run(spark, d):
 @query
 def health_latest_week(spark, d):
     f = fact(spark, d)
-    return Q.latest_week_level(f, as_of_day(f))
+    return Q.latest_week_levels(f, as_of_day(f)).drop("source_name")
 
 
 @query
@@ -320,6 +320,16 @@ def upsert_weekly(spark, d):
     return merge.upsert_chart(old, new).select("id", "territory", "week_start", "title_key", "rank", "weekly_gross", "movie_id", "source_movie_ref")
 
 
+@query
+def load_batch(spark, d):
+    """Known films, renamed ones, new ones, and records without film."""
+    old, new = _batch(spark, d)
+    known = _film_state(spark, d).filter("id % 4 <> 1")
+    records = new.withColumn("source_movie_id", F.col("source_movie_ref").cast("string")).withColumn("source_url", F.lit("/film"))
+    rows, _, _ = merge.load_batch(old, known, records)
+    return rows.select("id", "territory", "week_start", "title_key", "weekly_gross", "movie_id", "source_movie_ref")
+
+
 def _film_state(spark: SparkSession, d: str) -> DataFrame:
     return films(spark, d).withColumn("source_movie_id", F.col("id").cast("string")).withColumn("source_url", F.when(F.col("id") % 2 == 0, F.concat(F.lit("/film/"), F.col("id").cast("string"))))
 
@@ -378,7 +388,19 @@ def legacy_link_counts(spark, d):
     before, f = fact(spark, d), films(spark, d)
     after, state = merge.link_legacy(before, f)
     rows = before.select("id", F.col("source_movie_ref").alias("was"), F.col("movie_id").alias("had")).join(after, "id")
-    return rows.agg(F.count_if(F.col("was").isNull()).alias("linked"), F.count_if(F.col("was").isNotNull() & (F.col("was") != F.col("source_movie_ref"))).alias("promoted"), F.count_if(~F.col("had").eqNullSafe(F.col("movie_id"))).alias("synced"))
+    legacy = F.col("source_movie_id").startswith("legacy:")
+    held = state.select(F.col("id").alias("source_movie_ref"), legacy.alias("to_legacy"))
+    rows = rows.join(held, "source_movie_ref", "left")
+    of_rows = rows.agg(
+        F.count_if(F.col("was").isNull()).alias("linked"), F.count_if(F.col("was").isNotNull() & (F.col("was") != F.col("source_movie_ref"))).alias("promoted"),
+        F.count_if(F.col("was").isNull() & ~F.col("to_legacy")).alias("linked_to_real"), F.count_if(F.col("was").isNull() & F.col("to_legacy")).alias("linked_to_legacy"),
+        F.count_if(~F.col("had").eqNullSafe(F.col("movie_id"))).alias("synced"),
+    )
+    both = f.select(F.col("id").alias("old_id"), F.col("match_method").alias("old_method")).join(state.select("id", "match_method"), F.col("old_id") == F.col("id"), "full_outer")
+    adopted = (F.col("match_method") == "legacy_exact_title") & ~F.col("old_method").eqNullSafe(F.lit("legacy_exact_title"))
+    of_films = both.agg(F.count_if(F.col("old_id").isNull()).alias("legacy_created"), F.count_if(F.col("id").isNull()).alias("legacy_removed"), F.count_if(adopted).alias("adopted"))
+    counts = of_rows.unionByName(of_films, allowMissingColumns=True)
+    return counts.agg(*[F.sum(c).alias(c) for c in counts.columns])
 
 
 # -- records and pages ---------------------------------------------------------------------------
@@ -514,6 +536,12 @@ def site_payload(spark, d):
     return export.payload_rows(fact(spark, d)).select("territory", F.sha2("document", 256).alias("document_sha256"), F.length("document").alias("n_chars"))
 
 
+@query
+def payload_problems(spark, d):
+    """The documents before they get their time, note and warnings, which is what is wrong with them."""
+    return export.problem_rows(export.payload_rows(fact(spark, d)))
+
+
 # -- matching ------------------------------------------------------------------------------------
 
 

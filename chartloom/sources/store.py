@@ -40,12 +40,32 @@ class Store:
         df.write.parquet(f"{self.root}/{table}/{version}")
         return version
 
-    def publish(self, versions: dict[str, str]) -> None:
-        """Makes staged versions current, all at once: one file is added to the log."""
+    def publish(self, versions: dict[str, str], read: dict[str, str | None] | None = None) -> None:
+        """Makes staged versions current, all at once: one file is added to the log. ``read`` names the versions
+        that they were made from; if one is not current any more, nothing is published."""
+        stale = [t for t, v in (read or {}).items() if self.version(t) != v]
+        if stale:
+            raise ValueError(f"changed since they were read: {', '.join(stale)}")
         seq = time.time_ns()
         rows = [(t, v, seq) for t, v in versions.items()]
         self.spark.createDataFrame(rows, "table string, version string, seq long").coalesce(1).write.mode("append").parquet(self._log("published"))
 
+    def backup(self, to: str, stamp: str, keep: int = 3) -> list[str]:
+        """Copies the current version of every table to ``to``/``stamp`` and removes all but the last copies, by name;
+        gives the names of those that are left. A copy counts once its list of tables is written."""
+        jvm, conf = self.spark._jvm, self.spark._jsc.hadoopConfiguration()
+        log = self.spark.read.parquet(self._log("published"))
+        tables = sorted(r["table"] for r in log.select("table").distinct().collect())  # a row for each table
+        for t in tables:
+            self.read(t).write.mode("overwrite").parquet(f"{to}/{stamp}/{t}")
+        self.spark.createDataFrame([(t,) for t in tables], "table string").coalesce(1).write.mode("overwrite").json(f"{to}/{stamp}/_tables")
+        root = jvm.org.apache.hadoop.fs.Path(to)
+        files = root.getFileSystem(conf)
+        names = sorted(x.getPath().getName() for x in files.listStatus(root) if files.exists(jvm.org.apache.hadoop.fs.Path(x.getPath(), "_tables")))
+        for name in names[:-keep]:
+            files.delete(jvm.org.apache.hadoop.fs.Path(root, name), True)
+        return names[-keep:]
+
     def log_run(self, *row) -> None:
         self.spark.createDataFrame([row], RUN).write.mode("append").parquet(self._log("runs"))
 
@@ -65,14 +85,17 @@ class Store:
         read = records.count()
         self.log_run(run, pipeline, "running", now(), read, 0, None)
         try:
-            versions = {t: self.stage(t, df) for t, df in change(records).items()}
+            changed = change(records)
+            was = {t: self.version(t) for t in changed}
+            versions = {t: self.stage(t, df) for t, df in changed.items()}
             staged = {t: self.spark.read.parquet(f"{self.root}/{t}/{v}") for t, v in versions.items()}
             broken = check(staged).filter("n > 0").collect() if check else []  # a row for each constraint
             if broken:
                 raise ValueError("; ".join(f"{r['name']}: {r['n']}" for r in broken))
-            self.publish(versions)
+            self.publish(versions, was)
+            written = sum(df.count() for df in staged.values())
         except Exception as e:
             self.log_run(run, pipeline, "failed", now(), read, 0, str(e)[:500])
             raise
-        self.log_run(run, pipeline, "success", now(), read, read, None)
+        self.log_run(run, pipeline, "success", now(), read, written, None)
         return read

@@ -189,3 +189,33 @@ def test_stream(spark, tmp_path):
         stream = spark.readStream.schema(FACT).parquet(source)
         merge_stream(stream, store, str(tmp_path / "checkpoint")).awaitTermination(60)
     assert sorted((r["id"], r["rank"]) for r in store.read("fact").collect()) == [(1, 5), (2, 2), (4, 3)]
+
+
+def test_health_of_each_chart(spark):
+    """A thin chart among full ones warns, an old one fails; the last run can be asked for one source."""
+    rows = [("box", "IT", "2024-02-01", i) for i in range(12)] + [("box", "FR", "2024-02-01", i) for i in range(3)] + [("box", "DE", "2024-01-01", i) for i in range(12)]
+    table = spark.createDataFrame(rows, "source_name string, territory string, day string, id long").withColumn("week_start", F.to_date("day"))
+    found = quality.latest_week_levels(table, F.lit("2024-02-05").cast("date"))
+    assert {r["territory"]: r["level"] for r in found.collect()} == {"IT": "OK", "FR": "WARN", "DE": "FAIL"}
+    assert quality.latest_week_level(table, F.lit("2024-02-05").cast("date"), territory="FR").first()["level"] == "WARN"
+    assert quality.worst(found).first()[0] == "FAIL" and quality.worst(found.limit(0)).first()[0] == "FAIL"
+    day = 86_400_000_000
+    runs = spark.createDataFrame([(1, "weekly_chart", "box", 0, day, "success"), (2, "weekly_chart", "other", 0, day, "failed")], "id long, pipeline_name string, source_name string, started_at long, finished_at long, status string")
+    assert [quality.last_run(runs, F.lit(2 * day), source=s).first()["level"] for s in ("box", "other", None)] == ["OK", "FAIL", "FAIL"]
+
+
+def test_null_keys_meet_again(spark):
+    old = spark.createDataFrame([("a", None, 1)], "source_name string, territory string, n long")
+    new = spark.createDataFrame([("a", None, 2)], "source_name string, territory string, n long")
+    assert [tuple(r) for r in merge.upsert(old, new, ("source_name", "territory"), ("n",)).collect()] == [("a", None, 2)]
+
+
+def test_backup_and_stale_versions(spark, tmp_path):
+    store = Store(spark, str(tmp_path / "store"))
+    store.publish({"t": store.stage("t", spark.range(3))})
+    for stamp in ("1", "2", "3", "4"):
+        left = store.backup(str(tmp_path / "copies"), stamp, keep=2)
+    assert left == ["3", "4"] and spark.read.parquet(str(tmp_path / "copies" / "4" / "t")).count() == 3
+    with pytest.raises(ValueError, match="changed"):
+        store.publish({"t": store.stage("t", spark.range(4))}, {"t": "another"})
+    assert store.read("t").count() == 3
