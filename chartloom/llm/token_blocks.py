@@ -13,7 +13,7 @@ import json
 import re
 import struct
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -83,35 +83,44 @@ class Encoder:
             return _SEGMENT.findall(text)
         return text.replace("\n", "\0\n").replace(" ", "\0 ").split("\0")
 
-    def learn(self, segments: set[str]) -> None:
+    def learn(self, segments: Iterable[str]) -> None:
         """Adds segments. A space and letters are one pre-token, which goes to the model at once; a mark
         after them is another. All other segments go through the whole tokenizer."""
-        known, rest, word_ids = self.known, [], self._word
+        known, marks, words, marked, rest = self.known, self.marks, set(), [], []
         for s in segments:
             word = s[1:] if s[:1] == " " else s
             if not self.apart:
                 rest.append(s)
             elif word.isalpha():
-                known[s] = word_ids(s)
-            elif word[-1:] in self.marks and word[:-1].isalpha():
-                base = s[:-1]
-                known[s] = (known.get(base) or word_ids(base)) + self.marks[s[-1]]
+                words.add(s)
+            elif word[-1:] in marks and word[:-1].isalpha():
+                marked.append(s)
+                words.add(s[:-1])
             else:
                 rest.append(s)
+        self._words([w for w in words if w not in known])
+        for s in marked:
+            known[s] = known[s[:-1]] + marks[s[-1]]
         for s, e in zip(rest, self.tokenizer.encode_batch_fast(rest, add_special_tokens=False), strict=True):
             known[s] = _packed(e.ids)
 
-    def _word(self, pre_token: str) -> bytes:
-        if pre_token.isascii():
-            mapped = pre_token.replace(" ", self.space)
-        else:
-            mapped = pre_token.encode().decode("latin1").translate(self.letters)
-        return _packed([t.id for t in self.model.tokenize(mapped)])
+    def _words(self, words: list[str]) -> None:
+        """Adds pre-tokens; their ids are packed together and cut apart."""
+        tokenize, ids, ends = self.model.tokenize, [], []
+        for w in words:
+            if w.isascii():
+                w = self.space + w[1:] if w[:1] == " " else w
+            else:
+                w = w.encode().decode("latin1").translate(self.letters)
+            ids += [t.id for t in tokenize(w)]
+            ends.append(4 * len(ids))
+        held = _packed(ids)
+        self.known.update(zip(words, map(held.__getitem__, map(slice, [0, *ends], ends)), strict=True))
 
     def __call__(self, texts: list[str]) -> Iterator[Iterator[bytes]]:
         """For each text its ids as little-endian unsigned 32-bit integers, in pieces."""
         parts = [self.segments(t) if t else [] for t in texts]
-        self.learn({s for p in parts for s in p if s not in self.known})
+        self.learn(set().union(*parts).difference(self.known))
         get = self.known.__getitem__
         for p in parts:
             yield (b"".join(map(get, p[i : i + SLICE])) for i in range(0, len(p), SLICE))
