@@ -29,7 +29,7 @@ from .common import Stash, batches, column, short
 CHUNK_IDS = 65_536
 END_ID = 2
 #: Segments whose ids a worker remembers; a matter of speed only.
-REMEMBERED = 400_000
+REMEMBERED = 1_200_000
 #: Segments of a text that are joined at a time, so that a very long text never needs all its ids at once.
 SLICE = 50_000
 
