@@ -116,7 +116,7 @@ def gap_level(fact: DataFrame, weeks: int = 12) -> DataFrame:
 
 
 def coverage_level(fact: DataFrame) -> DataFrame:
-    row = R.latest_rows(fact).agg(F.count("movie_id").alias("with_movie"), F.count("*").alias("titles"))
+    row = R.movie_id_coverage(fact).agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("with_movie", "titles")])
     return row.withColumn("level", F.when((F.col("titles") > 0) & (100 * F.col("with_movie") >= 85 * F.col("titles")), OK).otherwise(WARN))
 
 

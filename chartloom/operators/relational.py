@@ -63,23 +63,26 @@ def latest_week(fact: DataFrame) -> DataFrame:
     return fact.groupBy(*CHART).agg(F.max("week_start").alias("week_start"))
 
 
-def latest_rows(fact: DataFrame) -> DataFrame:
-    """The rows of each chart's latest week."""
-    return fact.join(latest_week(fact), [*CHART, "week_start"], "left_semi")
+def of_latest_week(fact: DataFrame, **counts: Column) -> DataFrame:
+    """Aggregates over each chart's latest week, in one pass: by week first, then the last week's."""
+    weekly = fact.filter("week_start is not null").groupBy(*CHART, "week_start").agg(*[c.alias(k) for k, c in counts.items()])
+    return weekly.groupBy(*CHART).agg(F.max(F.struct("week_start", *counts)).alias("last")).select(*CHART, "last.*")
 
 
 def latest_week_status(fact: DataFrame) -> DataFrame:
-    return latest_rows(fact).groupBy(*CHART, "week_start").agg(F.count("*").alias("titles"))
+    return of_latest_week(fact, titles=F.count("*"))
 
 
 def movie_id_coverage(fact: DataFrame) -> DataFrame:
-    return latest_rows(fact).groupBy(*CHART).agg(F.count("movie_id").alias("with_movie"), F.count("*").alias("titles"))
+    return of_latest_week(fact, with_movie=F.count("movie_id"), titles=F.count("*"))
 
 
 def top_titles(fact: DataFrame, n: int = 5) -> DataFrame:
-    """The first titles of each chart's latest week."""
-    order = Window.partitionBy(*CHART).orderBy("rank", "id")
-    return latest_rows(fact).withColumn("_n", F.row_number().over(order)).filter(F.col("_n") <= n).drop("_n")
+    """The first titles of each chart's latest week, in one pass: the first of every week, then the last week's."""
+    order = Window.partitionBy(*CHART, "week_start").orderBy("rank", "id")
+    first = fact.filter("week_start is not null").withColumn("_n", F.row_number().over(order)).filter(F.col("_n") <= n)
+    last = F.rank().over(Window.partitionBy(*CHART).orderBy(F.col("week_start").desc()))  # n rows a week
+    return first.withColumn("_n", last).filter("_n = 1").drop("_n")
 
 
 def sample_latest(fact: DataFrame, n: int = 5) -> DataFrame:

@@ -252,9 +252,9 @@ SQL = {
       FROM (SELECT DISTINCT week_start, 'https://charts.example/weekly/' AS b FROM fact), generate_series(0, 3) t(i)""",
     "release_dates_json": "SELECT id, CASE WHEN id % 5 < 3 THEN strftime(release_date, '%Y-%m-%d') || ',' || strftime(release_date + 9, '%Y-%m-%d') ELSE strftime(release_date, '%Y-%m-%d') END AS dates FROM movies",
     "raw_snapshot_digest": "SELECT page_id, url, sha256(html) AS content_sha256 FROM pages",
-    "parse_chart_pages": """SELECT territory, week_start, week_end, rank, title, distributor, weekly_gross // 100 * 100 AS weekly_gross, total_gross // 100 * 100 AS total_gross, screen_count, weeks_in_release,
-      (id // 10000)::varchar AS source_movie_id, 'https://charts.example/film/x/' || id // 10000 || '/scheda/' AS source_url FROM fact WHERE weekly_gross IS NOT NULL AND rank < 100 AND title = title_key""",
-    "first_page": """SELECT territory || '/' || year(week_start) AS request, min(week_start) AS page_week FROM fact WHERE weekly_gross IS NOT NULL AND rank < 100 AND title = title_key GROUP BY 1""",
+    "parse_chart_pages": """SELECT territory, week_start, week_end, (rank - 1) % 99 + 1 AS rank, trim(title) AS title, distributor, weekly_gross // 100 * 100 AS weekly_gross, total_gross // 100 * 100 AS total_gross, screen_count, weeks_in_release,
+      (id // 10000)::varchar AS source_movie_id, 'https://charts.example/film/x/' || id // 10000 || '/scheda/' AS source_url FROM fact WHERE weekly_gross IS NOT NULL""",
+    "first_page": """SELECT territory || '/' || year(week_start) AS request, min(week_start) AS page_week FROM fact WHERE weekly_gross IS NOT NULL GROUP BY 1""",
     "parse_euro": "SELECT id, (total_gross % 10000000) * 100 + id % 100 AS cents FROM fact",
     "parse_int": "SELECT id, total_gross AS value FROM fact",
     "parse_it_date": "SELECT DISTINCT week_start, week_start AS parsed FROM fact",

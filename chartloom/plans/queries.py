@@ -34,11 +34,11 @@ def n(c: str, as_: str | None = None) -> F.Column:
 
 def as_of_day(f: DataFrame, days: int = 9) -> F.Column:
     """A fixed number of days after the last week, in place of today."""
-    return F.date_add(F.lit(f.agg(F.max("week_start")).first()[0]), days)
+    return F.date_add(f.agg(F.max("week_start")).scalar(), days)
 
 
 def as_of_run(r: DataFrame) -> F.Column:
-    return F.lit((r.agg(F.max("started_at")).first()[0] or 0) + 3 * 86_400_000_000)
+    return F.coalesce(r.agg(F.max("started_at")).scalar(), F.lit(0)) + 3 * 86_400_000_000
 
 
 # -- aggregates, windows, top-k ------------------------------------------------------------------
@@ -138,8 +138,8 @@ def first_seen_distinct(spark, d):
 def retention_prune(spark, d):
     e = table(spark, d, "events")
     backups = e.select(F.col("user_id").alias("group"), F.concat(F.lit("backup-"), F.col("event_id").cast("string")).alias("path"), F.unix_micros(F.col("ts").cast("timestamp")).alias("mtime"))
-    last = backups.agg(F.max("mtime")).first()[0] or 0
-    return R.prune(backups, 3, F.lit(last - 10 * 86_400_000_000)).select("group", "path")
+    last = backups.agg(F.max("mtime")).scalar()
+    return R.prune(backups, 3, last - 10 * 86_400_000_000).select("group", "path")
 
 
 @query
@@ -456,14 +456,15 @@ def page_links(spark, d):
 
 
 def chart_html(spark: SparkSession, d: str) -> DataFrame:
-    """A page of the site's form for each territory and week, made of the fact's rows."""
+    """Pages of the site's form for each territory and week, made of the fact's rows with a gross. A page has
+    ranks of two digits, so a longer chart goes on at rank 1 of the next page."""
     euro = lambda c: F.replace(F.format_number((F.col(c) / 100).cast("long"), 0), F.lit(","), F.lit("."))
-    f = fact(spark, d).filter("weekly_gross is not null and rank < 100 and title = title_key")
+    f = fact(spark, d).filter("weekly_gross is not null").withColumn("part", F.floor((F.col("rank") - 1) / 99)).withColumn("rank", (F.col("rank") - 1) % 99 + 1)
     month = F.element_at(F.array(*map(F.lit, T.MONTHS)), F.month("week_end"))
     row = F.concat(F.lit("<div><span>"), F.col("rank").cast("string"), F.lit('</span><a href="/film/x/'), F.floor(F.col("id") / 10000).cast("string"), F.lit('/scheda/" title="'), F.col("title"), F.lit('">x</a><p>Settimane: '), F.col("weeks_in_release").cast("string"), F.lit(" Distribuzione: "), F.col("distributor"), F.lit(" Inc. weekend: &euro; "), euro("weekly_gross"), F.lit(" Schermi: "), F.col("screen_count").cast("string"), F.lit(" Inc. totale: &euro; "), euro("total_gross"), F.lit("</p></div>"))
     head = F.concat(F.lit("<html><body><h1>dal "), F.dayofmonth("week_start").cast("string"), F.lit(" "), F.element_at(F.array(*map(F.lit, T.MONTHS)), F.month("week_start")), F.lit(" "), F.year("week_start").cast("string"), F.lit(" al "), F.dayofmonth("week_end").cast("string"), F.lit(" "), month, F.lit(" "), F.year("week_end").cast("string"), F.lit("</h1>"))
-    bodies = f.groupBy("territory", "week_start", "week_end").agg(F.concat_ws("", F.transform(F.array_sort(F.collect_list(F.struct("rank", row.alias("row")))), lambda x: x["row"])).alias("body"))
-    return bodies.select(F.xxhash64("territory", "week_start").alias("page_id"), "territory", F.col("week_start").alias("page_week"), F.concat(head, "body", F.lit("</body></html>")).alias("html"))
+    bodies = f.groupBy("territory", "week_start", "week_end", "part").agg(F.concat_ws("", F.transform(F.array_sort(F.collect_list(F.struct("rank", row.alias("row")))), lambda x: x["row"])).alias("body"))
+    return bodies.select(F.xxhash64("territory", "week_start", "part").alias("page_id"), "territory", F.col("week_start").alias("page_week"), F.concat(head, "body", F.lit("</body></html>")).alias("html"))
 
 
 @query

@@ -88,12 +88,14 @@ def entries(html: str | None) -> tuple[str, list[tuple]]:
         film = FILM_LINK.search(a.attributes["href"])
         if not film:
             continue
-        around, node = [a.text("\n")], a.parent
-        while node is not None and len(around) <= ANCESTORS:
-            around.append(node.text("\n"))
-            node = node.parent
-        text = "\n".join(around)
+        # wider only while something is missing: what lies further out comes later in the text, so it would not be found first
+        text, node = a.text("\n"), a.parent
         fields, rank = FIELDS.search(text), RANK.search(text)
+        for _ in range(ANCESTORS):
+            if node is None or (fields and rank):
+                break
+            text, node = text + "\n" + node.text("\n"), node.parent
+            fields, rank = FIELDS.search(text), RANK.search(text)
         title = (a.attributes.get("title") or a.text(" ")).strip()
         if fields and rank and title:
             found.append((seq, int(rank[1]), title, film[1], a.attributes["href"], fields[1], " ".join(fields[2].split()), fields[3], fields[4], fields[5]))
