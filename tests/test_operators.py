@@ -219,3 +219,23 @@ def test_backup_and_stale_versions(spark, tmp_path):
     with pytest.raises(ValueError, match="changed"):
         store.publish({"t": store.stage("t", spark.range(4))}, {"t": "another"})
     assert store.read("t").count() == 3
+
+
+def test_latest_week_of_each_chart(spark):
+    old, new = date(2026, 9, 10), date(2026, 9, 17)
+    rows = [row(1, rank=1, week=old, movie=1), row(2, rank=2, week=new, movie=2), row(3, rank=2, week=new), row(4, rank=1, week=new), row(5, week=None, movie=5), row(6, week=old, movie=6, territory="FR")]
+    f = fact(spark, *rows, row(7, week=None, territory="DE"))  # a chart without a week has no latest one
+    assert ids(R.top_titles(f, 2)) == [2, 4, 6]
+    assert {(r["territory"], r["week_start"], r["titles"]) for r in R.latest_week_status(f).collect()} == {("IT", new, 3), ("FR", old, 1)}
+    assert {(r["territory"], r["with_movie"], r["titles"]) for r in R.movie_id_coverage(f).collect()} == {("IT", 1, 3), ("FR", 1, 1)}
+    none = quality.coverage_level(f.limit(0)).first()
+    assert (none["with_movie"], none["titles"], none["level"]) == (0, 0, "WARN")
+
+
+def test_entries_look_outwards_only_as_far_as_needed():
+    fields = "Settimane: 2 Distribuzione: D Inc. weekend: € 1.000 Schermi: 7 Inc. totale: € 2.000"
+    near = f'<div><b>3</b><div><a href="/film/x/9/scheda/" title="T">x</a> {fields}</div></div>'  # the rank is the first number around, so that of the fields
+    assert [e[1] for e in pages.entries(near)[1]] == [2]
+    far = f'<div>{fields}<p><i><a href="/film/x/9/scheda/">T</a></i></p></div>'
+    assert [(e[1], e[2], e[3]) for e in pages.entries(far)[1]] == [(2, "T", "9")]
+    assert pages.entries(f"{fields}<div>{'<i>' * 3}<a href='/film/x/9/scheda/'>T</a></div>")[1] == []
