@@ -41,6 +41,10 @@ class Stash:
     def __init__(self, spark: SparkSession, name: str):
         self.spark = spark
         self.root = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+        path = spark._jvm.org.apache.hadoop.fs.Path(self.root)
+        files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+        files.mkdirs(path)
+        files.deleteOnExit(path)  # what the last reader still needs goes with the application
 
     def path(self, label: str) -> str:
         return f"{self.root}/{label}"

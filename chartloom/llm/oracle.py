@@ -99,6 +99,71 @@ SELECT doc_id, len(w)::bigint AS n_words, (len(w) - coalesce(n, 0))::bigint AS n
 FROM d LEFT JOIN k USING (r)
 """
 
+OP11 = r"""
+WITH q AS (
+  SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, k) - 1 AS i, k, b
+  FROM (SELECT conv_id, turn, sha256(strlen(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS k, strlen(coalesce(text, ''))::bigint AS b
+        FROM conversations WHERE conv_id IS NOT NULL)
+), c AS (
+  SELECT conv_id, conv_id - conv_id % 5 AS base,
+         xor(list_reduce(list_concat([4294967295::bigint], list_transform(string_split(conv_id::varchar, ''), lambda x: ascii(x)::bigint)),
+               lambda acc, x: list_reduce(list_concat([xor(acc, x)], [0::bigint, 0, 0, 0, 0, 0, 0, 0]), lambda r, z: xor(r >> 1, 3988292384::bigint * (r & 1)))),
+             4294967295::bigint) % 9 AS h
+  FROM (SELECT DISTINCT conv_id FROM q)
+), r AS (
+  SELECT c.conv_id, 0 AS part, i, k, b FROM c JOIN q ON q.conv_id = base AND i < h
+  UNION ALL
+  SELECT c.conv_id, 1, i, k, b FROM c JOIN q ON q.conv_id = c.conv_id AND i >= h
+), p AS (
+  SELECT conv_id, row_number() OVER w AS depth, sha256(string_agg(k, '') OVER w) AS prefix, b, count(*) OVER (PARTITION BY conv_id) AS length
+  FROM r WINDOW w AS (PARTITION BY conv_id ORDER BY part, i ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
+  UNION ALL
+  SELECT c.conv_id, 0, '', 0, coalesce(n, 0) FROM c LEFT JOIN (SELECT conv_id, count(*) AS n FROM r GROUP BY conv_id) USING (conv_id)
+), n AS (
+  SELECT depth, prefix, min(conv_id) AS conv_id, count(*) AS n_convs, max(b) AS b, max(length) AS longest,
+         sha256(coalesce(string_agg(conv_id::varchar, ',' ORDER BY conv_id) FILTER (length = depth), '')) AS ends_sha256
+  FROM p GROUP BY depth, prefix
+), u AS (
+  SELECT p.depth, p.prefix, sum((n.n_convs - 1) * n.b)::bigint AS saved, count_if(n.longest = n.depth)::bigint AS leaves, count_if(n.depth = p.depth + 1)::bigint AS children
+  FROM n JOIN p ON p.conv_id = n.conv_id AND p.depth <= n.depth GROUP BY p.depth, p.prefix
+), a AS (
+  SELECT n.conv_id, n.depth, m.conv_id AS parent_conv_id
+  FROM n JOIN p ON p.conv_id = n.conv_id AND p.depth = n.depth - 1 JOIN n AS m ON m.depth = p.depth AND m.prefix = p.prefix
+)
+SELECT n.conv_id, n.depth::bigint AS depth, parent_conv_id, n_convs::bigint AS n_convs, children AS n_children, leaves AS n_leaves, saved AS saved_tokens, ends_sha256
+FROM n JOIN u USING (depth, prefix) LEFT JOIN a ON a.conv_id = n.conv_id AND a.depth = n.depth
+"""
+
+OP13 = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, coalesce(lang, 'und') AS lang,
+         string_split(regexp_replace(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]', chr(10), 'g'), chr(10)) AS pieces
+  FROM documents
+), e AS (
+  SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM (SELECT lang, unnest(pieces) AS piece FROM d)
+), o AS (SELECT lang, w, unnest(generate_series(1, len(w))) AS i FROM e WHERE len(w) > 0
+), g AS (SELECT lang, m, array_to_string(w[i:i + m - 1], ' ') AS phrase FROM o, (VALUES (1), (2), (3), (4)) AS s(m) WHERE i + m - 1 <= len(w)
+), f AS (SELECT lang, m, phrase, count(*)::bigint AS f FROM g GROUP BY lang, m, phrase
+), n AS (SELECT lang, sum(f)::bigint AS n FROM f WHERE m = 1 GROUP BY lang
+), c AS (SELECT lang, m, phrase, f AS a, string_split(phrase, ' ') AS w FROM f WHERE m > 1 AND f >= 30
+), s AS (
+  SELECT lang, m, phrase, a, k, array_to_string(w[1:k], ' ') AS head, array_to_string(w[k + 1:m], ' ') AS tail
+  FROM (SELECT *, unnest(generate_series(1, m - 1)) AS k FROM c)
+), k AS (
+  SELECT s.*, x.f AS l, y.f AS r, ((2000000::hugeint * a) // (x.f + y.f))::bigint AS score
+  FROM s JOIN f AS x ON x.lang = s.lang AND x.phrase = s.head JOIN f AS y ON y.lang = s.lang AND y.phrase = s.tail
+), b AS (SELECT * FROM k QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1
+), i AS (
+  SELECT lang, f, array_to_string(w[j:j + n - 1], ' ') AS phrase
+  FROM (SELECT lang, a AS f, m, w, n, unnest(generate_series(1, m - n + 1)) AS j FROM (SELECT *, unnest(generate_series(2, m - 1)) AS n FROM c WHERE m > 2))
+), z AS (
+  SELECT DISTINCT b.lang, b.phrase FROM b JOIN i USING (lang, phrase) WHERE 100 * i.f >= 80 * b.a
+)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase)::bigint AS rank, phrase, a, l, r, n, score
+FROM b ANTI JOIN z USING (lang, phrase) JOIN n USING (lang)
+QUALIFY rank <= 2000
+"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_mixing": OP5, "op6_repeated_passages": OP6, "op10_quality_rules": OP10}
+    return {"op5_mixing": OP5, "op6_repeated_passages": OP6, "op10_quality_rules": OP10, "op11_prefix_trie": OP11, "op13_collocations": OP13}

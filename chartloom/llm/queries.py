@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontamination, language_id, mixing, near_duplicates, pii, quality, repeated_passages, secrets, token_blocks, token_counts
+from . import collocations, decontamination, language_id, mixing, near_duplicates, pii, prefix_trie, quality, repeated_passages, secrets, simhash, token_blocks, token_counts
 
 
 def tokenizer_path(name: str) -> str:
@@ -60,6 +60,18 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_rules(read(spark, sf_dir, "documents"))
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.prefix_trie(read(spark, sf_dir, "conversations"))
+
+
+def op12_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.simhash_groups(read(spark, sf_dir, "documents"))
+
+
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(read(spark, sf_dir, "documents"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline  # it stands at the top of the repository and imports this module
 
@@ -69,6 +81,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     operators = (
         op1_token_blocks, op2_decontamination, op3_near_duplicates, op4_personal_data, op5_mixing,
-        op6_repeated_passages, op7_language_id, op8_secrets, op9_token_counts, op10_quality_rules, pipeline,
+        op6_repeated_passages, op7_language_id, op8_secrets, op9_token_counts, op10_quality_rules,
+        op11_prefix_trie, op12_simhash, op13_collocations, pipeline,
     )
     return {f.__name__: f for f in operators}

@@ -39,4 +39,4 @@ def test_stages(spark, tmp_path):
 
 
 def test_registered():
-    assert {x.split("_")[0] for x in queries()} == {*(f"op{i}" for i in range(1, 11)), "pipeline"}
+    assert {x.split("_")[0] for x in queries()} == {*(f"op{i}" for i in range(1, 14)), "pipeline"}
