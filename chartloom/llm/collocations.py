@@ -4,20 +4,22 @@ Three passes over the texts. A shard is some millions of words of one task; its
 border between pieces has the number 0. The first pass counts words and neighbours by 64-bit hashes, the
 second those rows of three and four words whose neighbours may all be frequent. What reaches the support
 makes a filter of bounded size, which lets all frequent phrases through and few others. In the third pass
-every shard has a bitmap of the positions of each word that is left, compressed to its set positions and, for
-common words, packed bits too. From a word on, depth first, a phrase's bitmap is shifted by one, ANDed with the
-bitmap of each word that may follow, and the result's set bits are the phrase's occurrences in the shard. No
-word has number 0, so nothing goes over a border. Counts are summed over shards, exactly, by lang and phrase.
+every shard has a bitmap of the positions of each word, compressed to the positions that are set. The words
+are extended depth first, a block of first words at a time: the bitmaps of a block's phrases are shifted by one
+and ANDed with the bitmaps of all words that may follow. A position is set in the bitmap of one word only, so
+that AND is a look at the position's word; what is left for a phrase and a word is the bitmap of the longer
+phrase, and its number of set positions the occurrences in the shard. No word has the number 0, so nothing goes
+over a border. Counts are summed over shards, exactly, by lang and phrase.
 """
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 from itertools import count
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -26,10 +28,8 @@ from pyspark.sql.window import Window
 from .common import BITMAP_BITS, Stash, column, mix, short
 
 SUPPORT, LONGEST, SHARE, TOP = 30, 4, 80, 2000
-#: Positions of a shard; phrases whose counts a task holds before it sends them on.
-SHARD, PHRASES = 1 << 22, 400_000
-#: A common word has more than one in so many positions.
-DENSE = 64
+#: Positions of a shard; set positions of the bitmaps that are extended at a time.
+SHARD, BLOCK = 1 << 22, 1 << 19
 #: Hashes are dealt by their highest bits; bits of the filter for each frequent hash, and at least and at most (128 MB).
 BUCKET_BITS, FILTER_BITS, LEAST_FILTER, MOST_FILTER = 16, 32, 1 << 20, 1 << 30
 #: Hashes that are merged at a time.
@@ -132,6 +132,13 @@ def _merged(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarra
     return key[first], np.minimum(np.add.reduceat(n, first), SUPPORT).astype(np.uint8) if len(first) else n.astype(np.uint8)
 
 
+def _bytes(column_: pa.Array) -> np.ndarray:
+    """The values of a binary column, one after another."""
+    _, ends, values = column_.buffers()
+    ends = np.frombuffer(ends, np.int32)[column_.offset : column_.offset + len(column_) + 1]
+    return np.frombuffer(values, np.uint8)[ends[0] : ends[-1]]
+
+
 def _frequent(counted: DataFrame) -> DataFrame:
     """(key) of the hashes that occur as often as the support says."""
     schema = pa.schema([("key", pa.int64())])
@@ -147,10 +154,10 @@ def _frequent(counted: DataFrame) -> DataFrame:
             return pa.RecordBatch.from_arrays([pa.array(key[~open_ & (c >= SUPPORT)].view(np.int64))], schema=schema)
 
         for x in source:
-            for bucket, key, n in zip(*(c.to_pylist() for c in x.columns), strict=True):
-                keys.append(np.frombuffer(key, np.uint64))
-                counts.append(np.frombuffer(n, np.uint8))
-                held, last = held + len(n), bucket
+            if x.num_rows:
+                keys.append(_bytes(x.column("keys")).view(np.uint64).copy())
+                counts.append(_bytes(x.column("counts")).copy())
+                held, last = held + len(counts[-1]), x.column("bucket")[-1].as_py()
                 if held >= MERGED:
                     yield done(last)
                     held = 0
@@ -215,100 +222,72 @@ def _long_counts(docs: DataFrame, short_bits) -> DataFrame:
     return _texts(docs).mapInArrow(run, "bucket int, keys binary, counts binary")
 
 
+COUNTS = pa.schema([("lang", pa.string()), ("phrase", pa.binary()), ("f", pa.int64())])
+
+
 class Bitmaps:
-    """Positions of each word of a shard: the set positions in order and, of common words, packed bits too."""
+    """The set positions of each word of a shard, in order, one bitmap after another."""
 
     def __init__(self, at: np.ndarray, n_words: int):
-        self.at, self.n = at, len(at)
-        order = np.argsort(at, kind="stable").astype(np.int64)
-        ends = np.cumsum(np.bincount(at, minlength=n_words))
-        self.set = np.split(order, ends[:-1])
-        self.packed = {w: self.pack(x) for w, x in enumerate(self.set) if w and len(x) * DENSE > self.n}
-
-    def pack(self, positions: np.ndarray) -> np.ndarray:
-        bits = np.zeros(self.n + 1, bool)
-        bits[positions] = True
-        return np.packbits(bits, bitorder="little")
-
-    @staticmethod
-    def _in(positions: np.ndarray, bits: np.ndarray) -> np.ndarray:
-        return positions[(bits[positions >> 3] >> (positions & 7).astype(np.uint8)) & 1 == 1]
-
-    def both(self, x: np.ndarray, x_bits: np.ndarray | None, word: int) -> np.ndarray:
-        """The AND of a bitmap and a word's: the smaller one's positions are looked up in the larger one."""
-        y = self.set[word]
-        if len(x) <= len(y):
-            if word in self.packed:
-                return self._in(x, self.packed[word])
-            small, large = x, y
-        else:
-            if x_bits is not None:
-                return self._in(y, x_bits)
-            small, large = y, x
-        place = large.searchsorted(small)
-        place[place == len(large)] = 0
-        return small[large[place] == small]
-
-
-def grown(shard: Shard, passes: Filter) -> Iterator[tuple[str, bytes | None, int]]:
-    """(lang, phrase, occurrences in the shard) of the words and phrases that pass, depth first, and (lang, None, words)."""
-    bitmaps, words, hashes = Bitmaps(shard.at, len(shard.words)), shard.words, shard.hashes
-    sizes = np.array([len(x) for x in bitmaps.set])
-    total: Counter = Counter()
-    for (lang, _), n in zip(words[1:], sizes[1:].tolist(), strict=True):
-        total[lang] += n
-    for lang, n in total.items():
-        yield lang, None, n
-    frequent = passes(hashes)
-    starts, rows = shard.longer(*shard.rows()[0], 2)
-    starts = starts[passes(rows)]
-    follow = np.unique(shard.at[starts].astype(np.int64) * len(words) + shard.at[starts + 1])  # which words may follow which
-    first, second = follow // len(words), (follow % len(words)).astype(np.int64)
-    bounds = np.searchsorted(first, np.arange(len(words) + 1))
-    may_follow = lambda w: second[bounds[w] : bounds[w + 1]]
-
-    def extend(phrase: bytes, lang: str, positions: np.ndarray, hash_: np.ndarray, last: int, n: int) -> Iterator[tuple[str, bytes, int]]:
-        candidates = may_follow(last)
-        if not len(candidates):
-            return
-        shifted = positions + 1
-        if len(shifted) < len(candidates):  # then most bitmaps have nothing there
-            candidates = np.intersect1d(shard.at[shifted], candidates)
-        reached = extended(np.broadcast_to(hash_, len(candidates)), hashes[candidates])
-        ok = passes(reached)
-        bits = bitmaps.pack(shifted) if len(shifted) * DENSE > bitmaps.n else None
-        for word, h in zip(candidates[ok].tolist(), reached[ok], strict=True):
-            met = bitmaps.both(shifted, bits, word)
-            if len(met):
-                longer = phrase + b" " + words[word][1]
-                yield lang, longer, len(met)
-                if n < LONGEST:
-                    yield from extend(longer, lang, met, h, word, n + 1)
-
-    for w in np.flatnonzero(frequent[1:]) + 1:
-        lang, word = words[w]
-        yield lang, word, int(sizes[w])
-        yield from extend(word, lang, bitmaps.set[w], hashes[w], w, 2)
+        self.set = np.argsort(at, kind="stable")
+        self.ends = np.cumsum(np.bincount(at, minlength=n_words))
+
+    def size(self, words: np.ndarray) -> np.ndarray:
+        return self.ends[words] - self.ends[words - 1]  # no bitmap is that of the number 0
+
+    def of(self, words: np.ndarray) -> np.ndarray:
+        """The bitmaps of the words, one after another."""
+        n = self.size(words)
+        return self.set[np.repeat(self.ends[words - 1] - (np.cumsum(n) - n), n) + np.arange(n.sum())]
+
+
+def blocks(sizes: np.ndarray, most: int = BLOCK) -> list[slice]:
+    """Runs of bitmaps that have so many set positions together, or are one bitmap."""
+    cuts = np.flatnonzero(np.diff(np.cumsum(sizes) // most)) + 1
+    return [slice(a, b) for a, b in zip([0, *cuts], [*cuts, len(sizes)], strict=True) if a < b]
+
+
+def grown(shard: Shard, passes: Filter) -> Iterator[pa.RecordBatch]:
+    """(lang, phrase, occurrences in the shard) of the words and phrases that pass, and (lang, null, all words)."""
+    n_words, hashes = len(shard.words), shard.hashes
+    langs, of_lang = np.unique([lang for lang, _ in shard.words[1:]], return_inverse=True)
+    of_lang, names, words = np.append(0, of_lang), pa.array(langs, pa.string()), pa.array([w for _, w in shard.words], pa.binary())
+    bitmaps = Bitmaps(shard.at, n_words)
+    every = np.arange(1, n_words)
+    total = np.bincount(of_lang[1:], bitmaps.size(every), len(langs)).astype(np.int64)
+    yield pa.RecordBatch.from_arrays([names, pa.nulls(len(names), pa.binary()), pa.array(total)], schema=COUNTS)
+
+    def found(first: np.ndarray, phrases: pa.Array, n: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([names.take(pa.array(of_lang[first])), phrases, pa.array(n)], schema=COUNTS)
+
+    frequent = every[passes(hashes[1:])]
+    sizes = bitmaps.size(frequent)
+    for block in blocks(sizes):
+        first, n = frequent[block], sizes[block]
+        phrases, reached = words.take(pa.array(first)), hashes[first]
+        yield found(first, phrases, n)
+        positions, phrase = bitmaps.of(first), np.repeat(np.arange(len(first)), n)
+        for _ in range(2, LONGEST + 1):
+            positions = positions + 1
+            word = shard.at[positions].astype(np.int64)
+            ok = (word > 0) & passes(extended(reached[phrase], hashes[word]))
+            positions, longer = positions[ok], phrase[ok] * n_words + word[ok]
+            longer, phrase, n = np.unique(longer, return_inverse=True, return_counts=True)
+            if not len(longer):
+                break
+            before, last = longer // n_words, longer % n_words
+            first, reached = first[before], extended(reached[before], hashes[last])
+            phrases = pc.binary_join_element_wise(phrases.take(pa.array(before)), words.take(pa.array(last)), pa.scalar(b" "))
+            yield found(first, phrases, n)
 
 
 def phrase_counts(docs: DataFrame, bits) -> DataFrame:
     """(lang, phrase, f): occurrences in all documents of what passes the filter; the phrase null: all words."""
-    schema = pa.schema([("lang", pa.string()), ("phrase", pa.binary()), ("f", pa.int64())])
 
     def run(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        passes, held = Filter(bits.value), Counter()
-
-        def sent() -> pa.RecordBatch:
-            out = pa.RecordBatch.from_arrays([pa.array([k[0] for k in held], pa.string()), pa.array([k[1] for k in held], pa.binary()), pa.array(held.values(), pa.int64())], schema=schema)
-            held.clear()
-            return out
-
+        passes = Filter(bits.value)
         for shard in shards(source):
-            for lang, phrase, n in grown(shard, passes):
-                held[lang, phrase] += n
-                if len(held) >= PHRASES:
-                    yield sent()
-        yield sent()
+            yield from grown(shard, passes)
 
     counts = _texts(docs).mapInArrow(run, "lang string, phrase binary, f long")
     return counts.groupBy("lang", F.col("phrase").cast("string").alias("phrase")).agg(F.sum("f").alias("f"))

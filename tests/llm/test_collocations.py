@@ -71,16 +71,17 @@ def test_phrases(spark):
     assert collocations.collocations(docs.limit(0)).count() == 0
 
 
-def test_bitmaps():
+def test_bitmaps_and_blocks():
     draw = np.random.default_rng(1)
-    at = np.concatenate([draw.choice(200, 5000, p=np.array([.2, .2, *[.6 / 198] * 198])), [0]])
+    at = np.concatenate([draw.choice(200, 5000), [0]])
     b = Bitmaps(at, 200)
-    assert set(b.packed) == {1}
-    for x, y in [(1, 1), (1, 5), (5, 1), (7, 9), (199, 2)]:
-        shifted = b.set[x] + 1
-        want = [i for i in range(1, len(at)) if at[i - 1] == x and at[i] == y]
-        for bits in (None, b.pack(shifted)):
-            assert sorted(b.both(shifted, bits, y).tolist()) == want
+    words = np.array([1, 7, 3, 199])
+    assert b.of(words).tolist() == [i for w in words for i in np.flatnonzero(at == w)]
+    assert b.size(words).tolist() == [int((at == w).sum()) for w in words]
+    sizes = draw.integers(1, 50, 300)
+    cut = collocations.blocks(sizes, 100)
+    assert np.concatenate([sizes[x] for x in cut]).tolist() == sizes.tolist() and max(sizes[x].sum() for x in cut) <= 150
+    assert collocations.blocks(np.empty(0, int)) == []
 
 
 def test_filter_and_packed_hashes():
