@@ -9,7 +9,9 @@ from difflib import SequenceMatcher
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, StringType
+from pyspark.sql.types import DoubleType, StringType, StructField, StructType
+
+from .scores import DATE, POPULARITY, TITLE
 
 # The months as the pages spell them, and the words that a title may begin with.
 MONTHS = ("gennaio", "febbraio", "marzo", "aprile", "maggio", "giugno", "luglio", "agosto", "settembre", "ottobre", "novembre", "dicembre")
@@ -120,6 +122,55 @@ def similarity(a: str, b: str) -> float:
     return score
 
 
+# What a name may consist of when it is normalised.
+LETTERS = "abcdefghijklmnopqrstuvwxyz0123456789 "
+
+
+def letter_counts(normalised: Column) -> Column:
+    """How often each of ``LETTERS`` is in a normalised title."""
+    return F.transform(F.array(*map(F.lit, LETTERS)), lambda c: F.length(normalised) - F.length(F.replace(normalised, c, F.lit(""))))
+
+
+def title_forms(normalised: Column) -> Column:
+    """What bounds need of a title: (norm, bare, counts, bare_counts)."""
+    bare = without_articles(normalised)
+    return F.struct(normalised.alias("norm"), bare.alias("bare"), letter_counts(normalised).alias("counts"), letter_counts(bare).alias("bare_counts"))
+
+
+def similarity_bounds(a: Column, b: Column) -> tuple[Column, Column]:
+    """The least and the most that ``similarity`` of two ``title_forms`` can be, without comparing the letters' order:
+    matching blocks have no more letters than the titles have in common, each as often as in the one with fewer."""
+    common = lambda x, y: F.aggregate(F.zip_with(x, y, lambda p, q: F.least(p, q)), F.lit(0), lambda s, v: s + v)
+    ratio = lambda x, y, n: 2 * common(a[x], b[x]) / F.nullif(F.length(a[n]) + F.length(b[n]), F.lit(0))
+    shorter = F.length(b["bare"]) < F.length(a["bare"])
+    short, long_ = F.when(shorter, b["bare"]).otherwise(a["bare"]), F.when(shorter, a["bare"]).otherwise(b["bare"])
+    begins = F.contains(short, F.lit(" ")) & F.startswith(F.concat(long_, F.lit(" ")), F.concat(short, F.lit(" ")))
+    subtitle = F.when(begins, F.when(shorter, CANDIDATE_BEGINS).otherwise(CANDIDATE_GOES_ON)).otherwise(0.0)
+    most = F.greatest(ratio("counts", "counts", "norm"), ratio("bare_counts", "bare_counts", "bare"), subtitle)
+    empty = (F.coalesce(a["norm"], F.lit("")) == "") | (F.coalesce(b["norm"], F.lit("")) == "")
+    known = lambda other: F.when(empty, 0.0).when(a["norm"] == b["norm"], 1.0).when(a["bare"] == b["bare"], SAME_BUT_ARTICLES).otherwise(other)
+    return known(subtitle), known(most)
+
+
+#: The parts of a candidate's score.
+SCORES = StructType([*(StructField(c, DoubleType()) for c in ("title_part", "title_score", "date_score", "score")), StructField("error", StringType())])
+
+
+@F.pandas_udf(SCORES)
+def candidate_scores(title: pd.Series, names: pd.Series, other_part: pd.Series, date_part: pd.Series, popularity_part: pd.Series) -> pd.DataFrame:
+    """All parts of a candidate's score in one step, of normalised names: the best similarity of the title and a name (or
+    ``other_part``, where that is known and higher), rounded to three decimals, half to even on the exact binary value.
+    A row that cannot be scored has the reason in ``error``, and no score."""
+    rows = []
+    for t, these, known, d, p in zip(title, names, other_part, date_part, popularity_part, strict=True):
+        try:
+            part = max([similarity(t, n) for n in these if n is not None] + ([] if pd.isna(known) else [float(known)]), default=0.0)
+            rows.append((part, round(part, 3), round(float(d), 3), round(TITLE * part + DATE * float(d) + POPULARITY * float(p), 3), None))
+        except (TypeError, ValueError, OverflowError) as e:
+            rows.append((None, None, None, None, f"{type(e).__name__}: {e}"))
+    return pd.DataFrame(rows, columns=SCORES.names)
+
+
 @F.pandas_udf(DoubleType())
 def title_similarity(a: pd.Series, b: pd.Series) -> pd.Series:
     """``similarity`` of two titles as they are spelt."""

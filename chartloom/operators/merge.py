@@ -52,7 +52,7 @@ def load_batch(fact: DataFrame, films: DataFrame, batch: DataFrame) -> tuple[Dat
     """The fact, the films and (rows) after a batch of records with source_movie_id and source_url.
 
     Films of the batch are added or renamed first. Each record then takes its film's id, and the film's movie
-    where it brings none of its own; a record without source_movie_id is stored without film.
+    where it brings none (or 0) of its own; a record without source_movie_id is stored without film.
     """
     seen = batch.filter("source_movie_id is not null").withColumn("seq", F.col("id"))
     named = seen.select(F.col("id"), "source_name", "source_movie_id", "title", "title_key", "source_url", F.lit(None).cast("long").alias("movie_id"), F.lit("unmatched").alias("match_status"), "seq")
@@ -60,13 +60,15 @@ def load_batch(fact: DataFrame, films: DataFrame, batch: DataFrame) -> tuple[Dat
     films = upsert_films(films, named.select("*", *absent).select(*films.columns, "seq"))
     known = films.select(F.col("source_name").alias("f_source"), F.col("source_movie_id").alias("f_id"), F.col("id").alias("f_ref"), F.col("movie_id").alias("f_movie"))
     linked = batch.join(known, (F.col("source_name") == F.col("f_source")) & (F.col("source_movie_id") == F.col("f_id")), "left")
-    linked = linked.withColumn("source_movie_ref", F.col("f_ref")).withColumn("movie_id", F.coalesce("movie_id", "f_movie")).select(*fact.columns)
+    linked = linked.withColumn("source_movie_ref", F.col("f_ref")).withColumn("movie_id", F.coalesce(F.nullif("movie_id", F.lit(0)), "f_movie")).select(*fact.columns)
     return upsert_chart(fact, linked), films, R.dedupe(linked).agg(F.count("*").alias("rows"))
 
 
-def replace_children(old: DataFrame, new: DataFrame, parent: str) -> DataFrame:
-    """All rows of the parents that ``new`` has give way to its rows."""
-    return old.join(new.select(parent).distinct(), parent, "left_anti").unionByName(new)
+def replace_children(old: DataFrame, new: DataFrame, parent: str, parents: DataFrame | None = None) -> DataFrame:
+    """All rows of the ``parents`` (of those that ``new`` has, if none are given) give way to the rows of ``new``; a
+    parent without new rows is cleared."""
+    gone = new.select(parent) if parents is None else parents.select(parent)
+    return old.join(gone.distinct(), parent, "left_anti").select(*old.columns).unionByName(new)
 
 
 def propagate_match(fact: DataFrame, films: DataFrame) -> DataFrame:

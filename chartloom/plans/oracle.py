@@ -134,6 +134,28 @@ WITH places AS (
 
 PER_SCREEN = "CASE WHEN screen_count > 0 THEN (2 * weekly_gross + screen_count) // (2 * screen_count) END"
 
+#: Films that variants of a title find: by a word that is not frequent, or by all words where all are.
+SEARCH = r""", t AS (SELECT films.title || CASE WHEN films.id % 5 = 1 THEN ' - the return' ELSE '' END AS title, min(week_start) AS week_start FROM films JOIN fact ON source_movie_ref = films.id GROUP BY 1),
+      tried AS (SELECT title, unnest([0, 1, 2]) AS variant, unnest([trim(title), trim(regexp_replace(trim(title), '^\.+', '')), trim(regexp_replace(trim(title), '(\s+-\s+|:\s+).*$', ''))]) AS q FROM t),
+      spelt AS (SELECT title, row_number() OVER (PARTITION BY title ORDER BY variant) - 1 AS variant, q FROM (SELECT title, min(variant) AS variant, q FROM tried GROUP BY title, q)),
+      asked AS (SELECT DISTINCT title, variant, unnest(regexp_extract_all(lower(strip_accents(q)), '[a-z0-9]+')) AS word FROM spelt),
+      called AS (SELECT DISTINCT id, unnest(regexp_extract_all(lower(strip_accents(title || ' ' || original_title)), '[a-z0-9]+')) AS word FROM movies),
+      often AS (SELECT word FROM called GROUP BY word HAVING count(*) > 20 AND count(*) > 0.02 * (SELECT count(*) FROM movies)),
+      hits AS (SELECT title, variant, id, word IN (SELECT word FROM often) AS frequent FROM asked JOIN called USING (word)),
+      sizes AS (SELECT title, variant, count(*) AS n, bool_and(word IN (SELECT word FROM often)) AS all_frequent FROM asked GROUP BY 1, 2),
+      found AS (SELECT title, id, min(variant) AS variant FROM (
+        SELECT title, variant, id FROM hits JOIN sizes USING (title, variant) GROUP BY 1, 2, 3 HAVING bool_or(NOT frequent) OR (bool_and(all_frequent) AND count(*) = max(n))) GROUP BY 1, 2)
+      """
+
+#: Decisions about the films that wait, by fresh candidates; those with an id that 13 divides have no title.
+RESOLVE = """, fresh AS (SELECT *, row_number() OVER (PARTITION BY source_movie_id ORDER BY score DESC, coalesce(popularity, 0) DESC, seq) AS place
+        FROM (SELECT source_movie_id, movie_id, 300 + score * 7 % 700 AS score, popularity, seq FROM candidates WHERE seq < 2)),
+      waiting AS (SELECT id FROM films WHERE match_status IN ('unmatched', 'needs_review') AND match_method IS DISTINCT FROM 'manual'),
+      best AS (SELECT source_movie_id, max(score) FILTER (place = 1) AS best, max(score) FILTER (place = 2) AS second, max(movie_id) FILTER (place = 1) AS best_id FROM fresh GROUP BY 1),
+      done AS (SELECT id AS ref, best, best_id, CASE WHEN best IS NULL THEN 'no_match' WHEN best / 1000.0::double >= 0.85::double AND best / 1000.0::double - coalesce(second, 0) / 1000.0::double >= 0.10::double THEN 'auto'
+        WHEN best / 1000.0::double >= 0.55::double THEN 'needs_review' ELSE 'no_match' END AS status FROM waiting LEFT JOIN best ON source_movie_id = id WHERE id % 13 <> 0)
+      """
+
 SQL = {
     "weekly_trend": "SELECT territory, week_start, sum(weekly_gross)::bigint AS total_gross, count(*) AS titles FROM fact GROUP BY 1, 2 QUALIFY row_number() OVER (PARTITION BY territory ORDER BY week_start DESC) <= 8",
     "latest_week": "SELECT * FROM last",
@@ -205,7 +227,7 @@ SQL = {
       SELECT source_movie_id, coalesce(n.title, o.title) AS title, coalesce(n.source_url, o.source_url) AS source_url, coalesce(o.match_status, n.match_status) AS match_status FROM o FULL JOIN n USING (source_movie_id)""",
     "upsert_movies": """SELECT id, coalesce(n.title, o.title) AS title, coalesce(n.popularity, o.popularity) AS popularity FROM (SELECT * FROM movies WHERE id % 3 > 0) o FULL JOIN (SELECT id, title, popularity + 1 AS popularity FROM movies WHERE id % 3 < 2) n USING (id)""",
     "insert_absent": "SELECT id, CASE WHEN id % 3 > 0 THEN popularity ELSE 0 END AS popularity FROM movies",
-    "replace_candidates": "SELECT source_movie_id, movie_id, CASE WHEN source_movie_id % 4 = 0 THEN score + 1 ELSE score END AS score FROM candidates",
+    "replace_candidates": "SELECT source_movie_id, movie_id, CASE WHEN source_movie_id % 4 = 0 THEN score + 1 ELSE score END AS score FROM candidates WHERE source_movie_id % 4 <> 1",
     "propagate_match": """SELECT fact.id, CASE WHEN c THEN f.movie_id ELSE fact.movie_id END AS movie_id, c AS changed
       FROM (SELECT fact.*, f.id IS NOT NULL AND fact.movie_id IS DISTINCT FROM f.movie_id AS c FROM fact LEFT JOIN (SELECT * FROM films WHERE match_status IN ('auto', 'manual')) f ON f.id = source_movie_ref) fact LEFT JOIN films f ON f.id = source_movie_ref""",
     "manual_override": """SELECT id, CASE WHEN h THEN CASE WHEN id % 4 = 3 THEN id + 1 END ELSE movie_id END AS movie_id, CASE WHEN h THEN CASE WHEN id % 4 = 3 THEN 'manual' ELSE 'no_match' END ELSE match_status END AS match_status,
@@ -238,12 +260,31 @@ SQL = {
         FROM (SELECT territory, week_start, sum(weekly_gross)::bigint AS gross, count(*) AS titles FROM fact GROUP BY 1, 2 QUALIFY row_number() OVER (PARTITION BY territory ORDER BY week_start DESC) <= 8) GROUP BY 1) USING (territory)
       JOIN (SELECT territory, string_agg('{"rank":' || rank || ',"title":"' || title || '"' || coalesce(',"weekly_gross":' || weekly_gross, '') || coalesce(',"screen_count":' || screen_count, '') || '}', ',' ORDER BY rank, title) AS top
         FROM (SELECT * FROM latest QUALIFY row_number() OVER (PARTITION BY territory ORDER BY rank, id) <= 5) GROUP BY 1) USING (territory))""",
-    "match_search": r""", t AS (SELECT title || CASE WHEN id % 5 = 1 THEN ' - the return' ELSE '' END AS title FROM films WHERE id IN (SELECT source_movie_ref FROM fact) GROUP BY 1),
-      v AS (SELECT title, unnest([0, 1, 2]) AS variant, unnest([trim(title), trim(regexp_replace(trim(title), '^\.+', '')), trim(regexp_replace(trim(title), '(\s+-\s+|:\s+).*$', ''))]) AS q FROM t),
-      w AS (SELECT title, row_number() OVER (PARTITION BY title ORDER BY variant) - 1 AS variant, q FROM (SELECT title, min(variant) AS variant, q FROM v GROUP BY title, q)),
-      words AS (SELECT DISTINCT title, variant, unnest(regexp_extract_all(lower(strip_accents(q)), '[a-z0-9]+')) AS word FROM w),
-      called AS (SELECT DISTINCT id, unnest(regexp_extract_all(lower(strip_accents(title || ' ' || original_title)), '[a-z0-9]+')) AS word FROM movies)
-      SELECT title, id, min(variant)::bigint AS variant FROM words JOIN called USING (word) GROUP BY 1, 2""",
+    "match_search": SEARCH + """SELECT title, id, variant::bigint AS variant FROM found""",
+    "title_similarity": SEARCH + """, x AS (SELECT found.title, movies.title AS movie_title, array_to_string(regexp_extract_all(lower(strip_accents(found.title)), '[a-z0-9]+'), ' ') AS a, array_to_string(regexp_extract_all(lower(strip_accents(movies.title)), '[a-z0-9]+'), ' ') AS b FROM found JOIN movies USING (id)),
+      y AS (SELECT *, regexp_replace(a, '^(?:(?:il|lo|la|i|gli|le|l|un|una|the|a|an) )+(.)', '\\1') AS c, regexp_replace(b, '^(?:(?:il|lo|la|i|gli|le|l|un|una|the|a|an) )+(.)', '\\1') AS e FROM x),
+      z AS (SELECT *, CASE WHEN length(e) < length(c) THEN e ELSE c END AS s, CASE WHEN length(e) < length(c) THEN c ELSE e END AS g,
+        list_sum(list_transform(string_split('abcdefghijklmnopqrstuvwxyz0123456789 ', ''), lambda k: least(length(a) - length(replace(a, k, '')), length(b) - length(replace(b, k, ''))))) AS n,
+        list_sum(list_transform(string_split('abcdefghijklmnopqrstuvwxyz0123456789 ', ''), lambda k: least(length(c) - length(replace(c, k, '')), length(e) - length(replace(e, k, ''))))) AS m FROM y),
+      w AS (SELECT *, CASE WHEN contains(s, ' ') AND starts_with(g || ' ', s || ' ') THEN CASE WHEN length(e) < length(c) THEN 0.88 ELSE 0.78 END ELSE 0 END::double AS t FROM z),
+      v AS (SELECT title, movie_title, CASE WHEN a = '' OR b = '' THEN 0::double WHEN a = b THEN 1::double WHEN c = e THEN 0.97::double END AS k, t, greatest(2 * n / (length(a) + length(b)), 2 * m / (length(c) + length(e)), t) AS u FROM w)
+      SELECT title, movie_title, CASE WHEN coalesce(k, t) = coalesce(k, u) THEN round(coalesce(k, t), 9) END AS score, round(coalesce(k, t), 9) AS least, round(coalesce(k, u), 9) AS most FROM v""",
+    "score_parts": SEARCH + """, x AS (SELECT found.title, id, min(week_start) OVER (PARTITION BY found.title) AS estimated, release_date, popularity, movies.title AS p, original_title AS q FROM found JOIN t USING (title) JOIN movies USING (id)),
+      y AS (SELECT title, id, estimated - release_date AS d, popularity, list_transform([title, p, q], lambda v: array_to_string(regexp_extract_all(lower(strip_accents(v)), '[a-z0-9]+'), ' ')) AS k FROM x),
+      z AS (SELECT *, list_transform(k, lambda v: regexp_replace(v, '^(?:(?:il|lo|la|i|gli|le|l|un|una|the|a|an) )+(.)', '\\1')) AS b FROM y),
+      w AS (SELECT title, id, CASE WHEN k[1] IN (k[2], k[3]) THEN 1 WHEN b[1] IN (b[2], b[3]) THEN 0.97 END::double AS tier,
+        CASE WHEN d IS NULL THEN 0.4 WHEN d BETWEEN -21 AND 150 THEN 1 WHEN d > 150 AND d <= 450 THEN 1 - 0.8::double * (d - 150) / 300 WHEN d >= -90 AND d < -21 THEN 1 - (-21 - d) / 69.0::double ELSE 0 END::double AS date_part,
+        CASE WHEN popularity > 0 THEN least(1.0, log10(1 + popularity) / 3) ELSE 0 END::double AS popularity_part FROM z)
+      SELECT title, id, tier, round(date_part, 9) AS date_part, round(popularity_part, 9) AS popularity_part, round(0.70::double * tier + 0.25::double * date_part + 0.05::double * popularity_part, 9) AS exact_score FROM w""",
+    "resolve_films": RESOLVE + """SELECT id, CASE WHEN status IS NOT NULL THEN CASE WHEN status = 'auto' THEN best_id END ELSE movie_id END AS movie_id, coalesce(status, match_status) AS match_status,
+      CASE WHEN status IS NOT NULL THEN 'catalogue_search' ELSE match_method END AS match_method, CASE WHEN status IS NOT NULL THEN best ELSE match_confidence END AS match_confidence FROM films LEFT JOIN done ON ref = id""",
+    "resolve_rows": RESOLVE + """SELECT id, CASE WHEN status IS NOT NULL THEN CASE WHEN status = 'auto' THEN best_id END ELSE movie_id END AS movie_id FROM fact LEFT JOIN done ON ref = source_movie_ref""",
+    "resolve_movies": RESOLVE + """, n AS (SELECT id * 10 AS id, title, popularity FROM movies WHERE id * 10 IN (SELECT best_id FROM done WHERE status = 'auto'))
+      SELECT id, coalesce(n.title, m.title) AS title, coalesce(n.popularity, m.popularity) AS popularity FROM movies m FULL JOIN n USING (id)""",
+    "resolve_candidates": RESOLVE + """SELECT source_movie_id, movie_id, score, seq FROM candidates WHERE source_movie_id NOT IN (SELECT ref FROM done)
+      UNION ALL SELECT source_movie_id, movie_id, score, seq FROM fresh JOIN done ON ref = source_movie_id WHERE status <> 'auto' AND place <= 5""",
+    "resolve_pending": RESOLVE + """SELECT count(*) FILTER (status = 'auto') AS auto, count(*) FILTER (status = 'needs_review') AS needs_review, count(*) FILTER (status = 'no_match') AS no_match,
+      (SELECT count(*) FROM waiting WHERE id % 13 = 0) AS errors, (SELECT count(*) FROM waiting) AS total FROM done""",
     "normalize_records": "SELECT id, 'box' AS source_name, 'IT' AS territory, title, title_key FROM fact",
     "title_key": "SELECT id, CASE WHEN id % 9 <> 0 THEN title_key ELSE '' END AS title_key FROM films",
     "genres_join": "SELECT p_partkey, concat_ws(', ', p_type, CASE WHEN p_size % 2 = 0 THEN p_brand END) AS genres FROM part",

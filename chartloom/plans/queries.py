@@ -357,7 +357,8 @@ def insert_absent(spark, d):
 @query
 def replace_candidates(spark, d):
     c = dataset.candidates(spark, d).select("source_movie_id", "movie_id", "score")
-    return merge.replace_children(c, c.filter("source_movie_id % 4 = 0").withColumn("score", F.col("score") + 1), "source_movie_id")
+    parents = c.filter("source_movie_id % 4 < 2").select("source_movie_id")  # those with the remainder 1 get none
+    return merge.replace_children(c, c.filter("source_movie_id % 4 = 0").withColumn("score", F.col("score") + 1), "source_movie_id", parents)
 
 
 @query
@@ -602,10 +603,21 @@ def _titles(spark: SparkSession, d: str) -> DataFrame:
     return f.join(first, "id").groupBy("title").agg(F.min("estimated").alias("estimated"))
 
 
+def _found(spark: SparkSession, d: str) -> DataFrame:
+    """Titles with the films that a search finds, once for each title."""
+    t = _titles(spark, d)
+    return matching.search(t, movies(spark, d)).join(t, "title").withColumn("ref", F.col("title"))
+
+
 @query
 def title_similarity(spark, d):
-    found = matching.search(_titles(spark, d), movies(spark, d)).join(movies(spark, d).select("id", F.col("title").alias("movie_title")), "id")
-    return found.select("title", "movie_title", T.title_similarity("title", "movie_title").alias("score"))
+    """The similarity wherever the forms of two names decide it, and how many of the other pairs a bound rules out."""
+    named = movies(spark, d).select("id", F.col("title").alias("movie_title"))
+    pairs = _found(spark, d).join(named, "id").withColumn("a", T.normalise_title("title")).withColumn("b", T.normalise_title("movie_title"))
+    pairs = pairs.select("title", "movie_title", T.title_forms(F.col("a")).alias("a"), T.title_forms(F.col("b")).alias("b"))
+    least, most = T.similarity_bounds(F.col("a"), F.col("b"))
+    score = F.when(least == most, F.round(least, 9))
+    return pairs.select("title", "movie_title", score.alias("score"), F.round(least, 9).alias("least"), F.round(most, 9).alias("most"))
 
 
 @query
@@ -615,16 +627,77 @@ def match_search(spark, d):
 
 @query
 def score_candidates(spark, d):
-    found = matching.search(_titles(spark, d), movies(spark, d)).join(_titles(spark, d), "title")
-    return matching.scored(found, movies(spark, d)).select("title", "id", "title_score", "date_score", "score")
+    return matching.scored(_found(spark, d), movies(spark, d)).select("title", "id", "title_score", "date_score", "score")
 
 
 @query
-def match_two_pass(spark, d):
+def score_parts(spark, d):
+    """What SQL can check of a candidate's score: the date and popularity parts, and the title's where it is not a ratio."""
+    rows = matching.scored(_found(spark, d), movies(spark, d))
+    rows = rows.withColumn("tier", F.when(F.col("title_part").isin(1.0, T.SAME_BUT_ARTICLES), F.col("title_part")))
+    exact = F.when(F.col("tier").isNotNull(), S.total_score(F.col("tier"), F.col("date_part"), F.col("popularity_part")))
+    return rows.select("title", "id", "tier", F.round("date_part", 9).alias("date_part"), F.round("popularity_part", 9).alias("popularity_part"), F.round(exact, 9).alias("exact_score"))
+
+
+def _local(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The catalogue, other names of some of its films, and own dates of some."""
     m = movies(spark, d)
     alternatives = m.filter("id % 2 = 0").select("id", F.concat("title", F.lit(" - the return")).alias("name"))
-    dates = m.filter("id % 3 = 0").select("id", F.array("release_date", F.date_add("release_date", 30)).alias("dates"))
-    return matching.two_pass(_titles(spark, d), m, alternatives, dates)
+    return m, alternatives, m.filter("id % 3 = 0").select("id", F.array("release_date", F.date_add("release_date", 30)).alias("dates"))
+
+
+@query
+def match_two_pass(spark, d):
+    return matching.two_pass(_titles(spark, d), *_local(spark, d))
+
+
+def _resolution(spark: SparkSession, d: str) -> tuple[DataFrame, ...]:
+    """What decisions about the films that wait for one change: some have no title, and some no candidates."""
+    f, m, stored = films(spark, d), movies(spark, d), dataset.candidates(spark, d)
+    waiting = R.pending_matches(f, fact(spark, d), ("unmatched", "needs_review")).select(F.col("id").alias("ref"), F.when(F.col("id") % 13 != 0, F.col("title")).alias("title"))
+    fresh = stored.filter("seq < 2").withColumn("score", 300 + F.col("score") * 7 % 700)
+    fresh = R.rank_candidates(fresh)
+    best = matching.decide(fresh).select(F.col("source_movie_id").alias("ref"), "movie_id", F.col("best").alias("score"), "status")
+    rows = waiting.join(best, "ref", "left").withColumn("error", F.when(F.col("title").isNull(), "the film has no title"))
+    known = F.col("error").isNull()
+    status = F.when(known, F.coalesce("status", F.lit("no_match")))
+    decisions = rows.select("ref", status.alias("status"), F.when(status == "auto", F.col("movie_id")).alias("movie_id"), F.when(known, F.col("score")).alias("score"), "error")
+    details = m.select((F.col("id") * 10).alias("id"), *[c for c in m.columns if c != "id"])
+    return (*matching.persist(f, fact(spark, d), m, stored, fresh, decisions, details), matching.resolved(decisions))
+
+
+@query
+def resolve_films(spark, d):
+    return _resolution(spark, d)[0].select("id", "movie_id", "match_status", "match_method", "match_confidence")
+
+
+@query
+def resolve_rows(spark, d):
+    return _resolution(spark, d)[1].select("id", "movie_id")
+
+
+@query
+def resolve_movies(spark, d):
+    return _resolution(spark, d)[2].select("id", "title", "popularity")
+
+
+@query
+def resolve_candidates(spark, d):
+    return _resolution(spark, d)[3].select("source_movie_id", "movie_id", "score", "seq")
+
+
+@query
+def resolve_pending(spark, d):
+    return _resolution(spark, d)[4]
+
+
+@query
+def resolve_titles(spark, d):
+    """The whole way from titles that wait to the films' new state, with scores by titles, dates and popularity."""
+    m, alternatives, dates = _local(spark, d)
+    f = films(spark, d).withColumn("title", F.when(F.col("id") % 13 != 0, F.concat("title", F.when(F.col("id") % 5 == 1, " - the return").otherwise(""))))
+    state = matching.resolve_pending(f, fact(spark, d), m, dataset.candidates(spark, d), alternatives, dates, ("unmatched", "needs_review"))
+    return state[0].select("id", "movie_id", "match_status", "match_method", "match_confidence")
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
