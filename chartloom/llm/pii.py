@@ -44,17 +44,24 @@ def _pieces(text: Column, pattern: str) -> Column:
     return F.arrays_zip(F.split(text, pattern, -1).alias("gap"), F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("found"))
 
 
-def _placed(pieces: Column, kind: int) -> Column:
-    """(start, kind, end, found) of each piece that has a match."""
-    empty = F.array().cast("array<struct<start:int,kind:int,end:int,found:string>>")
+def _sums(lengths: Column) -> Column:
+    """Running sums of an array, in a pass for each bit of its size: in pass k every entry takes in the one 2**k before."""
+    passes = F.sequence(F.lit(0), F.length(F.bin(F.size(lengths))) - 1)
+
+    def step(sums: Column, k: Column) -> Column:
+        back = F.call_function("shiftleft", F.lit(1), k)
+        return F.transform(sums, lambda v, i: v + F.coalesce(F.get(sums, i - back), F.lit(0)))
 
-    def step(a: Column, p: Column) -> Column:
-        start = a["at"] + F.length(p["gap"])
-        end = start + F.coalesce(F.length(p["found"]), F.lit(0))
-        one = F.array(F.struct(start.alias("start"), F.lit(kind).alias("kind"), end.alias("end"), p["found"].alias("found")))
-        return F.struct(end.alias("at"), F.when(p["found"].isNull(), a["out"]).otherwise(F.concat(a["out"], one)).alias("out"))
+    return F.aggregate(passes, lengths, step)
 
-    return F.aggregate(pieces, F.struct(F.lit(0).alias("at"), empty.alias("out")), step, lambda a: a["out"])
+
+def _placed(pieces: Column, kind: int) -> Column:
+    """(start, kind, end, found) of each piece that has a match."""
+    size = lambda p, c: F.coalesce(F.length(p[c]), F.lit(0))
+    ends = _sums(F.transform(pieces, lambda p: size(p, "gap") + size(p, "found")))
+    some = F.filter(F.arrays_zip(pieces.alias("piece"), ends.alias("end")), lambda x: x["piece"]["found"].isNotNull())
+    span = lambda x: F.struct((x["end"] - size(x["piece"], "found")).alias("start"), F.lit(kind).alias("kind"), x["end"].alias("end"), x["piece"]["found"].alias("found"))
+    return F.transform(some, span)
 
 
 def _digits(found: Column) -> Column:
@@ -108,11 +115,16 @@ def base_spans(docs: DataFrame) -> DataFrame:
 
 def _terms(rows: DataFrame) -> DataFrame:
     """(key, start, end, term) of the words outside the base spans of rows (key, text, base)."""
-    every = rows.select("key", "base", F.posexplode(_pieces(F.col("text"), TERM)).alias("pos", "piece")).filter("piece.found is not null")
-    end = F.sum(F.length("piece.gap") + F.length("piece.found")).over(Window.partitionBy("key").orderBy("pos")).cast("int")
-    every = every.withColumn("end", end).withColumn("start", F.col("end") - F.length("piece.found"))
-    free = every.filter(~F.exists("base", lambda s: (s["start"] < F.col("end")) & (s["end"] > F.col("start"))))
-    return free.select("key", "start", "end", F.lower("piece.found").alias("term"))
+    every = rows.withColumn("pieces", _pieces(F.col("text"), TERM)).select("key", F.explode(_placed(F.col("pieces"), 4)).alias("x"))
+    every = every.select("key", "x.start", "x.end", F.lower("x.found").alias("term"))
+    every = every.unionByName(rows.select("key", F.explode("base").alias("x")).select("key", "x.start", "x.end", F.lit(None).cast("string").alias("term")))
+    rows_ = Window.partitionBy("key")
+    order, back = rows_.orderBy("start", F.col("term").asc_nulls_first(), "end"), rows_.orderBy(F.desc("start"), F.col("term").desc_nulls_last(), F.desc("end"))
+    base = lambda c: F.when(F.col("term").isNull(), F.col(c))
+    last = F.max(base("end")).over(order.rowsBetween(Window.unboundedPreceding, 0))
+    next_ = F.min(base("start")).over(back.rowsBetween(Window.unboundedPreceding, 0))
+    free = every.withColumn("last", last).withColumn("next", next_).filter("term is not null")
+    return free.filter((F.coalesce("last", F.lit(0)) <= F.col("start")) & (F.col("next").isNull() | (F.col("next") >= F.col("end")))).drop("last", "next")
 
 
 def _counted(docs: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -164,7 +176,8 @@ def personal_data(docs: DataFrame) -> DataFrame:
     """Per row of ``docs``: doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans, n_term.
 
     A null text is empty; a null ``doc_id`` stays null; rows that are equal in doc_id and text get the
-    same result, and each counts as a document; an empty table gives none.
+    same result, and each counts as a document; an empty table gives none. Spans that start together go by kind.
+    The work on a very long text grows with its matches and the logarithm of their number. Other columns are not read.
     """
     held, added = _spans(docs, Stash(docs.sparkSession, "personal-data"))
     rows = _every(held.drop("text", "entities"), added)

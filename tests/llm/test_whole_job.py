@@ -141,3 +141,21 @@ def test_one_row_of_each_group_stays(spark, odd, rows):
             assert not Counter(kept) - Counter(have) and sum(not shingle_set(t, k) for _, t in kept) == bare
             assert len(kept) == len(stay) + bare
             assert all(sum(i == low and shingle_set(t, k) in group for i, t in kept) == 1 for low, group in stay)
+
+
+def test_a_long_text_of_numbers(spark):
+    """A megabyte of numbers, most of them addresses, is placed in a time that does not grow with its square."""
+    import time
+
+    draw = random.Random(12)
+    text = " ".join(f"{draw.randint(0, 400)}.{draw.randint(0, 255)}.{draw.randint(0, 255)}.{draw.randint(0, 255)} {draw.randint(0, 9)} word" for _ in range(48_000))
+    assert len(text) > 1_000_000
+    want = [(m.start(), 1, m.end()) for m in re.finditer(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", text) if all(int(x) <= 255 for x in m[0].split("."))]
+    df = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    pii.base_spans(df.limit(0)).collect()
+    began = time.time()
+    spans = pii.base_spans(df).first()["base"]
+    assert [(s["start"], s["kind"], s["end"]) for s in spans if s["kind"] == 1] == want
+    terms = pii._terms(pii.base_spans(df)).groupBy("term").count().collect()
+    assert {r["term"]: r["count"] for r in terms}["word"] == 48_000
+    assert time.time() - began < 40
