@@ -28,8 +28,8 @@ from pyspark.sql.window import Window
 from .common import BITMAP_BITS, Stash, column, mix, short
 
 SUPPORT, LONGEST, SHARE, TOP = 30, 4, 80, 2000
-#: Positions of a shard; set positions of the bitmaps that are extended at a time.
-SHARD, BLOCK = 1 << 22, 1 << 19
+#: Positions of a shard; set positions of the bitmaps that are extended at a time; phrases whose counts a task holds.
+SHARD, BLOCK, PHRASES = 1 << 22, 1 << 19, 1 << 20
 #: Hashes are dealt by their highest bits; bits of the filter for each frequent hash, and at least and at most (128 MB).
 BUCKET_BITS, FILTER_BITS, LEAST_FILTER, MOST_FILTER = 16, 32, 1 << 20, 1 << 30
 #: Hashes that are merged at a time.
@@ -168,22 +168,27 @@ def _frequent(counted: DataFrame) -> DataFrame:
 
 
 class Filter:
-    """Bits of hashes in a fixed size: every hash that was put in passes, others seldom."""
+    """Two bits of each hash in a fixed size: every hash that was put in passes, others seldom."""
 
     def __init__(self, bits: np.ndarray):
         self.bits, self.mask = bits, np.uint64(8 * len(bits) - 1)
 
-    def __call__(self, hashes: np.ndarray) -> np.ndarray:
-        at = hashes & self.mask
+    def _set(self, at: np.ndarray) -> np.ndarray:
         return (self.bits[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 == 1
 
+    def __call__(self, hashes: np.ndarray) -> np.ndarray:
+        ok = self._set(hashes & self.mask)
+        ok[ok] = self._set((hashes[ok] >> np.uint64(32)) & self.mask)
+        return ok
+
 
 def _filter(keys: DataFrame):
     """A broadcast filter of the keys: 32 bits for each, 128 MB at most, where it is fuller only."""
     wanted = FILTER_BITS * keys.count()
     size = min(max(1 << (wanted - 1).bit_length() if wanted else 0, LEAST_FILTER), MOST_FILTER)
-    place = F.col("key").bitwiseAND(F.lit(size - 1))
-    rows = keys.groupBy(F.floor(place / BITMAP_BITS).alias("at")).agg(F.bitmap_construct_agg(place % BITMAP_BITS).alias("bits")).collect()
+    places = F.array(*[F.shiftrightunsigned("key", n).bitwiseAND(F.lit(size - 1)) for n in (0, 32)])
+    place = F.col("place")
+    rows = keys.select(F.explode(places).alias("place")).groupBy(F.floor(place / BITMAP_BITS).alias("at")).agg(F.bitmap_construct_agg(place % BITMAP_BITS).alias("bits")).collect()
     bits = np.zeros(size // 8, np.uint8)
     for r in rows:
         part = np.frombuffer(r["bits"], np.uint8)
@@ -285,9 +290,20 @@ def phrase_counts(docs: DataFrame, bits) -> DataFrame:
     """(lang, phrase, f): occurrences in all documents of what passes the filter; the phrase null: all words."""
 
     def run(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        passes = Filter(bits.value)
+        passes, held, n = Filter(bits.value), [], 0
+
+        def summed() -> list[pa.RecordBatch]:
+            return pa.Table.from_batches(held).group_by(["lang", "phrase"]).aggregate([("f", "sum")]).rename_columns(COUNTS.names).to_batches(max_chunksize=100_000)
+
         for shard in shards(source):
-            yield from grown(shard, passes)
+            for found in grown(shard, passes):
+                held.append(found)
+                n += found.num_rows
+            if n >= PHRASES:
+                yield from summed()
+                held, n = [], 0
+        if held:
+            yield from summed()
 
     counts = _texts(docs).mapInArrow(run, "lang string, phrase binary, f long")
     return counts.groupBy("lang", F.col("phrase").cast("string").alias("phrase")).agg(F.sum("f").alias("f"))

@@ -94,5 +94,6 @@ def test_filter_and_packed_hashes():
     assert all(b == k >> 48 for b, ks in zip(batch.column("bucket").to_pylist(), batch.column("keys").to_pylist(), strict=True) for k in np.frombuffer(ks, np.uint64).tolist())
     bits = np.zeros(1 << 10, np.uint8)
     for k in keys.tolist():
-        bits[(k & 8191) >> 3] |= 1 << (k & 7)
+        for at in (k & 8191, k >> 32 & 8191):
+            bits[at >> 3] |= 1 << (at & 7)
     assert Filter(bits)(keys).all()
