@@ -26,10 +26,21 @@ def upsert(old: DataFrame, new: DataFrame, keys: tuple[str, ...], overwrite: tup
     return joined.select(*[value(c).alias(c) for c in old.columns])
 
 
+#: What a load changes in every row that it writes; ``created_at`` stays as the first one has set it.
+STAMPS = ("ingestion_run_id", "updated_at")
+
+
+def stamped(batch: DataFrame, columns: list[str], run_id: int | None, at: int | None) -> DataFrame:
+    """The batch with the run and the time (microseconds) of its load, where the table has columns for them."""
+    values = {"ingestion_run_id": run_id, "created_at": at, "updated_at": at}
+    return batch.withColumns({c: F.lit(v).cast("long") for c, v in values.items() if c in columns})
+
+
 def upsert_chart(old: DataFrame, batch: DataFrame) -> DataFrame:
     """A batch of chart rows, one for each natural key, over the fact table. Links are never taken away."""
+    stamps = tuple(c for c in STAMPS if c in old.columns)
     return upsert(
-        old, R.dedupe(batch), R.KEY, ("week_end", "rank", "title", "distributor", "weekly_gross", "total_gross", "screen_count", "weeks_in_release"), ("movie_id", "source_movie_ref")
+        old, R.dedupe(batch), R.KEY, (*stamps, "week_end", "rank", "title", "distributor", "weekly_gross", "total_gross", "screen_count", "weeks_in_release"), ("movie_id", "source_movie_ref")
     )
 
 
@@ -48,8 +59,8 @@ def insert_absent(old: DataFrame, new: DataFrame, keys: tuple[str, ...]) -> Data
     return old.unionByName(new.dropDuplicates(list(keys)).join(old, list(keys), "left_anti").select(*old.columns))
 
 
-def load_batch(fact: DataFrame, films: DataFrame, batch: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """The fact, the films and (rows) after a batch of records with source_movie_id and source_url.
+def load_batch(fact: DataFrame, films: DataFrame, batch: DataFrame, run_id: int | None = None, at: int | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The fact, the films and (rows) after a batch of records with source_movie_id and source_url, by a run at a time.
 
     Films of the batch are added or renamed first. Each record then takes its film's id, and the film's movie
     where it brings none (or 0) of its own; a record without source_movie_id is stored without film.
@@ -60,7 +71,7 @@ def load_batch(fact: DataFrame, films: DataFrame, batch: DataFrame) -> tuple[Dat
     films = upsert_films(films, named.select("*", *absent).select(*films.columns, "seq"))
     known = films.select(F.col("source_name").alias("f_source"), F.col("source_movie_id").alias("f_id"), F.col("id").alias("f_ref"), F.col("movie_id").alias("f_movie"))
     linked = batch.join(known, (F.col("source_name") == F.col("f_source")) & (F.col("source_movie_id") == F.col("f_id")), "left")
-    linked = linked.withColumn("source_movie_ref", F.col("f_ref")).withColumn("movie_id", F.coalesce(F.nullif("movie_id", F.lit(0)), "f_movie")).select(*fact.columns)
+    linked = stamped(linked, fact.columns, run_id, at).withColumn("source_movie_ref", F.col("f_ref")).withColumn("movie_id", F.coalesce(F.nullif("movie_id", F.lit(0)), "f_movie")).select(*fact.columns)
     return upsert_chart(fact, linked), films, R.dedupe(linked).agg(F.count("*").alias("rows"))
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from ..scratch import Scratch
 from . import relational as R
 from .calendar import missing_weeks
 
@@ -17,9 +18,13 @@ LEAST_ROWS, MOST_ROWS = 10, 20
 
 def anomalies(fact: DataFrame, weeks: int = 3) -> DataFrame:
     """Rows of the last weeks of a chart that gross more than the row above, or more than their total."""
-    recent = fact.join(R.latest_week(fact).withColumnRenamed("week_start", "last"), list(R.CHART)).filter(F.col("week_start") >= F.date_sub("last", 7 * weeks))
     above = F.lag("weekly_gross").over(Window.partitionBy(*R.CHART, "week_start").orderBy("rank", "id"))
-    return recent.withColumn("above", above).filter("weekly_gross > above or total_gross < weekly_gross").drop("last")
+    odd = fact.withColumn("above", above).withColumn("odd", (F.col("weekly_gross") > F.col("above")) | (F.col("total_gross") < F.col("weekly_gross")))
+    # of a week only odd rows are needed, and that it is there
+    week = Window.partitionBy(*R.CHART, "week_start").orderBy("rank", "id")
+    odd = odd.withColumn("first", F.row_number().over(week) == 1).filter("odd or first")
+    last = F.max("week_start").over(Window.partitionBy(*R.CHART))
+    return odd.withColumn("last", last).filter(F.col("odd") & (F.col("week_start") >= F.date_sub("last", 7 * weeks))).drop("last", "odd", "first")
 
 
 def order_violations(fact: DataFrame) -> DataFrame:
@@ -131,16 +136,72 @@ def integrity(fact: DataFrame, films: DataFrame) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
-def health_report(fact: DataFrame, films: DataFrame, runs: DataFrame, as_of_run: Column, as_of_day: Column) -> DataFrame:
-    """(seq, name, level): the nine checks in order."""
-    level = lambda name, df: df.select(F.lit(name).alias("name"), "level")
-    odd = anomalies(fact).agg(F.count("*").alias("n"))
+def _shapes(fact: DataFrame, films: DataFrame) -> DataFrame:
+    """A row for each chart week, with what the checks of the fact need of it, from one pass over the rows: rows, rows
+    with a movie, rows without film, links that are not their film's, odd rows."""
+    above = F.lag("weekly_gross").over(Window.partitionBy(*R.CHART, "week_start").orderBy("rank", "id"))
+    film = films.select(F.col("id").alias("source_movie_ref"), F.col("movie_id").alias("film_movie_id"), F.lit(True).alias("known"))
+    rows = fact.withColumn("above", above).join(film, "source_movie_ref", "left")
+    n = lambda c, name: F.count_if(c).alias(name)
+    return rows.groupBy(*R.CHART, "week_start", "title", "movie_id").agg(
+        F.count("*").alias("titles"), n(F.col("movie_id").isNotNull(), "with_movie"), n(F.col("source_movie_ref").isNull(), "unlinked"),
+        n(F.col("known") & ~F.col("movie_id").eqNullSafe(F.col("film_movie_id")), "inconsistent"),
+        n((F.col("weekly_gross") > F.col("above")) | (F.col("total_gross") < F.col("weekly_gross")), "odd"),
+    )
+
+
+#: What a message names at most: missing weeks, titles with several movies.
+WEEKS_NAMED, TITLES_NAMED = 6, 4
+
+
+def health_details(fact: DataFrame, films: DataFrame, runs: DataFrame, as_of_run: Column, as_of_day: Column) -> DataFrame:
+    """(seq, name, level, message): the nine checks in order.
+
+    The fact is read once: its rows are summed by week, title and movie, which is written; weeks and titles are summed
+    from that."""
+    scratch = Scratch(fact.sparkSession, "health")
+    shapes = scratch.keep(_shapes(fact, films), "shapes")
+    sums = ("titles", "with_movie", "unlinked", "inconsistent", "odd")
+    weeks = scratch.keep(shapes.groupBy(*R.CHART, "week_start").agg(*[F.sum(c).alias(c) for c in sums]), "weeks")
+    last = F.max("week_start").over(Window.partitionBy(*R.CHART))
+    latest = F.col("week_start") == F.col("last")
+    dated = weeks.withColumn("last", last)
+    total = lambda c, name: F.coalesce(F.sum(c), F.lit(0)).cast("long").alias(name)
+    facts = dated.agg(
+        total("unlinked", "unlinked"), total("inconsistent", "inconsistent"), total(F.when(F.col("week_start") >= F.date_sub("last", 21), F.col("odd")), "odd"),
+        total(F.when(latest, F.col("titles")), "titles"), total(F.when(latest, F.col("with_movie")), "with_movie"),
+    )
+    newest = dated.filter(latest).select(*R.CHART, F.struct("week_start", "titles").alias("x")).select(*R.CHART, *_week_level(as_of_day))
+    some = lambda c, k: F.concat_ws(", ", F.slice(F.array_sort(F.collect_list(c)), 1, k))
+    gaps = missing_weeks(weeks, 12).groupBy("expected").agg(F.count("*").alias("charts")).agg(total("charts", "n"), some(F.col("expected").cast("string"), WEEKS_NAMED).alias("named"))
+    titles = shapes.filter("movie_id is not null").groupBy("title").agg(F.countDistinct("movie_id").alias("movies")).filter("movies > 1")
+    first = titles.orderBy("title").limit(TITLES_NAMED).agg(some(F.col("title"), TITLES_NAMED)).scalar()
+    counted = titles.agg(F.count("*").alias("n")).withColumn("named", first)
+    waiting = films.agg(F.count_if(F.col("match_status").isin("unmatched", "needs_review")).alias("n"))
+
+    row = lambda seq, name, df, level, message: df.select(F.lit(seq).cast("long").alias("seq"), F.lit(name).alias("name"), level.alias("level"), message.alias("message"))
+    n, text = F.col("n"), lambda *parts: F.concat(*[p.cast("string") if isinstance(p, Column) else F.lit(p) for p in parts])
+    over = lambda c, bad: F.when(c > 0, bad).otherwise(OK)
+    covered = (F.col("titles") > 0) & (100 * F.col("with_movie") >= 85 * F.col("titles"))
     checks = [
-        level("last run", last_run(runs, as_of_run)), level("latest week", worst(latest_week_levels(fact, as_of_day))), level("gaps", gap_level(fact)),
-        *[integrity(fact, films).filter(F.col("name") == name).select("name", "level") for name in ("links", "unlinked", "match queue", "ambiguous titles")],
-        level("coverage", coverage_level(fact)), odd.select(F.lit("anomalies").alias("name"), F.when(F.col("n") > 0, WARN).otherwise(OK).alias("level")),
+        row(1, "last run", last_run(runs, as_of_run), F.col("level"), text("last run: ", F.coalesce("status", F.lit("none")))),
+        row(2, "latest week", worst(newest).withColumn("n", newest.agg(F.coalesce(F.max("age_days"), F.lit(0))).scalar()), F.col("level"), text("the oldest latest week is ", n, " days old")),
+        row(3, "gaps", gaps, over(n, WARN), F.when(n > 0, text(n, " missing: ", F.col("named"))).otherwise("no week is missing")),
+        row(4, "links", facts, over(F.col("inconsistent"), FAIL), text(F.col("inconsistent"), " rows with another movie than their film")),
+        row(5, "unlinked", facts, over(F.col("unlinked"), WARN), text(F.col("unlinked"), " rows without film")),
+        row(6, "match queue", waiting, over(n, WARN), text(n, " films wait")),
+        row(7, "ambiguous titles", counted, over(n, WARN), F.when(n > 0, text(n, " titles with several movies: ", F.col("named"))).otherwise("no title has several movies")),
+        row(8, "coverage", facts, F.when(covered, OK).otherwise(WARN), text(F.col("with_movie"), " of ", F.col("titles"), " rows of the latest weeks have a movie")),
+        row(9, "anomalies", facts, over(F.col("odd"), WARN), text(F.col("odd"), " odd rows in the last weeks")),
     ]
-    return reduce(DataFrame.unionByName, [c.select(F.lit(k).cast("long").alias("seq"), "name", "level") for k, c in enumerate(checks, 1)])
+    report = scratch.keep(reduce(DataFrame.unionByName, checks).coalesce(1), "report")
+    scratch.drop("shapes", "weeks")
+    return report
+
+
+def health_report(fact: DataFrame, films: DataFrame, runs: DataFrame, as_of_run: Column, as_of_day: Column) -> DataFrame:
+    """(seq, name, level): the nine checks in order."""
+    return health_details(fact, films, runs, as_of_run, as_of_day).select("seq", "name", "level")
 
 
 def gate(report: DataFrame) -> DataFrame:

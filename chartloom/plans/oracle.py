@@ -218,6 +218,15 @@ SQL = {
     "health_integrity": "SELECT * FROM checks",
     "health_coverage": "SELECT * FROM coverage",
     "health_report": "SELECT * FROM report",
+    "health_details": """, m AS (
+        SELECT 1 AS seq, 'last run: ' || coalesce(status, 'none') AS message FROM run_level
+        UNION ALL SELECT 2, 'the oldest latest week is ' || coalesce(max(age_days), 0) || ' days old' FROM week_level
+        UNION ALL SELECT 3, CASE WHEN count(*) = 0 THEN 'no week is missing' ELSE count(*) || ' missing: ' || (SELECT string_agg(expected::varchar, ', ' ORDER BY expected) FROM (SELECT DISTINCT expected FROM gaps ORDER BY expected LIMIT 6)) END FROM gaps
+        UNION ALL SELECT 4, n || ' rows with another movie than their film' FROM checks WHERE name = 'links' UNION ALL SELECT 5, n || ' rows without film' FROM checks WHERE name = 'unlinked'
+        UNION ALL SELECT 6, n || ' films wait' FROM checks WHERE name = 'match queue'
+        UNION ALL SELECT 7, CASE WHEN count(*) = 0 THEN 'no title has several movies' ELSE count(*) || ' titles with several movies: ' || (SELECT string_agg(title, ', ' ORDER BY title) FROM (SELECT title FROM ambiguous ORDER BY title LIMIT 4)) END FROM ambiguous
+        UNION ALL SELECT 8, with_movie || ' of ' || titles || ' rows of the latest weeks have a movie' FROM coverage UNION ALL SELECT 9, count(*) || ' odd rows in the last weeks' FROM anomalous)
+      SELECT seq, name, level, message FROM report JOIN m USING (seq)""",
     "export_gate": "SELECT count(*) FILTER (level = 'FAIL') AS failures, count(*) FILTER (level = 'WARN') AS warnings, count(*) FILTER (level = 'FAIL') = 0 AS export FROM report",
     "upsert_weekly": """, old AS (SELECT * FROM deduped WHERE id % 3 <> 0), new AS (SELECT * REPLACE (weekly_gross + 1 AS weekly_gross, CASE WHEN id % 2 = 0 THEN movie_id END AS movie_id) FROM deduped WHERE id % 3 <> 1)
       SELECT coalesce(o.id, n.id) AS id, territory, week_start, title_key, CASE WHEN n.id IS NOT NULL THEN n.rank ELSE o.rank END AS rank, CASE WHEN n.id IS NOT NULL THEN n.weekly_gross ELSE o.weekly_gross END AS weekly_gross,
@@ -247,10 +256,15 @@ SQL = {
     "load_batch": """, o AS (SELECT * FROM deduped WHERE id % 3 <> 0),
       n AS (SELECT *, min(id) OVER (PARTITION BY source_movie_ref) AS first FROM deduped WHERE id % 3 <> 1),
       r AS (SELECT n.id, n.territory, n.week_start, n.title_key, n.weekly_gross + 1 AS weekly_gross, CASE WHEN n.source_movie_ref % 4 = 1 THEN first ELSE n.source_movie_ref END AS source_movie_ref,
-              coalesce(CASE WHEN n.id % 2 = 0 THEN n.movie_id END, CASE WHEN n.source_movie_ref % 4 <> 1 THEN films.movie_id END) AS movie_id FROM n LEFT JOIN films ON films.id = n.source_movie_ref)
+              coalesce(CASE WHEN n.id % 2 = 0 AND n.id % 7 <> 0 THEN n.movie_id END, CASE WHEN n.source_movie_ref % 4 <> 1 THEN films.movie_id END) AS movie_id FROM n LEFT JOIN films ON films.id = n.source_movie_ref)
       SELECT coalesce(o.id, r.id) AS id, territory, week_start, title_key, CASE WHEN r.id IS NULL THEN o.weekly_gross ELSE r.weekly_gross END AS weekly_gross,
-             coalesce(r.movie_id, o.movie_id) AS movie_id, coalesce(r.source_movie_ref, o.source_movie_ref) AS source_movie_ref
+             coalesce(r.movie_id, o.movie_id) AS movie_id, coalesce(r.source_movie_ref, o.source_movie_ref) AS source_movie_ref, CASE WHEN r.id IS NULL THEN 1 ELSE 2 END::bigint AS ingestion_run_id,
+             CASE WHEN o.id IS NULL THEN 200 ELSE 100 END::bigint AS created_at, CASE WHEN r.id IS NULL THEN 100 ELSE 200 END::bigint AS updated_at
       FROM o FULL JOIN r USING (territory, week_start, title_key)""",
+    "load_count": "SELECT count(*) AS rows FROM deduped WHERE id % 3 <> 1",
+    "refused_pages": """SELECT DISTINCT territory, week_start AS page_week, ((rank - 1) // 99)::bigint AS part,
+      CASE dayofyear(week_start) % 4 WHEN 1 THEN 'the page names no week' WHEN 2 THEN 'the page has no entry' ELSE 'the page is of the week ' || week_start || '..' || week_end || ', which has no ' || (week_start + 30) END AS reason
+      FROM fact WHERE weekly_gross IS NOT NULL AND dayofyear(week_start) % 4 <> 0""",
     "page_links": r"""SELECT page_id, (unnest(generate_series(1, len(x))) - 1)::bigint AS seq, unnest(list_transform(x, lambda a: regexp_extract(a, 'href="([^"]*)"', 1))) AS href,
              unnest(list_transform(x, lambda a: trim(regexp_extract(a, '>([^<]*)<', 1)))) AS text
       FROM (SELECT page_id, regexp_extract_all(html, '<a [^>]*href="[^"]*"[^>]*>[^<]*<') AS x FROM pages)""",

@@ -298,6 +298,12 @@ def health_report(spark, d):
     return Q.health_report(f, films(spark, d), r, as_of_run(r), as_of_day(f))
 
 
+@query
+def health_details(spark, d):
+    f, r = fact(spark, d), runs(spark, d)
+    return Q.health_details(f, films(spark, d), r, as_of_run(r), as_of_day(f))
+
+
 @query
 def export_gate(spark, d):
     return Q.gate(health_report(spark, d))
@@ -320,14 +326,25 @@ def upsert_weekly(spark, d):
     return merge.upsert_chart(old, new).select("id", "territory", "week_start", "title_key", "rank", "weekly_gross", "movie_id", "source_movie_ref")
 
 
-@query
-def load_batch(spark, d):
-    """Known films, renamed ones, new ones, and records without film."""
+def _loaded(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """A batch of known films, renamed ones, new ones, and records without film, some with the movie id 0, by the second run."""
     old, new = _batch(spark, d)
+    old = old.withColumn("ingestion_run_id", F.lit(1).cast("long")).withColumn("created_at", F.lit(100).cast("long")).withColumn("updated_at", F.lit(100).cast("long"))
+    new = new.withColumn("movie_id", F.when(F.col("id") % 7 == 0, F.lit(0).cast("long")).otherwise(F.col("movie_id")))
     known = _film_state(spark, d).filter("id % 4 <> 1")
     records = new.withColumn("source_movie_id", F.col("source_movie_ref").cast("string")).withColumn("source_url", F.lit("/film"))
-    rows, _, _ = merge.load_batch(old, known, records)
-    return rows.select("id", "territory", "week_start", "title_key", "weekly_gross", "movie_id", "source_movie_ref")
+    return merge.load_batch(old, known, records, run_id=2, at=200)
+
+
+@query
+def load_batch(spark, d):
+    rows, _, _ = _loaded(spark, d)
+    return rows.select("id", "territory", "week_start", "title_key", "weekly_gross", "movie_id", "source_movie_ref", "ingestion_run_id", "created_at", "updated_at")
+
+
+@query
+def load_count(spark, d):
+    return _loaded(spark, d)[2]
 
 
 def _film_state(spark: SparkSession, d: str) -> DataFrame:
@@ -465,7 +482,7 @@ def chart_html(spark: SparkSession, d: str) -> DataFrame:
     row = F.concat(F.lit("<div><span>"), F.col("rank").cast("string"), F.lit('</span><a href="/film/x/'), F.floor(F.col("id") / 10000).cast("string"), F.lit('/scheda/" title="'), F.col("title"), F.lit('">x</a><p>Settimane: '), F.col("weeks_in_release").cast("string"), F.lit(" Distribuzione: "), F.col("distributor"), F.lit(" Inc. weekend: &euro; "), euro("weekly_gross"), F.lit(" Schermi: "), F.col("screen_count").cast("string"), F.lit(" Inc. totale: &euro; "), euro("total_gross"), F.lit("</p></div>"))
     head = F.concat(F.lit("<html><body><h1>dal "), F.dayofmonth("week_start").cast("string"), F.lit(" "), F.element_at(F.array(*map(F.lit, T.MONTHS)), F.month("week_start")), F.lit(" "), F.year("week_start").cast("string"), F.lit(" al "), F.dayofmonth("week_end").cast("string"), F.lit(" "), month, F.lit(" "), F.year("week_end").cast("string"), F.lit("</h1>"))
     bodies = f.groupBy("territory", "week_start", "week_end", "part").agg(F.concat_ws("", F.transform(F.array_sort(F.collect_list(F.struct("rank", row.alias("row")))), lambda x: x["row"])).alias("body"))
-    return bodies.select(F.xxhash64("territory", "week_start", "part").alias("page_id"), "territory", F.col("week_start").alias("page_week"), F.concat(head, "body", F.lit("</body></html>")).alias("html"))
+    return bodies.select(F.xxhash64("territory", "week_start", "part").alias("page_id"), "territory", "part", F.col("week_start").alias("page_week"), F.concat(head, "body", F.lit("</body></html>")).alias("html"))
 
 
 @query
@@ -475,6 +492,18 @@ def parse_chart_pages(spark, d):
     return rows.join(made.select("page_id", "territory"), "page_id").select("territory", "week_start", "week_end", "rank", "title", "distributor", "weekly_gross", "total_gross", "screen_count", "weeks_in_release", "source_movie_id", "source_url")
 
 
+@query
+def refused_pages(spark, d):
+    """Pages of the chart that are asked for by the right day, by one of another week, and without their week."""
+    made = chart_html(spark, d)
+    k = F.dayofyear("page_week") % 4
+    html = F.when(k == 1, F.replace("html", F.lit("<h1>dal "), F.lit("<h1>"))).when(k == 2, F.replace("html", F.lit("Schermi:"), F.lit("Sale:"))).otherwise(F.col("html"))
+    asked = F.when(k != 3, F.col("page_week")).otherwise(F.date_add("page_week", 30))
+    found = pages.tried(made.withColumn("html", html).withColumn("asked", asked), "https://charts.example", F.col("asked"))
+    refused = pages.dead_letters(found).join(made.select("page_id", "territory", "page_week", "part"), "page_id")
+    return refused.select("territory", "page_week", F.col("part").cast("long").alias("part"), "reason")
+
+
 @query
 def first_page(spark, d):
     made = chart_html(spark, d)

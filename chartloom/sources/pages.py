@@ -9,6 +9,7 @@ from html.parser import HTMLParser
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from ..functions.text import parse_euro, parse_int, week_range
 from ..operators.relational import first_by
@@ -114,33 +115,56 @@ def page_links(pages: DataFrame) -> DataFrame:
     return pages.select("page_id", "html").mapInArrow(run, "page_id long, seq long, href string, text string")
 
 
-def chart_pages(pages: DataFrame, origin: str, requested: Column | None = None) -> DataFrame:
-    """Chart rows of (page_id, html): the first link counts for a rank, pages without a week or (with
-    ``requested``, a date column of ``pages``) of another week give nothing."""
-    names = ("seq", "rank", "title", "film", "href", "weeks", "distributor", "weekend", "screens", "total")
-    kinds = (pa.int64(), pa.int64(), *[pa.string()] * 8)
-    schema = pa.schema([("page_id", pa.int64()), ("page_text", pa.string()), ("requested", pa.date32()), *zip(names, kinds, strict=True)])
+ENTRY = StructType(
+    [StructField("page_text", StringType()), StructField("seq", LongType()), StructField("rank", LongType()), *(StructField(n, StringType()) for n in ("title", "film", "href", "weeks", "distributor", "weekend", "screens", "total")), StructField("error", StringType())]
+)
 
-    def run(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for x in source:
-            rows = []
-            for i, html, day in zip(*(c.to_pylist() for c in x.columns), strict=True):
-                text, found = entries(html)
-                rows += [dict(zip(schema.names, (i, text, day, *e), strict=True)) for e in found]
-            yield pa.RecordBatch.from_pylist(rows, schema=schema)
-
-    kind = "page_id long, page_text string, requested date, seq long, rank long, " + ", ".join(f"{n} string" for n in names[2:])
-    rows = pages.select("page_id", "html", (F.lit(None) if requested is None else requested).cast("date").alias("requested")).mapInArrow(run, kind)
+
+@F.udtf(returnType=ENTRY)
+class ChartEntries:
+    """The entries of a page; of a page without any, or that cannot be read, one row with its text or the error."""
+
+    def eval(self, html: str):
+        try:
+            text, found = entries(html)
+        except (ValueError, AssertionError, RecursionError) as e:
+            yield (None,) * (len(ENTRY) - 1) + (f"{type(e).__name__}: {e}",)
+            return
+        if not found:
+            yield (text,) + (None,) * (len(ENTRY) - 1)
+        for e in found:
+            yield (text, *e, None)
+
+
+def tried(pages: DataFrame, origin: str, requested: Column | None = None) -> DataFrame:
+    """Chart rows of (page_id, html), the first link for each rank, or one row with a ``reason`` for a page that is refused: it
+    cannot be read, names no week, is (with ``requested``, a date column of ``pages``) of another week, or has no entry."""
+    asked = pages.select("page_id", "html", (F.lit(None) if requested is None else requested).cast("date").alias("requested"))
+    rows = asked.lateralJoin(ChartEntries(F.col("html").outer())).drop("html")
     rows = first_by(rows.withColumn("week", week_range(F.col("page_text"))), ("page_id", "rank"), F.col("seq"))
-    rows = rows.filter("week.week_start is not null and week.week_end is not null")
-    rows = rows.filter(F.col("requested").isNull() | F.col("requested").between(F.col("week.week_start"), F.col("week.week_end")))
+    start, end = F.col("week.week_start"), F.col("week.week_end")
+    other = F.concat(F.lit("the page is of the week "), start.cast("string"), F.lit(".."), end.cast("string"), F.lit(", which has no "), F.col("requested").cast("string"))
+    reason = (
+        F.when(F.col("error").isNotNull(), F.concat(F.lit("the page cannot be read: "), "error")).when(start.isNull() | end.isNull(), "the page names no week")
+        .when(~F.col("requested").between(start, end), other).when(F.col("rank").isNull(), "the page has no entry")
+    )
     url = F.when(F.startswith("href", F.lit("http")), F.col("href")).otherwise(F.concat(F.lit(origin), "href"))
     return rows.select(
         "page_id", "week.week_start", "week.week_end", "rank", "title", "distributor", parse_euro(F.col("weekend")).alias("weekly_gross"), parse_euro(F.col("total")).alias("total_gross"),
-        parse_int(F.col("screens")).alias("screen_count"), F.col("weeks").cast("long").alias("weeks_in_release"), F.col("film").alias("source_movie_id"), url.alias("source_url"),
+        parse_int(F.col("screens")).alias("screen_count"), F.col("weeks").cast("long").alias("weeks_in_release"), F.col("film").alias("source_movie_id"), url.alias("source_url"), reason.alias("reason"),
     )
 
 
+def dead_letters(found: DataFrame) -> DataFrame:
+    """(page_id, reason) of the pages that ``tried`` has refused."""
+    return found.filter("reason is not null").select("page_id", "reason").distinct()
+
+
+def chart_pages(pages: DataFrame, origin: str, requested: Column | None = None) -> DataFrame:
+    """The chart rows of the pages that ``tried`` does not refuse."""
+    return tried(pages, origin, requested).filter("reason is null").drop("reason")
+
+
 def first_page(pages: DataFrame, titles: DataFrame) -> DataFrame:
     """Of pages (request, priority, page_id) the first of each request that has a chart row."""
     return pages.join(titles.select("page_id").distinct(), "page_id", "left_semi").groupBy("request").agg(F.min(F.struct("priority", "page_id")).alias("x")).select("request", F.col("x.page_id").alias("page_id"))

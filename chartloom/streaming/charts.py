@@ -16,8 +16,9 @@ def merge_stream(batches: DataFrame, store: Store, checkpoint: str, table: str =
         if batch.isEmpty():
             return
         held = batch.persist()
-        old = store.read(table) if store.version(table) else held.limit(0)
-        store.publish({table: store.stage(table, upsert_chart(old, held))})
+        read = store.version(table)
+        old = store.read(table) if read else held.limit(0)
+        store.publish({table: store.stage(table, upsert_chart(old, held))}, {table: read})
         held.unpersist()
 
     return batches.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
