@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..scratch import Scratch
 from . import relational as R
 
 
@@ -115,9 +116,12 @@ def link_legacy(fact: DataFrame, films: DataFrame) -> tuple[DataFrame, DataFrame
 
     Decided matches go from legacy films to their real ones, their rows too; legacy films without rows
     go; rows without film get the first real one of their title, or else a new legacy film; undecided
-    films take the one movie that all their rows have; rows take the movie of their film.
+    films take the one movie that all their rows have; rows take the movie of their film. Fact and films are written
+    between the steps, as each step reads the ones before several times.
     """
-    pairs = legacy_pairs(films)
+    scratch = Scratch(films.sparkSession, "legacy")
+    fact, films = scratch.keep(fact, "fact-0"), scratch.keep(films, "films-0")
+    pairs = scratch.keep(legacy_pairs(films), "pairs")
     # matches: from the legacy film with the least id
     decided = R.first_by(pairs.filter(F.col("legacy_status").isin("auto", "manual")), ("real_id",), F.col("legacy_id"))
     d = decided.select(F.col("real_id").alias("d_id"), "legacy_movie", "legacy_status", "legacy_method", "legacy_confidence")
@@ -125,28 +129,34 @@ def link_legacy(fact: DataFrame, films: DataFrame) -> tuple[DataFrame, DataFrame
     takes = F.col("d_id").isNotNull() & ~F.col("match_status").isin("auto", "manual") & ~F.col("match_method").eqNullSafe(F.lit("manual"))
     source = {"movie_id": "legacy_movie", "match_status": "legacy_status", "match_method": "legacy_method", "match_confidence": "legacy_confidence"}
     films = joined.select(*[F.when(takes, F.col(source[c])).otherwise(F.col(c)).alias(c) if c in source else F.col(c) for c in films.columns])
+    films = scratch.keep(films, "films-1")
     # rows of legacy films, then rows without film
     moved = pairs.select(F.col("legacy_id").alias("m_from"), F.col("real_id").alias("m_to"))
     fact = fact.join(moved, F.col("source_movie_ref") == F.col("m_from"), "left").withColumn("source_movie_ref", F.coalesce("m_to", "source_movie_ref")).drop("m_from", "m_to")
+    fact = scratch.keep(fact, "fact-1")
     used = fact.select(F.col("source_movie_ref").alias("id")).distinct()
     legacy = F.col("source_movie_id").startswith("legacy:")
     films = films.filter(~legacy).unionByName(films.filter(legacy).join(used, "id", "left_semi").select(*films.columns))
+    films = scratch.keep(films, "films-2")
     real = R.first_real(films).select(F.col("source_name").alias("r_source"), F.col("title_key").alias("r_key"), F.col("id").alias("r_id"))
     link = lambda rows, to: rows.join(to, (F.col("source_name") == F.col("r_source")) & (F.col("title_key") == F.col("r_key")), "left").withColumn("source_movie_ref", F.coalesce("source_movie_ref", "r_id")).drop("r_source", "r_key", "r_id")
-    fact = link(fact, real)
+    fact = scratch.keep(link(fact, real), "fact-2")
     fresh = fact.filter("source_movie_ref is null").groupBy("source_name", "title_key").agg(F.min("title").alias("title"), F.min("id").alias("first_row"))
     named = F.concat(F.lit("legacy:"), F.col("title_key"))
     made = fresh.select((-F.col("first_row")).alias("id"), "source_name", named.alias("source_movie_id"), "title", "title_key", F.lit(None).cast("long").alias("movie_id"), F.lit("unmatched").alias("match_status"), F.lit(None).cast("string").alias("match_method"), F.lit(None).cast("long").alias("match_confidence"))
-    films = insert_absent(films, made, ("source_name", "source_movie_id"))
+    films = scratch.keep(insert_absent(films, made, ("source_name", "source_movie_id")), "films-3")
     holders = R.first_by(films.filter(legacy), ("source_name", "title_key"), F.col("id")).select(F.col("source_name").alias("r_source"), F.col("title_key").alias("r_key"), F.col("id").alias("r_id"))
-    fact = link(fact, holders)
+    fact = scratch.keep(link(fact, holders), "fact-3")
     # the one movie of an undecided film's rows
     adopted = adoptable(fact).select(F.col("source_movie_ref").alias("a_id"), F.col("movie_id").alias("a_movie"))
     joined = films.join(adopted, F.col("id") == F.col("a_id"), "left")
     adopts = F.col("a_id").isNotNull() & (F.col("match_status") == "unmatched")
     change = {"movie_id": F.col("a_movie"), "match_status": F.lit("auto"), "match_method": F.lit("legacy_exact_title")}
     films = joined.select(*[F.when(adopts, change[c]).otherwise(F.col(c)).alias(c) if c in change else F.col(c) for c in films.columns])
-    return propagate_match(fact, films).drop("changed"), films
+    films = scratch.keep(films, "films-4")
+    fact = scratch.keep(propagate_match(fact, films).drop("changed"), "fact-4")
+    scratch.drop("pairs", *[f"{t}-{k}" for t in ("fact", "films") for k in range(4)])
+    return fact, films
 
 
 def adoptable(fact: DataFrame) -> DataFrame:
