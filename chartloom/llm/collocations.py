@@ -28,8 +28,10 @@ from pyspark.sql.window import Window
 from .common import BITMAP_BITS, Stash, column, mix, short
 
 SUPPORT, LONGEST, SHARE, TOP = 30, 4, 80, 2000
-#: Positions of a shard; set positions of the bitmaps that are extended at a time; phrases whose counts a task holds.
-SHARD, BLOCK, PHRASES = 1 << 22, 1 << 19, 1 << 20
+#: Positions of a shard; set positions of the bitmaps that are extended at a time.
+SHARD, BLOCK = 1 << 22, 1 << 19
+#: Phrases are dealt by so many bits of their hashes; rows of them that are read, and phrases that are summed, at a time.
+PHRASE_BITS, BUCKETS_READ, PHRASES = 14, 1024, 1 << 19
 #: Hashes are dealt by their highest bits; bits of the filter for each frequent hash, and at least and at most (128 MB).
 BUCKET_BITS, FILTER_BITS, LEAST_FILTER, MOST_FILTER = 16, 32, 1 << 20, 1 << 30
 #: Hashes that are merged at a time.
@@ -252,15 +254,16 @@ def blocks(sizes: np.ndarray, most: int = BLOCK) -> list[slice]:
     return [slice(a, b) for a, b in zip([0, *cuts], [*cuts, len(sizes)], strict=True) if a < b]
 
 
-def grown(shard: Shard, passes: Filter) -> Iterator[pa.RecordBatch]:
-    """(lang, phrase, occurrences in the shard) of the words and phrases that pass, and (lang, null, all words)."""
+def grown(shard: Shard, passes: Filter) -> Iterator[tuple[np.ndarray, pa.RecordBatch]]:
+    """(lang, phrase, occurrences in the shard) of the words and phrases that pass, and (lang, null, all words), each with
+    the hash of its words."""
     n_words, hashes = len(shard.words), shard.hashes
     langs, of_lang = np.unique([lang for lang, _ in shard.words[1:]], return_inverse=True)
     of_lang, names, words = np.append(0, of_lang), pa.array(langs, pa.string()), pa.array([w for _, w in shard.words], pa.binary())
     bitmaps = Bitmaps(shard.at, n_words)
     every = np.arange(1, n_words)
     total = np.bincount(of_lang[1:], bitmaps.size(every), len(langs)).astype(np.int64)
-    yield pa.RecordBatch.from_arrays([names, pa.nulls(len(names), pa.binary()), pa.array(total)], schema=COUNTS)
+    yield np.zeros(len(names), np.uint64), pa.RecordBatch.from_arrays([names, pa.nulls(len(names), pa.binary()), pa.array(total)], schema=COUNTS)
 
     def found(first: np.ndarray, phrases: pa.Array, n: np.ndarray) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([names.take(pa.array(of_lang[first])), phrases, pa.array(n)], schema=COUNTS)
@@ -270,7 +273,7 @@ def grown(shard: Shard, passes: Filter) -> Iterator[pa.RecordBatch]:
     for block in blocks(sizes):
         first, n = frequent[block], sizes[block]
         phrases, reached = words.take(pa.array(first)), hashes[first]
-        yield found(first, phrases, n)
+        yield reached, found(first, phrases, n)
         positions, phrase = bitmaps.of(first), np.repeat(np.arange(len(first)), n)
         for _ in range(2, LONGEST + 1):
             positions = positions + 1
@@ -283,30 +286,65 @@ def grown(shard: Shard, passes: Filter) -> Iterator[pa.RecordBatch]:
             before, last = longer // n_words, longer % n_words
             first, reached = first[before], extended(reached[before], hashes[last])
             phrases = pc.binary_join_element_wise(phrases.take(pa.array(before)), words.take(pa.array(last)), pa.scalar(b" "))
-            yield found(first, phrases, n)
+            yield reached, found(first, phrases, n)
 
 
-def phrase_counts(docs: DataFrame, bits) -> DataFrame:
-    """(lang, phrase, f): occurrences in all documents of what passes the filter; the phrase null: all words."""
+def _dealt(found: list[tuple[np.ndarray, pa.RecordBatch]]) -> pa.RecordBatch:
+    """A shard's phrases and counts, in a row for each value of the highest bits of their hashes."""
+    bucket = np.concatenate([h >> np.uint64(64 - PHRASE_BITS) for h, _ in found]).astype(np.int32)
+    order = np.argsort(bucket, kind="stable")
+    rows = pa.Table.from_batches([x for _, x in found]).combine_chunks().take(pa.array(order))
+    bucket = bucket[order]
+    first = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]]))
+    each = pa.StructArray.from_arrays([c.combine_chunks() for c in rows.columns], fields=list(COUNTS))
+    lists = pa.ListArray.from_arrays(pa.array(np.append(first, len(bucket)).astype(np.int32)), each)
+    return pa.RecordBatch.from_arrays([pa.array(bucket[first]), lists], names=["bucket", "found"])
 
-    def run(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        passes, held, n = Filter(bits.value), [], 0
 
-        def summed() -> list[pa.RecordBatch]:
-            return pa.Table.from_batches(held).group_by(["lang", "phrase"]).aggregate([("f", "sum")]).rename_columns(COUNTS.names).to_batches(max_chunksize=100_000)
+def _summed(rows: list[pa.Table]) -> pa.Table:
+    """(bucket, lang, phrase, f): one row for each phrase."""
+    return pa.concat_tables(rows).group_by(["bucket", "lang", "phrase"], use_threads=False).aggregate([("f", "sum")]).rename_columns(["bucket", *COUNTS.names])
+
+
+def phrase_counts(docs: DataFrame, bits) -> DataFrame:
+    """(lang, phrase, f): occurrences in all documents of what passes the filter and reaches the support; the phrase null:
+    all words. Phrases move in few large rows, dealt by their hashes, and are summed where they meet."""
 
+    def shown(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        passes = Filter(bits.value)
         for shard in shards(source):
-            for found in grown(shard, passes):
-                held.append(found)
-                n += found.num_rows
-            if n >= PHRASES:
-                yield from summed()
-                held, n = [], 0
+            if len(shard.words) > 1:  # else there are borders only
+                yield _dealt(list(grown(shard, passes)))
+
+    def summed(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, n = [], 0
+
+        def done(last: int | None) -> Iterator[pa.RecordBatch]:
+            """What is complete; phrases of the bucket ``last`` wait for more rows of it."""
+            rows = _summed(held)
+            open_ = pa.scalar(False) if last is None else pc.equal(rows["bucket"], last)
+            held[:] = [rows.filter(open_)] if last is not None else []
+            rows = rows if last is None else rows.filter(pc.invert(open_))
+            rows = rows.filter(pc.or_(pc.greater_equal(rows["f"], SUPPORT), pc.is_null(rows["phrase"])))
+            yield from rows.select(COUNTS.names).to_batches(max_chunksize=100_000)
+
+        for x in source:
+            for at in range(0, x.num_rows, BUCKETS_READ):
+                part = x.slice(at, BUCKETS_READ)
+                lists = part.column("found")
+                each = lists.flatten()
+                bucket = np.repeat(part.column("bucket").to_numpy(zero_copy_only=False), pc.list_value_length(lists).to_numpy(zero_copy_only=False))
+                held.append(pa.table([pa.array(bucket), *[each.field(c) for c in COUNTS.names]], names=["bucket", *COUNTS.names]))
+                n += len(bucket)
+                if n >= PHRASES:
+                    yield from done(int(bucket[-1]))
+                    n = 0
         if held:
-            yield from summed()
+            yield from done(None)
 
-    counts = _texts(docs).mapInArrow(run, "lang string, phrase binary, f long")
-    return counts.groupBy("lang", F.col("phrase").cast("string").alias("phrase")).agg(F.sum("f").alias("f"))
+    dealt = _texts(docs).mapInArrow(shown, "bucket int, found array<struct<lang:string,phrase:binary,f:long>>")
+    counts = dealt.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(summed, "lang string, phrase binary, f long")
+    return counts.select("lang", F.col("phrase").cast("string").alias("phrase"), "f")
 
 
 def scored(counts: DataFrame, stash: Stash) -> DataFrame:
@@ -344,7 +382,7 @@ def collocations(docs: DataFrame, top: int = TOP) -> DataFrame:
     short_bits = _filter(pairs)
     rows = stash.keep(_frequent(_long_counts(docs, short_bits)), "long")
     bits = _filter(pairs.unionByName(rows))
-    counts = stash.keep(phrase_counts(docs, bits).filter((F.col("f") >= SUPPORT) | F.col("phrase").isNull()), "counts")
+    counts = stash.keep(phrase_counts(docs, bits), "counts")
     for b in (short_bits, bits):
         b.destroy()
     found = scored(counts, stash).withColumn("salt", F.pmod(F.xxhash64("phrase"), F.lit(SALTS)))

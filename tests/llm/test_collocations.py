@@ -69,6 +69,7 @@ def test_phrases(spark):
     assert found(collocations.collocations(docs)) == want
     assert found(collocations.collocations(docs, top=3)) == brute(rows, 3)
     assert collocations.collocations(docs.limit(0)).count() == 0
+    assert collocations.collocations(spark.createDataFrame([(1, "... !", None, "", "", "", "", "")], KIND)).count() == 0
 
 
 def test_bitmaps_and_blocks():
