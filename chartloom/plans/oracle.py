@@ -256,7 +256,7 @@ SQL = {
     "load_batch": """, o AS (SELECT * FROM deduped WHERE id % 3 <> 0),
       n AS (SELECT *, min(id) OVER (PARTITION BY source_movie_ref) AS first FROM deduped WHERE id % 3 <> 1),
       r AS (SELECT n.id, n.territory, n.week_start, n.title_key, n.weekly_gross + 1 AS weekly_gross, CASE WHEN n.source_movie_ref % 4 = 1 THEN first ELSE n.source_movie_ref END AS source_movie_ref,
-              coalesce(CASE WHEN n.id % 2 = 0 AND n.id % 7 <> 0 THEN n.movie_id END, CASE WHEN n.source_movie_ref % 4 <> 1 THEN films.movie_id END) AS movie_id FROM n LEFT JOIN films ON films.id = n.source_movie_ref)
+              coalesce(nullif(CASE WHEN n.id % 2 = 0 AND n.id % 7 <> 0 THEN n.movie_id END, 0), CASE WHEN n.source_movie_ref % 4 <> 1 THEN films.movie_id END) AS movie_id FROM n LEFT JOIN films ON films.id = n.source_movie_ref)
       SELECT coalesce(o.id, r.id) AS id, territory, week_start, title_key, CASE WHEN r.id IS NULL THEN o.weekly_gross ELSE r.weekly_gross END AS weekly_gross,
              coalesce(r.movie_id, o.movie_id) AS movie_id, coalesce(r.source_movie_ref, o.source_movie_ref) AS source_movie_ref, CASE WHEN r.id IS NULL THEN 1 ELSE 2 END::bigint AS ingestion_run_id,
              CASE WHEN o.id IS NULL THEN 200 ELSE 100 END::bigint AS created_at, CASE WHEN r.id IS NULL THEN 100 ELSE 200 END::bigint AS updated_at
