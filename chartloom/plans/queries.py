@@ -497,7 +497,7 @@ def refused_pages(spark, d):
     """Pages of the chart that are asked for by the right day, by one of another week, and without their week."""
     made = chart_html(spark, d)
     k = F.dayofyear("page_week") % 4
-    html = F.when(k == 1, F.replace("html", F.lit("<h1>dal "), F.lit("<h1>"))).when(k == 2, F.replace("html", F.lit("Schermi:"), F.lit("Sale:"))).otherwise(F.col("html"))
+    html = F.when(k == 1, F.replace("html", F.lit("<h1>dal "), F.lit("<h1>"))).when(k == 2, F.replace("html", F.lit("/film/"), F.lit("/other/"))).otherwise(F.col("html"))
     asked = F.when(k != 3, F.col("page_week")).otherwise(F.date_add("page_week", 30))
     found = pages.tried(made.withColumn("html", html).withColumn("asked", asked), "https://charts.example", F.col("asked"))
     refused = pages.dead_letters(found).join(made.select("page_id", "territory", "page_week", "part"), "page_id")
