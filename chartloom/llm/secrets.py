@@ -40,17 +40,17 @@ LONG_TOKEN = 20
 #: Labelled credentials of each kind, and ordinary tokens, that an automaton is inferred from at most; they
 #: are those with the least hashes.
 EXAMPLES = 800
-#: Characters of an example that an automaton is inferred from, which bounds the driver's memory; what is
-#: scored is scored whole, labelled examples too.
-LONGEST = 80
+#: Characters of the longest value in that sample, which bounds the driver's memory with ``EXAMPLES``: examples are
+#: read whole, and what is scored is scored whole, at any length.
+EXAMPLE_CHARS = 512
 #: Significance of a difference between two states.
 ALPHA = 0.05
 #: The part of the examples whose likelihood may be lower than a candidate's has to be.
 OUTLIERS = 0.05
 #: The probability of what was never seen in a state.
 UNSEEN = 1e-4
-#: Words whose verdict a worker remembers; a matter of speed only.
-REMEMBERED = 300_000
+#: Words whose verdict a worker remembers, and their characters at most; a matter of speed only.
+REMEMBERED, REMEMBERED_CHARS = 300_000, 80
 
 _CLASSES = {c: "0" if c < 58 else "A" if 65 <= c <= 70 else "G" if 71 <= c <= 90 else "a" if 97 <= c <= 102 else "g" for c in (*range(48, 58), *range(65, 91), *range(97, 123))}
 
@@ -102,7 +102,7 @@ class Automaton:
     def _add(self, example: str) -> None:
         state = 0
         self.total[0] += 1
-        for c in example[:LONGEST]:
+        for c in example:
             if c not in self.next[state]:
                 self.next[state][c] = len(self.next)
                 self.next.append({})
@@ -112,10 +112,7 @@ class Automaton:
             self.seen[state][c] = self.seen[state].get(c, 0) + 1
             state = self.next[state][c]
             self.total[state] += 1
-        if len(example) > LONGEST:  # it goes on unread, so nothing is known of what follows its last state
-            self.total[state] -= 1
-        else:
-            self.ends[state] += 1
+        self.ends[state] += 1
 
     def _differ(self, f1: int, n1: int, f2: int, n2: int) -> bool:
         return n1 > 0 and n2 > 0 and abs(f1 / n1 - f2 / n2) > math.sqrt(0.5 * math.log(2 / ALPHA)) * (1 / math.sqrt(n1) + 1 / math.sqrt(n2))
@@ -164,6 +161,9 @@ class Automaton:
             # folding can give an earlier state new ways on
             fresh = next((i for i, r in enumerate(red[: at + 1]) if any(t not in red for t in self.next[r].values())), None)
             at = fresh if fresh is not None else at + 1
+        name = {r: i for i, r in enumerate(red)}  # what was folded goes, so workers get the states that are left only
+        self.next = [{c: name[t] for c, t in self.next[r].items()} for r in red]
+        self.seen, self.ends, self.total = ([x[r] for r in red] for x in (self.seen, self.ends, self.total))
         self.states = len(red)
 
     def likelihood(self, word: str) -> float:
@@ -202,7 +202,7 @@ class Grammar:
             if said:
                 plain = max((a.likelihood(word) for a in self.ordinary), default=-math.inf)
                 said = any(x >= max(least, plain) for x, least in scores)
-            if len(word) <= LONGEST:
+            if len(word) <= REMEMBERED_CHARS:
                 self.known[word] = said
         return said
 
@@ -216,9 +216,10 @@ def _place(token: str) -> tuple[int, str]:
     return xxhash.xxh3_64_intdigest(token.encode("utf-8", "surrogatepass")) >> 1, token
 
 
-def infer(docs: DataFrame, examples: int = EXAMPLES) -> Grammar:
+def infer(docs: DataFrame, examples: int = EXAMPLES, chars: int = EXAMPLE_CHARS) -> Grammar:
     """The grammar of what all texts hold: of the distinct values of each kind, and of the distinct ordinary tokens,
-    shorter and longer ones, the ``examples`` with the least hashes. Each batch hands on no more than as many."""
+    shorter and longer ones, those of up to ``chars`` characters, the ``examples`` with the least hashes. Each batch
+    hands on no more than as many."""
     schema = pa.schema([("kind", pa.int32()), ("place", pa.int64()), ("value", pa.string())])
 
     def run(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -226,17 +227,18 @@ def infer(docs: DataFrame, examples: int = EXAMPLES) -> Grammar:
             seen: dict[int, set[str]] = defaultdict(set)
             for text in x.column(0).to_pylist():
                 _, values, tokens = find(text)
-                for kind, value in values:
-                    seen[kind].add(value)
-                for _, _, token in tokens:
-                    seen[3 + (len(token) >= LONG_TOKEN)].add(token)
+                for kind, value in (*values, *((3 + (len(t) >= LONG_TOKEN), t) for _, _, t in tokens)):
+                    if len(value) <= chars:
+                        seen[kind].add(value)
                 for kind, found in seen.items():
                     if len(found) > 20 * examples:
                         seen[kind] = set(_least(found, examples))
             yield from batches(((k, *_place(v)) for k, found in seen.items() for v in _least(found, examples)), schema)
 
-    found = Stash(docs.sparkSession, "secrets").keep(docs.select(column(docs, "text", "string")).mapInArrow(run, "kind int, place long, value string"), "examples")
+    stash = Stash(docs.sparkSession, "secrets")
+    found = stash.keep(docs.select(column(docs, "text", "string")).mapInArrow(run, "kind int, place long, value string"), "examples")
     held = [[r["value"] for r in found.filter(F.col("kind") == k).distinct().orderBy("place", "value").limit(examples).collect()] for k in range(5)]
+    stash.drop("examples")
     labelled = {k: held[k] for k in range(3) if held[k]}
     return Grammar(labelled, *(held[3:] if labelled else []))
 
@@ -245,7 +247,7 @@ def secrets(docs: DataFrame, examples: int = EXAMPLES) -> DataFrame:
     """Per row of ``docs``: doc_id, n_assign, n_access, n_hex, base_sha256, spans, n_format.
 
     A span of kind assign is the whole match. Null and empty texts have no span; of very long texts and tokens
-    every character counts; null ids stay null; repeated rows get the same result; other columns are not read;
+    every character counts, but the automata are inferred from values of up to ``EXAMPLE_CHARS``; null ids stay null; repeated rows get the same result; other columns are not read;
     an empty table gives none; without labelled credentials nothing is inferred and no span is added.
     """
     grammar = docs.sparkSession.sparkContext.broadcast(infer(docs, examples))

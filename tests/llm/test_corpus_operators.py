@@ -80,12 +80,24 @@ def test_decontamination(spark, odd, rows, empty):
     found = decontamination.matches(docs, bench, block_chars=40)
     expected = [(i, 1, distance(decontamination.normalised(item), decontamination.normalised(t))) for i, t in [*enumerate(texts), (0, item), (None, item)] if t]
     assert got(found, "doc_id", "item_id", "distance") == ordered([*(x for x in expected if x[2] <= k), (7, 4, 0)])
-    assert got(decontamination.decontaminate(docs, bench), "doc_id") == ordered((i,) for i in (3, 4, 5, 6, 7, 8))
+    assert got(decontamination.decontaminate(docs, bench), "doc_id") == ordered((i,) for i in (3, 4, 5, 6, 8))
+    assert got(decontamination.decontaminate(docs, bench, least_chars=6), "doc_id") == ordered((i,) for i in (3, 4, 5, 6, 7, 8))
     assert decontamination.decontaminate(docs.drop("text"), bench).count() == docs.count()
     assert decontamination.decontaminate(odd, bench).columns == odd.columns
     assert decontamination.matches(odd, bench.limit(0)).count() == decontamination.matches(empty, bench).count() == 0
 
 
+def test_budget_decides_short_items(spark):
+    """Items of 14 and 15 characters have an edit, those of 13 have none and stand as whole words."""
+    items = ["abcde fghij klm", "abcdefg hijklm", "nopqrs tuvwxy"]
+    assert [decontamination.budget(i) for i in items] == [1, 1, 0]
+    texts = ["x abcde fghijklm y", "abcdefg hijkl", "nopqrs tuvwx", "xnopqrs tuvwxy", "(Nopqrs, tuvwxy)", "abcd fghi klm"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    expected = [(d, i, n) for d, t in enumerate(texts) for i, x in enumerate(items) if (n := distance(x, decontamination.normalised(t))) <= decontamination.budget(x)]
+    assert got(decontamination.matches(docs, bench), "doc_id", "item_id", "distance") == ordered(x for x in expected if x != (3, 2, 0))
+
+
 def test_least_distance():
     draw = random.Random(6)
     for _ in range(500):
@@ -312,6 +324,18 @@ def test_inferred_formats():
     assert not any(grammar.accepts(x) for x in (word(), word()[:-2] + "42", "http://example.com/page/12345/index.html"))
     automaton = grammar.kinds[0][0]
     assert automaton.states < 60  # far fewer than the tree has
+    assert len(automaton.next) == automaton.states == len(automaton.ends)  # and no others are kept
+    assert all(t < automaton.states for ways in automaton.next for t in ways.values())
+
+
+def test_long_examples_are_read_whole():
+    """Keys of 150 characters that end in another form than they start with: what follows the first part counts."""
+    draw = random.Random(13)
+    take = lambda letters, n: "".join(draw.choice(letters) for _ in range(n))
+    key = lambda: take("0123456789", 100) + "-" + take("ghijkl", 49)
+    grammar = secrets.Grammar({0: [key() for _ in range(200)]}, [take("ghijkl", 9) for _ in range(100)])
+    assert sum(grammar.accepts(key()) for _ in range(50)) >= 40
+    assert not any(grammar.accepts(take("0123456789", 100) + "-" + take("GHIJKL", 49)) for _ in range(20))
 
 
 def test_token_counts(odd, rows, empty):
