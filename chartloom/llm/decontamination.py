@@ -19,11 +19,9 @@ from pyspark.sql import functions as F
 
 from .common import batches, column, short
 
-#: One edit for so many characters of an item: 7 hundredths of its length.
+#: One edit for so many characters of an item: 7 hundredths of its length. An item too short for an edit is found
+#: where it stands as whole words.
 CHARS_PER_EDIT = 14
-#: Shorter items say nothing about where a text is from: they are found where they stand as whole words, with
-#: no edit, but no document is removed for one.
-LEAST_CHARS = 16
 #: Characters of items in one automaton; more items are searched in as many blocks as they need.
 BLOCK_CHARS = 2_000_000
 #: One edit takes so many of an item's distinct q-grams away at most, as long as they are; text that lacks
@@ -109,13 +107,11 @@ class Matcher:
         found = []
         for n, around in spans.items():
             item_id, item, k, masks, own = self.items[n]
-            if len(item) < LEAST_CHARS:
-                if f" {item} " in f" {text} ":
-                    found.append((item_id, 0, 0))
-                continue
-            if item in text:
+            if (item if k else f" {item} ") in (text if k else f" {text} "):
                 found.append((item_id, 0, k))
                 continue
+            if not k:
+                continue
             around.sort()
             least, (low, high) = k + 1, around[0]
             for a, b in [*around[1:], (math.inf, 0)]:
@@ -145,8 +141,8 @@ def _blocks(bench: DataFrame, block_chars: int, least: int = 1) -> list[Broadcas
 def matches(docs: DataFrame, bench: DataFrame, block_chars: int = BLOCK_CHARS) -> DataFrame:
     """(doc_id, item_id, distance, budget) for each row of ``docs`` and item that it holds.
 
-    Case, punctuation and white space do not count. Null and empty texts and items match nothing; items shorter
-    than ``LEAST_CHARS`` match as whole words only. Null ids stay null; equal items are one, repeated rows
+    Case, punctuation and white space do not count. Null and empty texts and items match nothing; items without
+    a budget, under ``CHARS_PER_EDIT`` characters, match as whole words. Null ids stay null; equal items are one, repeated rows
     give repeated results; a very long text is searched whole; empty tables give none; other columns, of any
     name, are not read.
     """
@@ -166,14 +162,17 @@ def matches(docs: DataFrame, bench: DataFrame, block_chars: int = BLOCK_CHARS) -
     return empty if out is None else out
 
 
-def decontaminate(docs: DataFrame, bench: DataFrame, block_chars: int = BLOCK_CHARS) -> DataFrame:
-    """The rows of ``docs`` that hold no item of ``LEAST_CHARS`` or more, with all their columns; nothing is shuffled.
+def decontaminate(docs: DataFrame, bench: DataFrame, block_chars: int = BLOCK_CHARS, least_chars: int = 1) -> DataFrame:
+    """The rows of ``docs`` that hold no item, with all their columns; nothing is shuffled.
 
-    Rows without text stay, and so does every row where there is no such column or the benchmark is empty.
+    A caller whose benchmark has answers such as "yes" can leave items out by ``least_chars``, counted after case
+    and punctuation. Rows without text stay, and so does every row where there is no such column or the benchmark
+    is empty; repeated rows and rows of one id are decided each by its own text; very long texts are searched
+    whole; other columns, of any name, stay as they are.
     """
     if "text" not in docs.columns:
         return docs
-    for items in _blocks(bench, block_chars, LEAST_CHARS):
+    for items in _blocks(bench, block_chars, least_chars):
 
         def run(source: Iterator[pa.RecordBatch], items: Broadcast = items) -> Iterator[pa.RecordBatch]:
             matcher = Matcher(items.value)
