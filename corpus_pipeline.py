@@ -1,4 +1,8 @@
-"""From documents to token ids: the corpus operators one after another, each stage written and read again."""
+"""From documents to token ids: the corpus operators one after another, each stage written and read again.
+
+Every stage takes nulls in any column, repeated rows and ids, very long texts, columns of any further name and
+empty tables; the first four keep the columns of their input, and an empty table stays empty.
+"""
 
 from __future__ import annotations
 
@@ -12,27 +16,30 @@ from chartloom.llm.queries import read, tokenizer_path
 
 
 def clean_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Quality rules: lines that fail go, documents that lose too much go."""
+    """Quality rules: lines that fail go, documents that lose too much go. Null and empty texts have too few words and go;
+    equal rows are judged alike."""
     return quality.clean(docs)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near-duplicates (five-word shingles, a similarity of 0.8) one document stays."""
+    """Of each group of near-duplicates (five-word shingles, a similarity of 0.8) one document stays, the one with
+    the least ``doc_id``; of equal rows one stays, and rows without an id stay if none of their group has one."""
     return near_duplicates.drop_near_duplicates(docs, size=5, percent=80)
 
 
 def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold a benchmark item go."""
+    """Documents that hold a benchmark item go. Null and empty items match nothing; rows without text stay."""
     return decontamination.decontaminate(docs, read(spark, sf_dir, "benchmark"))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents are repeated or left out by the target of their source."""
+    """Documents are repeated or left out by the target of their source; a null source is one of its own, the last."""
     return mixing.mix(docs)
 
 
 def write_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids in chunks; per document what the files hold of it."""
+    """Token ids in chunks; per document what the files hold of it. A null text is an empty one: its
+    end id only."""
     return token_blocks.token_blocks(docs, tokenizer_path("byte_bpe_50k.json"))
 
 

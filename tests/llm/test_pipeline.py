@@ -38,5 +38,24 @@ def test_stages(spark, tmp_path):
     assert sorted((r["doc_id"], r["start"], r["n_tokens"], r["ids_crc32"]) for r in again) == sorted((r["doc_id"], r["start"], r["n_tokens"], r["ids_crc32"]) for r in docs.collect())
 
 
+def test_odd_tables(spark, tmp_path, odd):
+    """Nulls, repeated rows and ids, and columns with unlucky names go through all stages; an empty table gives none."""
+    bench = spark.createDataFrame([(1, "an item that stands in none of these"), (2, None), (None, "")], "item_id long, text string")
+    for name, docs in (("odd", odd), ("empty", odd.limit(0))):
+        docs.write.parquet(f"{tmp_path}/{name}/documents.parquet")
+        bench.write.parquet(f"{tmp_path}/{name}/benchmark.parquet")
+    docs = odd
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        docs = stage(spark, docs, f"{tmp_path}/odd")
+        assert docs.columns == odd.columns, name
+        docs.write.parquet(f"{tmp_path}/stage-{name}")
+        docs = spark.read.parquet(f"{tmp_path}/stage-{name}")
+        assert {r["doc_id"] for r in docs.collect()} <= {r["doc_id"] for r in odd.collect()}
+    found = corpus_pipeline.run(spark, f"{tmp_path}/odd").collect()
+    assert sorted((r["doc_id"] for r in found), key=repr) == sorted((r["doc_id"] for r in docs.collect()), key=repr)
+    assert found and all(r["n_tokens"] > 1 for r in found)
+    assert corpus_pipeline.run(spark, f"{tmp_path}/empty").count() == 0
+
+
 def test_registered():
     assert {x.split("_")[0] for x in queries()} == {*(f"op{i}" for i in range(1, 14)), "pipeline"}
