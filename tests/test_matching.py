@@ -108,3 +108,11 @@ def test_few_pairs_are_compared(spark):
     everything, some = matching.scored(found, movies).collect(), matching.best_scored(found, movies, 3, Scratch(spark, "few"), "best").collect()
     best = lambda rows: sorted(((r["score"], r["popularity"]) for r in rows), reverse=True)[:3]
     assert best(everything) == best(some) and len(everything) == 400 and len(some) < 100
+
+
+def test_films_that_share_any_word(spark):
+    """A word that every film has finds them all, with the first variant that has it."""
+    titles = spark.createDataFrame([("The Sea",), ("Rock: the story",)], "title string")
+    movies = spark.createDataFrame([(k, f"Film {k}", f"The {'sea' if k == 7 else 'land'}") for k in range(60)], "id long, title string, original_title string")
+    got = {(r["title"], r["id"], r["variant"]) for r in matching.sharing(titles, movies).collect()}
+    assert got == {(t, k, 0) for t in ("The Sea", "Rock: the story") for k in range(60)}
