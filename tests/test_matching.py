@@ -116,3 +116,20 @@ def test_films_that_share_any_word(spark):
     movies = spark.createDataFrame([(k, f"Film {k}", f"The {'sea' if k == 7 else 'land'}") for k in range(60)], "id long, title string, original_title string")
     got = {(r["title"], r["id"], r["variant"]) for r in matching.sharing(titles, movies).collect()}
     assert got == {(t, k, 0) for t in ("The Sea", "Rock: the story") for k in range(60)}
+
+
+def test_films_that_wait_are_made_once(spark):
+    """They come from the whole fact, and every stage reads them."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def see(batches):
+        for x in batches:
+            seen.add(x.num_rows)
+            yield x
+
+    films = spark.createDataFrame([(1, "Sea", date(2024, 1, 4)), (2, "Sea", None), (3, None, None)], "ref long, title string, estimated date").mapInArrow(see, "ref long, title string, estimated date")
+    movies = spark.createDataFrame([(7, "Sea", "Sea", date(2024, 1, 4), 1.0)], "id long, title string, original_title string, release_date date, popularity double")
+    names, dates = spark.createDataFrame([], "id long, name string"), spark.createDataFrame([], "id long, dates array<date>")
+    _, decisions = matching.evaluate(films, movies, names, dates)
+    assert sorted(r["ref"] for r in decisions.collect()) == [1, 2, 3]
+    assert seen.value == 3
