@@ -1,9 +1,12 @@
 """The fact is dealt out by its rows."""
 
 import os
+import re
 
 import pytest
 
+from chartloom.operators import relational as R
+from chartloom.plans.queries import QUERIES
 from chartloom.sources import dataset
 
 FOLDER = "/root/testdata/sf0.001"
@@ -23,3 +26,25 @@ def test_a_task_of_the_fact_holds_a_share(spark, monkeypatch):
     n = -(-dataset.table(spark, FOLDER, "lineitem").count() // 100)
     sizes = [len(x) for x in fact.rdd.glom().collect()]
     assert len(sizes) == n and max(sizes) < 6 * 100 and sum(sizes) == fact.count()
+
+
+@pytest.mark.skipif(not os.path.isdir(FOLDER), reason="no tables")
+def test_lines_meet_sellers_and_keys_in_as_many_parts(spark, monkeypatch):
+    """The session's number of parts does not bound those that hold all lines or all rows of a load."""
+    monkeypatch.setattr(dataset, "TASK_ROWS", 100)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        n = dataset.tasks(spark, dataset.table(spark, FOLDER, "lineitem").count())
+        plan = QUERIES["upsert_weekly"](spark, FOLDER)._jdf.queryExecution().executedPlan().toString()
+        assert set(re.findall(r"hashpartitioning\(l_suppkey#\d+L, (\d+)\)", plan)) == {str(n)}
+        assert set(re.findall(r"hashpartitioning\([^()]*title_key#\d+, (\d+)\)", plan)) == {str(n)}
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.enabled")
+
+
+def test_more_parts_than_the_session_makes(spark):
+    rows = spark.range(40).selectExpr("id", "id % 4 as rank", "'box' as source_name", "concat('x', id % 2) as territory", "id % 9 as week_start", "concat('t', id % 3) as title_key")
+    assert R.dedupe(rows, 37).rdd.getNumPartitions() == 37
+    assert sorted(R.dedupe(rows, 37).collect()) == sorted(R.dedupe(rows, 2).collect()) == sorted(R.dedupe(rows).collect())
