@@ -5,8 +5,10 @@ import re
 
 import pytest
 
+from chartloom.operators import merge
 from chartloom.operators import relational as R
 from chartloom.plans.queries import QUERIES
+from chartloom.scratch import Scratch
 from chartloom.sources import dataset
 
 FOLDER = "/root/testdata/sf0.001"
@@ -48,3 +50,50 @@ def test_more_parts_than_the_session_makes(spark):
     rows = spark.range(40).selectExpr("id", "id % 4 as rank", "'box' as source_name", "concat('x', id % 2) as territory", "id % 9 as week_start", "concat('t', id % 3) as title_key")
     assert R.dedupe(rows, 37).rdd.getNumPartitions() == 37
     assert sorted(R.dedupe(rows, 37).collect()) == sorted(R.dedupe(rows, 2).collect()) == sorted(R.dedupe(rows).collect())
+
+
+@pytest.fixture
+def plain_exchanges(spark):
+    """Plans with exchanges as they are planned, and no broadcast."""
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    yield
+    for k in conf:
+        spark.conf.unset(k)
+
+
+def exchanges(df):
+    """Keys and number of parts of each exchange."""
+    return [(k, int(n)) for k, n in re.findall(r"hashpartitioning\((.*), (\d+)\), [A-Z_]+", df._jdf.queryExecution().executedPlan().toString())]
+
+
+@pytest.mark.skipif(not os.path.isdir(FOLDER), reason="no tables")
+def test_legacy_repair_moves_the_fact_to_parts_by_the_rows(spark, monkeypatch, plain_exchanges):
+    found, keep = {}, Scratch.keep
+    monkeypatch.setattr(Scratch, "keep", lambda self, df, label: (found.update({label: exchanges(df)}), keep(self, df, label))[1])
+    rows = QUERIES["legacy_link_films"](spark, FOLDER).count()
+    few = found
+    found = {}
+    monkeypatch.setattr(dataset, "TASK_ROWS", 100)
+    n = dataset.tasks(spark, dataset.table(spark, FOLDER, "lineitem").count())
+    assert QUERIES["legacy_link_films"](spark, FOLDER).count() == rows
+    for label in ("fact-2", "fact-3", "fact-4"):
+        assert few[label] and {parts for _, parts in few[label]} == {4}
+        assert {parts for _, parts in found[label]} == {n}
+    for label in ("films-2", "films-4"):
+        assert n in {parts for _, parts in found[label]}
+    assert any("coalesce" in k for k, _ in found["fact-2"])  # rows without film do not meet in one task
+
+
+def test_rows_without_film_are_spread(spark, plain_exchanges):
+    rows = spark.createDataFrame([(i, None, i + 1) for i in range(1000)], "id long, source_movie_ref long, movie_id long")
+    films = spark.range(1000).selectExpr("id", "'auto' as match_status", "-1L as movie_id")
+    made = merge.propagate_match(rows, films)
+    assert max(len(x) for x in made.rdd.glom().collect()) < 500
+    assert made.filter("changed or movie_id <> id + 1").count() == 0 and made.count() == 1000
+
+
+def test_adoptable_films_have_one_movie(spark):
+    rows = spark.createDataFrame([(1, 7), (1, 7), (1, None), (2, 7), (2, 8), (3, None), (None, 7)], "source_movie_ref long, movie_id long")
+    assert [tuple(r) for r in merge.adoptable(rows).collect()] == [tuple(r) for r in merge.adoptable(rows, 9).collect()] == [(1, 7)]
