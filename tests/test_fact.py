@@ -86,6 +86,19 @@ def test_legacy_repair_moves_the_fact_to_parts_by_the_rows(spark, monkeypatch, p
     assert any("coalesce" in k for k, _ in found["fact-2"])  # rows without film do not meet in one task
 
 
+@pytest.mark.skipif(not os.path.isdir(FOLDER), reason="no tables")
+def test_counts_of_the_repair_make_the_fact_once(spark, monkeypatch, plain_exchanges):
+    """Rows bring what they had; films meet films in parts by the rows."""
+    one = QUERIES["legacy_link_counts"](spark, FOLDER).collect()
+    monkeypatch.setattr(dataset, "TASK_ROWS", 100)
+    counts = QUERIES["legacy_link_counts"](spark, FOLDER)
+    assert counts.collect() == one and None not in one[0]
+    n = dataset.tasks(spark, dataset.table(spark, FOLDER, "lineitem").count())
+    assert "l_partkey" not in counts._jdf.queryExecution().executedPlan().toString()
+    assert [parts for k, parts in exchanges(counts) if re.fullmatch(r"(old_)?id#\d+L", k)] == [n, n]
+    assert sorted(parts for k, parts in exchanges(counts) if k.startswith("source_movie_ref")) == [4, n, n]  # 4: counts of a task
+
+
 def test_rows_without_film_are_spread(spark, plain_exchanges):
     rows = spark.createDataFrame([(i, None, i + 1) for i in range(1000)], "id long, source_movie_ref long, movie_id long")
     films = spark.range(1000).selectExpr("id", "'auto' as match_status", "-1L as movie_id")
