@@ -4,6 +4,7 @@ import os
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from chartloom.operators import merge
 from chartloom.operators import relational as R
@@ -110,3 +111,40 @@ def test_rows_without_film_are_spread(spark, plain_exchanges):
 def test_adoptable_films_have_one_movie(spark):
     rows = spark.createDataFrame([(1, 7), (1, 7), (1, None), (2, 7), (2, 8), (3, None), (None, 7)], "source_movie_ref long, movie_id long")
     assert [tuple(r) for r in merge.adoptable(rows).collect()] == [tuple(r) for r in merge.adoptable(rows, 9).collect()] == [(1, 7)]
+
+
+@pytest.mark.skipif(not os.path.isdir(FOLDER), reason="no tables")
+def test_weeks_go_round_the_parts(spark, monkeypatch):
+    """No part of the fact's sums and ranks has more than its share of the weeks, and no second exchange follows."""
+    monkeypatch.setattr(dataset, "TASK_ROWS", 50)
+    lines = dataset.table(spark, FOLDER, "lineitem").withColumn("week_start", dataset.chart_week(F.col("l_shipdate").cast("date")))
+    weeks = lines.select("week_start").distinct().crossJoin(spark.range(5).withColumnRenamed("id", "r_regionkey"))
+    n = dataset.tasks(spark, lines.count())
+    held = [r["count"] for r in weeks.withColumn("part", dataset.week_part(n)).groupBy("part").count().collect()]
+    assert len(held) == n and max(held) <= -(-sum(held) // n) + 2
+    plan = dataset.fact(spark, FOLDER)._jdf.queryExecution().executedPlan().toString()
+    assert len(re.findall(r"shufflepartitionidpassthrough\S*\(part#\d+\), %d\)" % n, plan)) == 1
+    assert not re.findall(r"hashpartitioning\([^()]*week_start#", plan)
+
+
+def test_rows_of_one_film_are_spread(spark, plain_exchanges):
+    """Rows of crowded films meet them first; the result is as without."""
+    rows = spark.range(3000).selectExpr("id", "case when id < 2000 then id % 2 when id < 2900 then id end as source_movie_ref", "case when id % 3 > 0 then id % 5 end as movie_id")
+    films = spark.range(2950).selectExpr("id", "case when id = 1 then 'unmatched' else 'auto' end as match_status", "case when id <> 2001 then -id end as movie_id")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10MB")
+    try:
+        few = spark.createDataFrame(films.filter("id < 2").collect(), films.schema)
+        plain, apart = merge.propagate_match(rows, films.hint("merge")), merge.propagate_match(rows, films.hint("merge"), crowded=F.broadcast(few))
+        assert sorted(apart.collect()) == sorted(plain.collect())
+        assert max(len(x) for x in plain.rdd.glom().collect()) > 1200 > 900 > max(len(x) for x in apart.rdd.glom().collect())
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+
+
+@pytest.mark.skipif(not os.path.isdir(FOLDER), reason="no tables")
+def test_repair_tells_crowded_films_apart(spark, monkeypatch):
+    wanted = sorted(QUERIES["legacy_link_result"](spark, FOLDER).collect())
+    found, match = [], merge.propagate_match
+    monkeypatch.setattr(merge, "propagate_match", lambda fact, films, parts, crowded: (found.append(crowded.count()), match(fact, films, parts, crowded))[1])
+    monkeypatch.setattr(merge, "CROWD", 40)
+    assert sorted(QUERIES["legacy_link_result"](spark, FOLDER).collect()) == wanted and found[0] > 0
